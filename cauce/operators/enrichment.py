@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from cauce.functions import rate_per_100k, to_key
 from cauce.operators.shape import to_metrics, total
 from cauce.schemas import COUNT, KEY, RATE
+from cauce.shared import shared_dir, written
 
 # A dimension is broadcast only up to this measured size.
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Parts that each key is split into when a dimension is too big to broadcast.
-SALTS = 32
+# Facts of one key that may meet in one task when a dimension is too big for that.
+ROWS_PER_TASK = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -96,21 +97,41 @@ def with_key(df: DataFrame, key: str = KEY) -> DataFrame:
     return df.withColumn(key, to_key(F.col(key)))
 
 
-def _salted_left_join(facts: DataFrame, dims: Sequence[Dimension], key: str, salts: int):
-    """Left joins by shuffle, each key split into ``salts`` parts.
+def _shuffled_left_join(
+    facts: DataFrame, dims: Sequence[Dimension], key: str, rows_per_task: int
+) -> DataFrame:
+    """Left joins by shuffle, with hot keys split.
 
-    The salt is a hash of the whole fact row, so a retried task repeats it. It
-    spreads a hot key (NULL and unmatched keys too) over ``salts`` tasks; each
-    dimension row is repeated once per salt. The facts shuffle once for all
-    dimensions, since every join uses the same two columns.
+    A key with more than ``rows_per_task`` facts (NULL and unmatched keys count
+    too) is split into parts: its facts spread over them by a hash of the whole
+    row, which a retried task repeats, and its dimension rows are repeated once
+    per part. Other keys have one part. All joins use the same two columns, so
+    the facts shuffle and sort once for all dimensions.
     """
-    salt = "_salt"
-    parts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(salt)
+    part, parts, hot_key = "_part", "_parts", "_hot_key"
+    # Written, so that both sides of the joins see one and the same split. It has at
+    # most (facts / rows_per_task) rows, which bounds its broadcast.
+    hot = written(
+        facts.groupBy(F.col(key).alias(hot_key))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > rows_per_task)
+        .select(hot_key, F.ceil(F.col("_n") / rows_per_task).cast("int").alias(parts)),
+        shared_dir(facts.sparkSession),
+    )
+
+    def with_parts(df: DataFrame) -> DataFrame:
+        same_key = df[key].eqNullSafe(hot[hot_key])
+        return df.join(F.broadcast(hot), same_key, "left").drop(hot_key)
+
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
-    salted = facts.withColumn(salt, F.pmod(row_hash, F.lit(salts)).cast("int"))
+    place = F.coalesce(F.pmod(row_hash, F.col(parts)), F.lit(0)).cast("int")
+    split = with_parts(facts).withColumn(part, place).drop(parts)
+    every_part = F.explode(F.sequence(F.lit(0), F.coalesce(parts, F.lit(1)) - 1)).alias(part)
     for dim in dims:
-        salted = salted.join(dim.table.select("*", parts), [key, salt], "left")
-    return salted.drop(salt)
+        repeated = with_parts(dim.table).select(*dim.table.columns, every_part)
+        # The hint keeps estimates from broadcasting what was measured as too big.
+        split = split.join(repeated.hint("merge"), [key, part], "left")
+    return split.drop(part)
 
 
 def join_dimensions(
@@ -119,13 +140,13 @@ def join_dimensions(
     key: str = KEY,
     sizes: dict[str, DimensionSize] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join of ``facts`` with every dimension; the key comes first.
 
     Dimensions of a measured size up to ``broadcast_bytes`` are broadcast, so the
-    facts are not shuffled; bigger ones follow as salted shuffle joins. Every
-    fact is kept; a key that a dimension repeats repeats the fact.
+    facts are not shuffled; bigger ones follow as shuffle joins with hot keys
+    split. Every fact is kept; a key that a dimension repeats repeats the fact.
     """
     sizes = measure(dims, key) if sizes is None else sizes
     small = [d for d in dims if sizes[d.name].bytes <= broadcast_bytes]
@@ -133,9 +154,8 @@ def join_dimensions(
     base = [c for c in facts.columns if c != key]
     added = [c for d in dims for c in d.added(key)]
 
-    joined = reduce(lambda df, d: df.join(F.broadcast(d.table), key, "left"), small, facts)
-    if large:
-        joined = _salted_left_join(joined, large, key, salts)
+    joined = _shuffled_left_join(facts, large, key, rows_per_task) if large else facts
+    joined = reduce(lambda df, d: df.join(F.broadcast(d.table), key, "left"), small, joined)
     return joined.select(key, *base, *added)
 
 

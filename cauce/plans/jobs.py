@@ -24,7 +24,7 @@ from cauce.operators.reports import clean_report, enrich_report, ingest_report
 from cauce.operators.shape import metrics_frame, to_row, total
 from cauce.schemas import KEY, SAMPLE_ROWS
 from cauce.sinks import observed, write_report, write_sample, write_table
-from cauce.sources import land, read_clean, read_landing
+from cauce.sources import land, read_clean, read_landing, unreadable_counts
 
 
 @dataclass(frozen=True)
@@ -51,7 +51,8 @@ def run_ingest(
     again for the sample.
     """
     spark = raw.sparkSession
-    counted, observation = observed(raw, {"source_rows": total(F.lit(1))})
+    measures = {"source_rows": total(F.lit(1)), "unreadable_counts": unreadable_counts()}
+    counted, observation = observed(raw, measures)
     write_table(land(counted), f"{out}/landing")
     landing = read_landing(spark, f"{out}/landing")
     metrics = {**observation.get, "stored_rows": landing.count()}

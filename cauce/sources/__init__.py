@@ -9,7 +9,7 @@ from cauce.sources.files import (
 )
 from cauce.sources.html import html_rows, html_table
 from cauce.sources.paged import PagedJson, read_pages
-from cauce.sources.records import land, project_fields, records_from_json
+from cauce.sources.records import land, project_fields, records_from_json, unreadable_counts
 
 __all__ = [
     "PagedJson",
@@ -26,4 +26,5 @@ __all__ = [
     "read_pages",
     "read_xml_rows",
     "records_from_json",
+    "unreadable_counts",
 ]

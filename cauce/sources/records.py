@@ -1,6 +1,6 @@
 """API records to landing rows."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -28,7 +28,7 @@ def records_from_json(df: DataFrame, json: str, schema: StructType = RAW) -> Dat
     return df.select(*kept, record.alias("_record")).select(*kept, "_record.*")
 
 
-def _as_number(text):
+def _as_number(text: Column) -> Column:
     value = text.try_cast("double")
     return F.when(~F.isnan(value), value)
 
@@ -50,8 +50,7 @@ def land(raw: DataFrame) -> DataFrame:
     ).select(*LANDING.fieldNames())
 
 
-def unreadable_counts(raw: DataFrame) -> DataFrame:
-    """One row: raw counts that are present but not a number."""
+def unreadable_counts() -> Column:
+    """Aggregate over raw records: counts that are present but no number."""
     text = to_code(F.col(COUNT))
-    bad = text.isNotNull() & _as_number(text).isNull()
-    return raw.agg(total(bad.cast("bigint")).alias("unreadable_counts"))
+    return total((text.isNotNull() & _as_number(text).isNull()).cast("bigint"))

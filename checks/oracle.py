@@ -434,7 +434,7 @@ def oracle() -> dict[str, str]:
             " poblacion_2023 FROM matched",
         ),
         "join_left_chain5": with_(*facts_joined, select="SELECT * FROM matched"),
-        "join_left_salted": with_(*facts_joined, select="SELECT * FROM matched"),
+        "join_left_shuffled": with_(*facts_joined, select="SELECT * FROM matched"),
         "join_key_coercion": with_(
             FACTS,
             select="SELECT id, TRY_CAST(trim(cod_depto, ' ') AS INTEGER) AS cod_depto FROM facts",
@@ -464,6 +464,10 @@ def oracle() -> dict[str, str]:
             " CASE WHEN count(*) = count(departamento) THEN 'OK - Integridad confirmada'"
             " ELSE 'ALERTA - Diferencia detectada' END AS status FROM facts",
         ),
+        "agg_unreadable_counts": with_(
+            FACTS,
+            select="SELECT count(municipio) FILTER (id % 3 = 0) AS unreadable_counts FROM facts",
+        ),
         "agg_match_counts": with_(
             *star,
             ONE,

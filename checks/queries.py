@@ -36,6 +36,7 @@ from cauce.sources import (
     read_pages,
     read_xml_rows,
     records_from_json,
+    unreadable_counts,
 )
 from checks import fixtures
 from checks.fixtures import _fields, dimensions, facts, run_time, table
@@ -194,7 +195,9 @@ def sample_raw(spark, sf_dir):
     )
     out = shared_dir(spark)
     write_sample(ordering.sample(first), out)
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(out)
+    # With a NULL text that no field holds, a quoted empty field is read as a text.
+    options = {"header": True, "escape": '"', "nullValue": "\0", "multiLine": True}
+    return spark.read.schema(schema).options(**options).csv(out)
 
 
 @query
@@ -296,10 +299,12 @@ def join_left_chain5(spark, sf_dir):
 
 
 @query
-def join_left_salted(spark, sf_dir):
-    """The same five joins for dimensions beyond the broadcast bound."""
+def join_left_shuffled(spark, sf_dir):
+    """The same five joins as if no dimension could be broadcast and most keys were hot."""
     keyed = enrichment.with_key(facts(spark, sf_dir))
-    return enrichment.join_dimensions(keyed, dimensions(spark, sf_dir), broadcast_bytes=0)
+    return enrichment.join_dimensions(
+        keyed, dimensions(spark, sf_dir), broadcast_bytes=0, rows_per_task=100
+    )
 
 
 @query
@@ -355,6 +360,17 @@ def agg_reconcile(spark, sf_dir):
     return reconcile(raw_records(spark, sf_dir), stored)
 
 
+@query
+def agg_unreadable_counts(spark, sf_dir):
+    """Counts that are no number, among records where some hold a word instead."""
+    word = F.when(F.col("id") % 3 == 0, F.trim("municipio")).otherwise(
+        F.col("cantidad").cast("string")
+    )
+    return facts(spark, sf_dir).withColumn("cantidad", word).agg(
+        unreadable_counts().alias("unreadable_counts")
+    )
+
+
 @query
 def agg_match_counts(spark, sf_dir):
     clean = cleaning.clean(facts(spark, sf_dir))
