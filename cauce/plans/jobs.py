@@ -29,9 +29,10 @@ from cauce.sources import land, read_clean, read_landing, unreadable_counts
 
 @dataclass(frozen=True)
 class StageResult:
-    """The written table, the measured numbers and the report of a stage."""
+    """The written table, its exported sample, the measured numbers and the report."""
 
     table: DataFrame
+    sample: DataFrame
     metrics: dict[str, int]
     report: DataFrame
 
@@ -58,10 +59,10 @@ def run_ingest(
     metrics = {**observation.get, "stored_rows": landing.count()}
     row = to_row(metrics_frame(spark, metrics), metrics)
     report = ingest_report(row, run_time, source_label)
-    first = raw if first_records is None else first_records
-    write_sample(sample(first, sample_rows), f"{out}/landing_sample")
+    first = sample(raw if first_records is None else first_records, sample_rows)
+    write_sample(first, f"{out}/landing_sample")
     write_report(report, f"{out}/landing_report")
-    return StageResult(landing, metrics, report)
+    return StageResult(landing, first, metrics, report)
 
 
 def run_clean(
@@ -82,9 +83,10 @@ def run_clean(
     metrics = observation.get
     table = read_clean(spark, f"{out}/clean")
     report = clean_report(metrics_frame(spark, metrics), landing, run_time, source_label)
-    write_sample(sample_as_text(table, sample_rows), f"{out}/clean_sample")
+    first = sample_as_text(table, sample_rows)
+    write_sample(first, f"{out}/clean_sample")
     write_report(report, f"{out}/clean_report")
-    return StageResult(table, metrics, report)
+    return StageResult(table, first, metrics, report)
 
 
 def run_enrich(
@@ -114,9 +116,10 @@ def run_enrich(
     report = enrich_report(
         metrics_frame(spark, metrics), clean.columns, dims, run_time, sample_rows
     )
-    write_sample(sample_as_text(table, sample_rows), f"{out}/enriched_sample")
+    first = sample_as_text(table, sample_rows)
+    write_sample(first, f"{out}/enriched_sample")
     write_report(report, f"{out}/enriched_report")
-    return StageResult(table, metrics, report)
+    return StageResult(table, first, metrics, report)
 
 
 def run_all(
