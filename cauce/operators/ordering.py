@@ -10,6 +10,9 @@ from cauce.functions import timestamp_text
 from cauce.schemas import EVENT_TIME, ID, SAMPLE_ROWS
 from cauce.shared import shared_dir, written
 
+# Rows that a top-k may pass through one task.
+TOP_ROWS = 100_000
+
 
 def by_event_time(df: DataFrame) -> DataFrame:
     """Total order by event time; the id breaks ties."""
@@ -26,21 +29,31 @@ def sample_as_text(df: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     return sample(df, rows).withColumn(EVENT_TIME, timestamp_text(F.col(EVENT_TIME)))
 
 
-def page_slice(df: DataFrame, offset: int, limit: int, order: Sequence[str] = (ID,)) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` of the order, as a top-k.
-
-    For pages near the start. Deep pages of a table with contiguous ids are
-    ``page_by_id``.
-    """
-    return df.orderBy(*order).offset(offset).limit(limit)
-
-
 def page_by_id(df: DataFrame, offset: int, limit: int, id_column: str = ID) -> DataFrame:
-    """The same page where ids run 1..N without gaps: a range filter, no sort."""
+    """Rows ``offset`` to ``offset + limit`` where ids run 1..N without gaps: no sort."""
     position = F.col(id_column)
     return df.filter((position > offset) & (position <= offset + limit))
 
 
+def page_slice(
+    df: DataFrame,
+    offset: int,
+    limit: int,
+    order: Sequence[str] = (ID,),
+    top_rows: int = TOP_ROWS,
+) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` of a total order.
+
+    A page that ends within the first ``top_rows`` rows is a top-k, which passes
+    that many rows through one task. For a deeper page the rows are numbered.
+    """
+    if offset + limit <= top_rows:
+        return df.orderBy(*order).offset(offset).limit(limit)
+    position = "_position"
+    numbered = with_surrogate_id(df, [F.col(c).asc() for c in order], position)
+    return page_by_id(numbered, offset, limit, position).drop(position)
+
+
 def append_pages(pages: Sequence[DataFrame]) -> DataFrame:
     """All rows of all pages, duplicates kept; columns match by name, absent ones are NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pages)

@@ -6,7 +6,7 @@ an error with that value in it, never a silent NULL.
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from cauce.functions import null_if_marker, strict_cast
 from cauce.operators.enrichment import Dimension
@@ -68,26 +68,64 @@ def read_delimited(
     return _typed(texts, schema, markers=True)
 
 
-def read_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Files that each hold one JSON array of objects, over any number of lines."""
-    texts = (
-        spark.read.schema(_text_fields(schema))
-        .option("multiLine", True)
-        .option("mode", "FAILFAST")
-        .json(path)
+def _json_lines(spark: SparkSession, path: str, texts: StructType) -> DataFrame:
+    """Objects of JSON arrays whose objects do not go over a line end.
+
+    Each line without the brackets and commas of the array around it is parsed
+    as a list; a line that holds only part of an object is malformed.
+    """
+    line = F.regexp_replace("value", r"^\s*\[|,\s*$|\]\s*$", "")
+    lines = spark.read.text(path).select(line.alias("line")).filter(F.trim("line") != "")
+    objects = F.from_json(
+        F.concat(F.lit("["), "line", F.lit("]")), ArrayType(texts), {"mode": "FAILFAST"}
     )
-    return _typed(texts, schema, markers=False)
+    return lines.select(F.inline(objects))
 
 
-def read_xml_rows(spark: SparkSession, path: str, schema: StructType, row_tag: str) -> DataFrame:
-    """One row per ``row_tag`` element; each field is a child element and must be there."""
-    texts = (
-        spark.read.schema(_text_fields(schema))
-        .option("rowTag", row_tag)
-        .option("mode", "FAILFAST")
-        .xml(path)
-    )
-    return _typed(texts, schema, markers=False, required=True)
+def read_json_array(
+    spark: SparkSession, path: str, schema: StructType, split: bool = False
+) -> DataFrame:
+    """Files that each hold one JSON array of objects, over any number of lines.
+
+    A file is one task. With ``split`` parts of a file are read in parallel; then
+    no object may go over a line end, which is an error.
+    """
+    texts = _text_fields(schema)
+    if split:
+        return _typed(_json_lines(spark, path, texts), schema, markers=False)
+    reader = spark.read.schema(texts).option("multiLine", True).option("mode", "FAILFAST")
+    return _typed(reader.json(path), schema, markers=False)
+
+
+def _xml_elements(spark: SparkSession, path: str, texts: StructType, row_tag: str) -> DataFrame:
+    """Elements of XML files, cut apart at their end tags."""
+    start = rf"<{row_tag}[\s/>]"
+    cut = spark.read.option("lineSep", f"</{row_tag}>").text(path)
+    elements = cut.select(F.regexp_extract("value", f"(?s){start}.*", 0).alias("element"))
+    alone = F.when(
+        F.regexp_count("element", F.lit(start)) > 1,
+        F.raise_error(F.lit(f"{row_tag}: element inside or beside another one")),
+    ).otherwise(F.concat("element", F.lit(f"</{row_tag}>")))
+    row = F.from_xml(alone, texts, {"mode": "FAILFAST", "rowTag": row_tag})
+    return elements.filter("element <> ''").select(row.alias("row")).select("row.*")
+
+
+def read_xml_rows(
+    spark: SparkSession, path: str, schema: StructType, row_tag: str, split: bool = False
+) -> DataFrame:
+    """One row per ``row_tag`` element; each field is a child element and must be there.
+
+    A file is one task. With ``split`` parts of a file are read in parallel; then
+    elements are found by their tags alone, so they must not be empty tags, stand
+    in comments or nest, which is an error.
+    """
+    texts = _text_fields(schema)
+    if split:
+        rows = _xml_elements(spark, path, texts, row_tag)
+    else:
+        reader = spark.read.schema(texts).option("rowTag", row_tag).option("mode", "FAILFAST")
+        rows = reader.xml(path)
+    return _typed(rows, schema, markers=False, required=True)
 
 
 def read_html_table(
@@ -104,22 +142,31 @@ def _dimension(name: str, table: DataFrame, added: list[str]) -> Dimension:
 
 
 def read_dimensions(
-    spark: SparkSession, population: str, category: str, region: str, gdp: str, employment: str
+    spark: SparkSession,
+    population: str,
+    category: str,
+    region: str,
+    gdp: str,
+    employment: str,
+    split: bool = False,
 ) -> list[Dimension]:
-    """The five dimensions, each from a path in its own format."""
+    """The five dimensions, each from a path in its own format.
+
+    ``split`` is for JSON and XML files so large that one task should not read one.
+    """
     return [
         _dimension(
             "poblacion (CSV)", read_delimited(spark, population, POPULATION), ["poblacion_2023"]
         ),
         _dimension(
             "categorias (JSON)",
-            read_json_array(spark, category, CATEGORY),
+            read_json_array(spark, category, CATEGORY, split),
             ["categoria_departamento", "num_municipios"],
         ),
         _dimension("regiones (TXT)", read_delimited(spark, region, REGION, sep="|"), ["region"]),
         _dimension(
             "pib (XML)",
-            read_xml_rows(spark, gdp, GDP, "departamento"),
+            read_xml_rows(spark, gdp, GDP, "departamento", split),
             ["pib_percapita_cop", "pib_total_millones_cop"],
         ),
         _dimension(

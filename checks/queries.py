@@ -93,10 +93,10 @@ def src_csv(spark, sf_dir):
     return read_delimited(spark, fixtures.made_once(spark, sf_dir, "csv", make), schema)
 
 
-@query
-def src_json_array(spark, sf_dir):
-    schema = _fields(cod_depto="long", categoria="string", num_municipios="integer")
+PART_FIELDS = _fields(cod_depto="long", categoria="string", num_municipios="integer")
+
 
+def _part_arrays(spark, sf_dir) -> str:
     def make(path):
         part = table(spark, sf_dir, "part").select(
             F.col("p_partkey").alias("cod_depto"),
@@ -105,7 +105,17 @@ def src_json_array(spark, sf_dir):
         )
         fixtures.write_json_arrays(part, F.floor(F.col("cod_depto") / fixtures.PAGE_SIZE), path)
 
-    return read_json_array(spark, fixtures.made_once(spark, sf_dir, "json", make), schema)
+    return fixtures.made_once(spark, sf_dir, "json", make)
+
+
+@query
+def src_json_array(spark, sf_dir):
+    return read_json_array(spark, _part_arrays(spark, sf_dir), PART_FIELDS)
+
+
+@query
+def src_json_array_split(spark, sf_dir):
+    return read_json_array(spark, _part_arrays(spark, sf_dir), PART_FIELDS, split=True)
 
 
 @query
@@ -123,10 +133,10 @@ def src_pipe_text(spark, sf_dir):
     return read_delimited(spark, path, schema, sep="|")
 
 
-@query
-def src_xml(spark, sf_dir):
-    schema = _fields(cod_depto="long", nombre="string", pib_total="long")
+CUSTOMER_FIELDS = _fields(cod_depto="long", nombre="string", pib_total="long")
 
+
+def _customer_xml(spark, sf_dir) -> str:
     def make(path):
         table(spark, sf_dir, "customer").select(
             F.col("c_custkey").alias("cod_depto"),
@@ -134,8 +144,19 @@ def src_xml(spark, sf_dir):
             F.floor(F.col("c_acctbal") * 100).alias("pib_total"),
         ).write.option("rootTag", "departamentos").option("rowTag", "departamento").xml(path)
 
-    path = fixtures.made_once(spark, sf_dir, "xml", make)
-    return read_xml_rows(spark, path, schema, "departamento")
+    return fixtures.made_once(spark, sf_dir, "xml", make)
+
+
+@query
+def src_xml(spark, sf_dir):
+    path = _customer_xml(spark, sf_dir)
+    return read_xml_rows(spark, path, CUSTOMER_FIELDS, "departamento")
+
+
+@query
+def src_xml_split(spark, sf_dir):
+    path = _customer_xml(spark, sf_dir)
+    return read_xml_rows(spark, path, CUSTOMER_FIELDS, "departamento", split=True)
 
 
 @query
@@ -419,6 +440,12 @@ def limit_offset_page(spark, sf_dir):
     return ordering.page_slice(facts(spark, sf_dir), offset=1500, limit=500)
 
 
+@query
+def limit_deep_page(spark, sf_dir):
+    """The same page as if it were too deep for a top-k."""
+    return ordering.page_slice(facts(spark, sf_dir), offset=1500, limit=500, top_rows=0)
+
+
 @query
 def limit_page_by_id(spark, sf_dir):
     return ordering.page_by_id(fixtures.numbered_records(spark, sf_dir), offset=1500, limit=500)

@@ -35,6 +35,9 @@ def test_pages_of_a_table(spark):
     by_id = ordering.page_by_id(df, 90, 20)
     assert rows(by_order) == rows(by_id) == [(i,) for i in range(91, 101)]
     assert "Sort" not in plan(by_id)
+    deep = ordering.page_slice(df, 90, 20, top_rows=50)
+    assert deep.columns == ["id"] and rows(deep) == rows(by_id)
+    assert "TakeOrdered" not in plan(deep)
 
 
 def test_append_pages_keeps_duplicates_and_fills_columns(spark):

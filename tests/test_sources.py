@@ -86,6 +86,31 @@ def test_json_array_over_lines_and_files(spark, tmp_path):
     ]
 
 
+def test_json_array_in_parts(spark, tmp_path):
+    """Parts of one file, whose objects are one or more to a line."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        lines = ",\n".join(f'  {{"cod_depto": {i}, "departamento": "[a], b"}}' for i in range(3000))
+        put(tmp_path / "j" / "a.json", f"[\n{lines}\n]\n")
+        put(tmp_path / "j" / "b.json", '[{"cod_depto": -1}, {"cod_depto": -2}]')
+        put(tmp_path / "j" / "c.json", "[]")
+        df = read_json_array(spark, str(tmp_path / "j"), CATEGORY, split=True)
+        assert df.rdd.getNumPartitions() > 3
+        found = df.agg(F.count("*"), F.sum("cod_depto"), F.max("departamento")).first()
+        assert tuple(found) == (3002, 2999 * 1500 - 3, "[a], b")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize(
+    "text", ['[{"cod_depto": 1,\n"num_municipios": 2}]', '[\n{"x": [\n1\n]}]', '[{"cod_depto": 1']
+)
+def test_json_object_over_a_line_end_is_an_error(spark, tmp_path, text):
+    path = put(tmp_path / "a.json", text)
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_json_array(spark, path, CATEGORY, split=True).collect()
+
+
 def xml(*rows_):
     return f"<?xml version='1.0'?><departamentos>{''.join(rows_)}</departamentos>"
 
@@ -119,6 +144,38 @@ def test_xml_is_strict(spark, tmp_path, text, message):
         read_xml_rows(spark, path, GDP, "departamento").collect()
 
 
+@pytest.mark.parametrize("text", ["bare", "spaced"])
+def test_xml_in_parts(spark, tmp_path, text):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        elements = [department(i) for i in range(2000)]
+        if text == "spaced":
+            elements = [e.replace("><", ">\n  <").replace("<nombre>", "<!-- c --><nombre>") for e in elements]
+        path = put(tmp_path / "p.xml", xml(*elements) + "\n")
+        df = read_xml_rows(spark, path, GDP, "departamento", split=True)
+        assert df.rdd.getNumPartitions() > 3
+        found = df.agg(F.count("*"), F.sum("cod_depto"), F.min("nombre")).first()
+        assert tuple(found) == (2000, 1999 * 1000, "A & Ñ")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize(
+    "text, message",
+    [
+        (xml(department(5), department(8, "")), "pib_total_millones_cop: missing"),
+        (xml(department("x")), "cod_depto: not a valid int: x"),
+        (xml("<departamento/>", department(5)), "inside or beside"),
+        (xml("<!-- <departamento> -->", department(5)), "inside or beside"),
+        (xml(department(5))[:-40], "MALFORMED_RECORD"),
+    ],
+)
+def test_xml_in_parts_is_strict(spark, tmp_path, text, message):
+    path = put(tmp_path / "p.xml", text)
+    with pytest.raises(Exception, match=message):
+        read_xml_rows(spark, path, GDP, "departamento", split=True).collect()
+
+
 # --- HTML --------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><script>var t = "<table><tr><td>1</td></tr></table>";</script>
