@@ -5,6 +5,8 @@ projection of the groups, and each audit figure is a sum over them. One shuffle
 therefore serves the table and its whole audit.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from cauce.operators.dedup import deduplicate, duplicate_groups, key_columns
 from cauce.operators.shape import to_metrics, total
 from cauce.schemas import COUNT, EVENT_TIME, FILL_VALUES, ID
 
+PARSED = "_parsed"
+
 
 def drop_undated(df: DataFrame, zoned: bool = False) -> DataFrame:
     """Keep rows whose event time parses.
@@ -24,7 +28,7 @@ def drop_undated(df: DataFrame, zoned: bool = False) -> DataFrame:
     return df.filter(raw.isNotNull() & parse_event_time(raw, zoned).isNotNull())
 
 
-def normalised_columns(zoned: bool = False, blank_as_null: bool = False) -> dict[str, Column]:
+def normalised_columns(event_time: Column, blank_as_null: bool = False) -> dict[str, Column]:
     """Typed, imputed and normalised replacement of each landing column."""
 
     def filled(name: str, text: Column) -> Column:
@@ -33,7 +37,7 @@ def normalised_columns(zoned: bool = False, blank_as_null: bool = False) -> dict
         return F.coalesce(text, F.lit(FILL_VALUES[name]))
 
     return {
-        EVENT_TIME: parse_event_time(F.col(EVENT_TIME), zoned),
+        EVENT_TIME: event_time,
         "cod_depto": filled("cod_depto", to_code(F.col("cod_depto"))),
         "departamento": to_name(filled("departamento", F.col("departamento"))),
         "cod_muni": filled("cod_muni", to_code(F.col("cod_muni"))),
@@ -44,7 +48,8 @@ def normalised_columns(zoned: bool = False, blank_as_null: bool = False) -> dict
 
 def normalise(df: DataFrame, zoned: bool = False, blank_as_null: bool = False) -> DataFrame:
     """Replace the landing columns in place, in one projection."""
-    return df.withColumns(normalised_columns(zoned, blank_as_null))
+    event_time = parse_event_time(F.col(EVENT_TIME), zoned)
+    return df.withColumns(normalised_columns(event_time, blank_as_null))
 
 
 def clean(landing: DataFrame, zoned: bool = False, blank_as_null: bool = False) -> DataFrame:
@@ -55,6 +60,20 @@ def clean(landing: DataFrame, zoned: bool = False, blank_as_null: bool = False)
     return normalise(drop_undated(deduplicate(landing), zoned), zoned, blank_as_null)
 
 
+def audited_groups(landing: DataFrame, zoned: bool = False) -> DataFrame:
+    """The groups of ``landing`` with the event time parsed, once for table and audit."""
+    parsed = parse_event_time(F.col(EVENT_TIME), zoned)
+    return duplicate_groups(landing).withColumn(PARSED, parsed)
+
+
+def clean_groups(
+    groups: DataFrame, columns: Sequence[str], blank_as_null: bool = False
+) -> DataFrame:
+    """The clean table from ``audited_groups``; equals ``clean`` of the landing table."""
+    dated = groups.filter(F.col(PARSED).isNotNull())
+    return dated.withColumns(normalised_columns(F.col(PARSED), blank_as_null)).select(*columns)
+
+
 def profile_measures(landing: DataFrame) -> dict[str, Column]:
     """Sums over the groups of ``landing``: rows, duplicates, nulls per column."""
     types = dict(landing.dtypes)
@@ -70,16 +89,16 @@ def profile_measures(landing: DataFrame) -> dict[str, Column]:
     }
 
 
-def step_measures(zoned: bool = False) -> dict[str, Column]:
-    """Sums over the groups: rows that each cleaning step removes or changes."""
-    raw = F.col(EVENT_TIME)
-    undated = parse_event_time(raw, zoned).isNull()
+def step_measures() -> dict[str, Column]:
+    """Sums over ``audited_groups``: rows that each cleaning step removes or changes."""
+    given = F.col(EVENT_TIME).isNotNull()
+    undated = F.col(PARSED).isNull()
     lost_count = F.col(COUNT).isNotNull() & to_count(F.col(COUNT)).isNull()
     return {
         "removed_duplicates": total(F.col("copies") - 1),
         "removed_undated": F.count_if(undated),
-        "undated_null": F.count_if(raw.isNull()),
-        "undated_unparsed": F.count_if(undated & raw.isNotNull()),
+        "undated_null": F.count_if(~given),
+        "undated_unparsed": F.count_if(undated & given),
         "counts_out_of_range": F.count_if(lost_count & ~undated),
         "final_rows": F.count_if(~undated),
     }
@@ -96,26 +115,21 @@ def profile(landing: DataFrame) -> DataFrame:
 
 def step_counts(landing: DataFrame, zoned: bool = False) -> DataFrame:
     """``(metric, value)``: rows removed per cleaning step, in one pass."""
-    return _measured(duplicate_groups(landing), step_measures(zoned))
+    return _measured(audited_groups(landing, zoned), step_measures())
 
 
 def clean_audit(landing: DataFrame, zoned: bool = False) -> DataFrame:
     """Profile and step counts together, in one pass."""
-    measures = {**profile_measures(landing), **step_measures(zoned)}
-    return _measured(duplicate_groups(landing), measures)
+    measures = {**profile_measures(landing), **step_measures()}
+    return _measured(audited_groups(landing, zoned), measures)
 
 
 def clean_summary(landing: DataFrame, zoned: bool = False) -> DataFrame:
     """``(metric, value)``: rows before, rows after, rows removed in total."""
-    steps = step_measures(zoned)
-    initial = total(F.col("copies"))
+    initial, final = total(F.col("copies")), step_measures()["final_rows"]
     return _measured(
-        duplicate_groups(landing),
-        {
-            "initial_rows": initial,
-            "final_rows": steps["final_rows"],
-            "removed_rows": initial - steps["final_rows"],
-        },
+        audited_groups(landing, zoned),
+        {"initial_rows": initial, "final_rows": final, "removed_rows": initial - final},
     )
 
 

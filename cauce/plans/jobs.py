@@ -12,19 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cauce.operators.cleaning import (
-    drop_undated,
-    normalise,
+    audited_groups,
+    clean_groups,
     profile_measures,
     step_measures,
 )
-from cauce.operators.dedup import duplicate_groups
 from cauce.operators.enrichment import Dimension, enrich, match_measures, measure
 from cauce.operators.ordering import sample, sample_as_text
 from cauce.operators.reports import clean_report, enrich_report, ingest_report
 from cauce.operators.shape import metrics_frame, to_row, total
 from cauce.schemas import KEY, SAMPLE_ROWS
 from cauce.sinks import observed, write_report, write_sample, write_table
-from cauce.sources import land, read_clean, read_landing, unreadable_counts
+from cauce.sources import land, read_landing, unreadable_counts
 
 
 @dataclass(frozen=True)
@@ -76,12 +75,12 @@ def run_clean(
 ) -> StageResult:
     """Clean ``landing`` into ``<out>/clean``: one scan, one shuffle, one write."""
     spark = landing.sparkSession
-    measures = {**profile_measures(landing), **step_measures(zoned)}
-    groups, observation = observed(duplicate_groups(landing), measures)
-    cleaned = normalise(drop_undated(groups, zoned), zoned, blank_as_null)
-    write_table(cleaned.select(*landing.columns), f"{out}/clean")
+    measures = {**profile_measures(landing), **step_measures()}
+    groups, observation = observed(audited_groups(landing, zoned), measures)
+    cleaned = clean_groups(groups, landing.columns, blank_as_null)
+    write_table(cleaned, f"{out}/clean")
     metrics = observation.get
-    table = read_clean(spark, f"{out}/clean")
+    table = spark.read.schema(cleaned.schema).parquet(f"{out}/clean")
     report = clean_report(metrics_frame(spark, metrics), landing, run_time, source_label)
     first = sample_as_text(table, sample_rows)
     write_sample(first, f"{out}/clean_sample")

@@ -52,8 +52,8 @@ class HttpPages:
 class FilePages:
     """Pages stored as files: ``<path>/offset=<first record>/`` holds a JSON array.
 
-    All pages but the last one hold ``page_size`` records. The path may be on any
-    file system that PyArrow knows.
+    All pages but the last one hold ``page_size`` records. The path is absolute and
+    may be on any file system that PyArrow knows.
     """
 
     def __init__(self, path, page_size):
@@ -61,9 +61,12 @@ class FilePages:
         self.page_size = page_size
 
     def _open(self):
-        if "://" in self.path or self.path.startswith("file:"):
-            return pyarrow.fs.FileSystem.from_uri(self.path)
-        return pyarrow.fs.LocalFileSystem(), self.path
+        scheme, colon, rest = self.path.partition(":")
+        if not colon or scheme == "file":
+            path = rest if colon else self.path
+            return pyarrow.fs.LocalFileSystem(), "/" + path.lstrip("/")
+        uri = f"s3:{rest}" if scheme in ("s3a", "s3n") else self.path
+        return pyarrow.fs.FileSystem.from_uri(uri)
 
     def _page(self, offset):
         files, root = self._open()

@@ -55,7 +55,8 @@ def query(function: Query) -> Query:
 
 def raw_records(spark, sf_dir, **options) -> DataFrame:
     path = fixtures.page_files(spark, sf_dir)
-    return read_pages(spark, RAW, path=path, limit=str(fixtures.PAGE_SIZE), **options)
+    options = {"path": path, "limit": str(fixtures.PAGE_SIZE), "pagesPerTask": "4", **options}
+    return read_pages(spark, RAW, **options)
 
 
 @query

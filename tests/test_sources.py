@@ -452,4 +452,6 @@ def test_file_pages_from_the_middle(tmp_path):
     source = FilePages(path, 4)
     assert source.fetch(2, 4) == [{"a": 2}, {"a": 3}]
     assert source.fetch(4, 4) == [{"a": 4}, {"a": 5}]
-    assert FilePages(f"file://{path}", 4).count() == 6
+    for uri in (f"file://{path}", f"file:{path}"):
+        assert FilePages(uri, 4).count() == 6
+        assert FilePages(uri, 4).fetch(0, 1) == [{"a": 0}]
