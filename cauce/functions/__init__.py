@@ -1,11 +1,9 @@
 from cauce.functions.scalars import (
     count_line,
     is_missing,
-    null_if_marker,
     parse_event_time,
     rate_per_100k,
     safe_ratio,
-    strict_cast,
     timestamp_text,
     to_code,
     to_count,
@@ -16,11 +14,9 @@ from cauce.functions.scalars import (
 __all__ = [
     "count_line",
     "is_missing",
-    "null_if_marker",
     "parse_event_time",
     "rate_per_100k",
     "safe_ratio",
-    "strict_cast",
     "timestamp_text",
     "to_code",
     "to_count",

@@ -3,30 +3,6 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Texts that data files use for "no value" (the pandas defaults).
-NULL_MARKERS = (
-    "",
-    "#N/A",
-    "#N/A N/A",
-    "#NA",
-    "-1.#IND",
-    "-1.#QNAN",
-    "-NaN",
-    "-nan",
-    "1.#IND",
-    "1.#QNAN",
-    "<NA>",
-    "N/A",
-    "NA",
-    "NULL",
-    "NaN",
-    "None",
-    "n/a",
-    "nan",
-    "null",
-)
-
-
 def parse_event_time(text: Column, zoned: bool = False) -> Column:
     """Text to TIMESTAMP_NTZ; text that is no timestamp gives NULL.
 
@@ -81,14 +57,3 @@ def is_missing(column: Column, data_type: str) -> Column:
     if data_type in ("float", "double"):
         return column.isNull() | F.isnan(column)
     return column.isNull()
-
-
-def null_if_marker(text: Column, markers: tuple[str, ...] = NULL_MARKERS) -> Column:
-    return F.when(~text.isin(*markers), text)
-
-
-def strict_cast(text: Column, data_type: str, label: str) -> Column:
-    """Cast that raises on text the type cannot hold, in either ANSI mode."""
-    value = text.try_cast(data_type)
-    message = F.concat(F.lit(f"{label}: not a valid {data_type}: "), text)
-    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)

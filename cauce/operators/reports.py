@@ -145,6 +145,16 @@ def clean_report(
     )
 
 
+def _source_line(dim: Dimension) -> Column:
+    rows = count_line(F.lit(dim.name), F.col(f"rows_{dim.name}"), width=35)
+    return F.concat(rows, F.lit(" registros"))
+
+
+def _match_line(dim: Dimension) -> Column:
+    counts = F.col(f"matched_{dim.name}"), F.col("enriched_rows")
+    return F.format_string("  %s (%s): %d / %d", F.lit(dim.name), F.lit(dim.marker), *counts)
+
+
 def enrich_report(
     audit: DataFrame,
     base_columns: Sequence[str],
@@ -165,17 +175,10 @@ def enrich_report(
             "=" * 65,
             "",
             ENRICH_SOURCES,
-            *[
-                F.concat(count_line(F.lit(d.name), F.col(f"rows_{d.name}"), 35), F.lit(" registros"))
-                for d in dims
-            ],
+            *[_source_line(d) for d in dims],
             "",
             ENRICH_MATCHES,
-            *[
-                F.format_string("  %s (%s): %d / %d", F.lit(d.name), F.lit(d.marker), matched, enriched)
-                for d in dims
-                for matched in [F.col(f"matched_{d.name}")]
-            ],
+            *[_match_line(d) for d in dims],
             "",
             ENRICH_COLUMNS,
             *[f"  + {c}" for c in new_columns],

@@ -110,6 +110,7 @@ def run_enrich(
         "base_rows": clean.count() if base_rows is None else base_rows,
         **matches.get,
         **{f"rows_{name}": size.rows for name, size in sizes.items()},
+        **{f"keys_{name}": size.keys for name, size in sizes.items()},
     }
     table = spark.read.schema(joined.schema).parquet(path)
     report = enrich_report(

@@ -1,7 +1,6 @@
 """Writers of tables, samples and reports."""
 
 from pyspark.sql import Column, DataFrame, Observation
-from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str) -> None:

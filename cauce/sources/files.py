@@ -6,9 +6,8 @@ an error with that value in it, never a silent NULL.
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StructType
 
-from cauce.functions import null_if_marker, strict_cast
 from cauce.operators.enrichment import Dimension
 from cauce.schemas import (
     CATEGORY,
@@ -21,22 +20,7 @@ from cauce.schemas import (
     REGION,
 )
 from cauce.sources.html import html_table
-
-
-def _text_fields(schema: StructType) -> StructType:
-    return StructType([StructField(f.name, StringType()) for f in schema.fields])
-
-
-def _typed(df: DataFrame, schema: StructType, markers: bool, required: bool = False) -> DataFrame:
-    columns = []
-    for field in schema.fields:
-        text = F.col(field.name)
-        if required:
-            text = F.coalesce(text, F.raise_error(F.lit(f"{field.name}: missing")))
-        if markers:
-            text = null_if_marker(text)
-        columns.append(strict_cast(text, field.dataType.simpleString(), field.name).alias(field.name))
-    return df.select(*columns)
+from cauce.sources.typed import text_fields, typed
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
@@ -56,7 +40,7 @@ def read_delimited(
     quoted fields, at the price of one task per file.
     """
     texts = (
-        spark.read.schema(_text_fields(schema))
+        spark.read.schema(text_fields(schema))
         .option("header", True)
         .option("sep", sep)
         .option("escape", '"')
@@ -65,7 +49,7 @@ def read_delimited(
         .option("mode", "FAILFAST")
         .csv(path)
     )
-    return _typed(texts, schema, markers=True)
+    return typed(texts, schema, markers=True)
 
 
 def _json_lines(spark: SparkSession, path: str, texts: StructType) -> DataFrame:
@@ -90,11 +74,11 @@ def read_json_array(
     A file is one task. With ``split`` parts of a file are read in parallel; then
     no object may go over a line end, which is an error.
     """
-    texts = _text_fields(schema)
+    texts = text_fields(schema)
     if split:
-        return _typed(_json_lines(spark, path, texts), schema, markers=False)
+        return typed(_json_lines(spark, path, texts), schema)
     reader = spark.read.schema(texts).option("multiLine", True).option("mode", "FAILFAST")
-    return _typed(reader.json(path), schema, markers=False)
+    return typed(reader.json(path), schema)
 
 
 def _xml_elements(spark: SparkSession, path: str, texts: StructType, row_tag: str) -> DataFrame:
@@ -119,13 +103,13 @@ def read_xml_rows(
     elements are found by their tags alone, so they must not be empty tags, stand
     in comments or nest, which is an error.
     """
-    texts = _text_fields(schema)
+    texts = text_fields(schema)
     if split:
         rows = _xml_elements(spark, path, texts, row_tag)
     else:
         reader = spark.read.schema(texts).option("rowTag", row_tag).option("mode", "FAILFAST")
         rows = reader.xml(path)
-    return _typed(rows, schema, markers=False, required=True)
+    return typed(rows, schema, required=True)
 
 
 def read_html_table(

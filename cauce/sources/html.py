@@ -7,16 +7,16 @@ inside tables, and cells that span rows or columns.
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StructType
+from pyspark.sql.types import StructType
 
-from cauce.functions import null_if_marker, strict_cast
+from cauce.sources.typed import typed
 
 _SKIPPED = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
 _TABLE = r"(?is)<table\b[^>]*>(.*?)</table\s*>"
 _ROW = r"(?is)<tr\b[^>]*>(.*?)(?=<tr\b|</tr\s*>|</t(?:head|body|foot)\b|\z)"
 _CELL = r"(?is)<t[dh]\b[^>]*>(.*?)(?=<t[dh]\b|</t[dh]\s*>|\z)"
 _TAG = r"(?s)<[^>]*>"
-_SPACE = r"[\s ]+"
+_SPACE = r"[\s\u00a0]+"
 _NESTED = r"(?i)<table\b"
 _SPAN = r"(?i)<t[dh]\b[^>]*\b(?:row|col)span\s*=\s*[\"']?\s*0*(?:[2-9]|1\d)"
 _REFERENCE = r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]+);"
@@ -46,6 +46,13 @@ _NAMED = {
 }
 
 
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "\\'") + "'"
+
+
+_NAMED_MAP = f"map({', '.join(_sql_text(x) for item in _NAMED.items() for x in item)})"
+
+
 def _referenced(piece: Column) -> Column:
     """The text after an ``&``: its reference as a character, then the rest."""
     name = F.regexp_extract(piece, _REFERENCE, 1)
@@ -58,8 +65,7 @@ def _referenced(piece: Column) -> Column:
     numbered = F.when(
         is_character, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
     )
-    names = F.create_map(*[F.lit(x) for item in _NAMED.items() for x in item])
-    char = F.coalesce(F.try_element_at(names, name), numbered)
+    char = F.coalesce(F.try_element_at(F.expr(_NAMED_MAP), name), numbered)
     rest = F.regexp_replace(piece, r"^[^;]*;", "")
     return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
 
@@ -111,6 +117,15 @@ def html_rows(pages: DataFrame, html: str = "html", table_index: int = 0) -> Dat
     return grid.select(*kept, F.posexplode("_grid").alias("row_no", "cells"))
 
 
+def _named_cell(name: str) -> Column:
+    """The cell of a row under the header ``name``; NULL where the row is too short."""
+    return F.expr(
+        f"if(array_position(_header, '{name}') = 0,"
+        f" raise_error('no column {name} in the table'),"
+        f" get(_cells, cast(array_position(_header, '{name}') AS int) - 1))"
+    )
+
+
 def html_table(
     pages: DataFrame,
     schema: StructType,
@@ -133,14 +148,7 @@ def html_table(
             "_pos", "_cells"
         ),
     )
-    columns = []
-    for field in schema.fields:
-        place = F.array_position(F.col("_header"), F.lit(field.name)).cast("int")
-        text = F.when(
-            place == 0, F.raise_error(F.lit(f"no column {field.name} in the table"))
-        ).otherwise(F.get(F.col("_cells"), place - 1))
-        text = null_if_marker(text)
-        if isinstance(field.dataType, NumericType):
-            text = F.replace(text, F.lit(","), F.lit(""))
-        columns.append(strict_cast(text, field.dataType.simpleString(), field.name).alias(field.name))
-    return rows.select(*kept, (F.col("_pos") + 1).alias("row_no"), *columns)
+    texts = [_named_cell(name).alias(name) for name in schema.fieldNames()]
+    row_no = (F.col("_pos") + 1).alias("row_no")
+    cells = rows.select(*kept, row_no, *texts)
+    return typed(cells, schema, markers=True, commas=True, kept=(*kept, "row_no"))

@@ -69,7 +69,7 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _fields(**types: str) -> StructType:
+def fields(**types: str) -> StructType:
     return reduce(lambda s, item: s.add(*item), types.items(), StructType())
 
 

@@ -21,7 +21,7 @@ from cauce.operators import cleaning, dedup, enrichment, ordering, reports
 from cauce.operators.reconcile import reconcile
 from cauce.operators.shape import metrics_frame, to_metrics
 from cauce.plans import run_all, run_clean, run_ingest
-from cauce.schemas import FILL_VALUES, ID, KEY, LANDING, RAW
+from cauce.schemas import FILL_VALUES, KEY, RAW
 from cauce.shared import shared_dir
 from cauce.sinks import write_report, write_sample, write_table
 from cauce.sources import (
@@ -30,7 +30,6 @@ from cauce.sources import (
     project_fields,
     read_clean,
     read_delimited,
-    read_html_table,
     read_json_array,
     read_landing,
     read_pages,
@@ -39,7 +38,7 @@ from cauce.sources import (
     unreadable_counts,
 )
 from checks import fixtures
-from checks.fixtures import _fields, dimensions, facts, run_time, table
+from checks.fixtures import dimensions, facts, fields, run_time, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,7 +81,7 @@ def src_clean_table(spark, sf_dir):
 
 @query
 def src_csv(spark, sf_dir):
-    schema = _fields(cod_depto="long", departamento="string", saldo="double")
+    schema = fields(cod_depto="long", departamento="string", saldo="double")
 
     def make(path):
         table(spark, sf_dir, "customer").select(
@@ -94,7 +93,7 @@ def src_csv(spark, sf_dir):
     return read_delimited(spark, fixtures.made_once(spark, sf_dir, "csv", make), schema)
 
 
-PART_FIELDS = _fields(cod_depto="long", categoria="string", num_municipios="integer")
+PART_FIELDS = fields(cod_depto="long", categoria="string", num_municipios="integer")
 
 
 def _part_arrays(spark, sf_dir) -> str:
@@ -121,7 +120,7 @@ def src_json_array_split(spark, sf_dir):
 
 @query
 def src_pipe_text(spark, sf_dir):
-    schema = _fields(cod_depto="long", region="string", total="double")
+    schema = fields(cod_depto="long", region="string", total="double")
 
     def make(path):
         table(spark, sf_dir, "orders").select(
@@ -134,7 +133,7 @@ def src_pipe_text(spark, sf_dir):
     return read_delimited(spark, path, schema, sep="|")
 
 
-CUSTOMER_FIELDS = _fields(cod_depto="long", nombre="string", pib_total="long")
+CUSTOMER_FIELDS = fields(cod_depto="long", nombre="string", pib_total="long")
 
 
 def _customer_xml(spark, sf_dir) -> str:
@@ -164,17 +163,17 @@ def src_xml_split(spark, sf_dir):
 def src_html_table(spark, sf_dir):
     """Whole raw pages, each with a table of one to five rows put before its last tag."""
     page = F.col("page_id")
-    row = lambda i: fixtures.row_markup(
-        page * 10 + i,
-        F.concat(F.lit("<b>"), F.lit("Nari&ntilde;o &amp; "), i.cast("string"), F.lit("</b>")),
-        F.format_number(page * 1000 + i, 0),
-    )
+
+    def row(i):
+        name = F.concat(F.lit("<b>Nari&ntilde;o &amp; "), i.cast("string"), F.lit("</b>"))
+        return fixtures.row_markup(page * 10 + i, name, F.format_number(page * 1000 + i, 0))
+
     body = F.array_join(F.transform(F.sequence(F.lit(0), page % 5), row), "")
     markup = fixtures.table_markup(["cod_depto", "nombre", "poblacion_ocupada"], body)
     pages = table(spark, sf_dir, "pages").select(
         "page_id", F.concat("html", markup, F.lit("</html>")).alias("html")
     )
-    schema = _fields(cod_depto="integer", nombre="string", poblacion_ocupada="long")
+    schema = fields(cod_depto="integer", nombre="string", poblacion_ocupada="long")
     return html_table(pages, schema)
 
 
@@ -269,7 +268,7 @@ def proj_dim_columns(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
     return project_fields(
         customers.withColumnRenamed("c_custkey", "cod_depto"),
-        _fields(cod_depto="long", c_acctbal="double", poblacion_2023="long"),
+        fields(cod_depto="long", c_acctbal="double", poblacion_2023="long"),
     )
 
 

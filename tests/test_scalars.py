@@ -6,11 +6,9 @@ from pyspark.sql import functions as F
 from cauce.functions import (
     count_line,
     is_missing,
-    null_if_marker,
     parse_event_time,
     rate_per_100k,
     safe_ratio,
-    strict_cast,
     timestamp_text,
     to_code,
     to_count,
@@ -88,28 +86,9 @@ def test_texts_for_reports(spark):
     assert df.select(timestamp_text(ts).alias("x")).first()["x"] == "2024-05-06 07:08:09"
 
 
-def test_missing_and_markers(spark):
+def test_missing(spark):
     assert values(spark, [1.0, float("nan"), None], "double", lambda x: is_missing(x, "double")) == [
         False,
         True,
         True,
     ]
-    assert values(spark, ["NA", "", "NAN", "Nada", None], "string", null_if_marker) == [
-        None,
-        None,
-        "NAN",
-        "Nada",
-        None,
-    ]
-
-
-@pytest.mark.parametrize("ansi", ["true", "false"])
-def test_strict_cast_raises_with_the_value(spark, ansi):
-    spark.conf.set("spark.sql.ansi.enabled", ansi)
-    try:
-        cast = lambda x: strict_cast(x, "int", "n")
-        assert values(spark, ["1", None], "string", cast) == [1, None]
-        with pytest.raises(Exception, match="n: not a valid int: 1.5"):
-            values(spark, ["1.5"], "string", cast)
-    finally:
-        spark.conf.unset("spark.sql.ansi.enabled")

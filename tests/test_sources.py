@@ -23,6 +23,7 @@ from cauce.sources import (
 )
 from cauce.sources.html import decode_references
 from cauce.sources.paged import FilePages, HttpPages, PagedJson, PageRange, PageReader, as_text
+from cauce.sources.typed import typed
 from helpers import rows
 
 
@@ -284,6 +285,29 @@ def test_five_dimensions_from_files(spark, tmp_path):
     ]
 
 
+# --- types ----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_typed_is_strict_in_either_mode(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([("1", "NA"), (" 2 ", ""), (None, "NAN")], "n string, t string")
+        wanted = StructType().add("n", "integer").add("t", "string")
+        assert rows(typed(df, wanted)) == [(None, "NAN"), (1, "NA"), (2, "")]
+        assert rows(typed(df, wanted, markers=True)) == [(None, "NAN"), (1, None), (2, None)]
+        with pytest.raises(Exception, match="n: missing"):
+            typed(df, wanted, required=True).collect()
+        for text in ("1.5", "x", "3000000000", "1,000"):
+            bad = spark.createDataFrame([(text, "")], df.schema)
+            with pytest.raises(Exception, match=f"n: not a valid int: {text}"):
+                typed(bad, wanted).collect()
+        thousands = spark.createDataFrame([("1,000", "a,b")], df.schema)
+        assert rows(typed(thousands, wanted, commas=True)) == [(1000, "a,b")]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 # --- records -----------------------------------------------------------------
 
 
