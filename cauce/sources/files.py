@@ -1,7 +1,7 @@
 """File readers with explicit schemas.
 
-Texts are read as texts and then cast, so a value that does not fit its type is
-an error with that value in it, never a silent NULL.
+A value that does not fit its type is an error, never a silent NULL. Delimited
+and XML texts are read as texts and then cast; JSON values have types already.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,7 +52,7 @@ def read_delimited(
     return typed(texts, schema, markers=True)
 
 
-def _json_lines(spark: SparkSession, path: str, texts: StructType) -> DataFrame:
+def _json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Objects of JSON arrays whose objects do not go over a line end.
 
     Each line without the brackets and commas of the array around it is parsed
@@ -61,7 +61,7 @@ def _json_lines(spark: SparkSession, path: str, texts: StructType) -> DataFrame:
     line = F.regexp_replace("value", r"^\s*\[|,\s*$|\]\s*$", "")
     lines = spark.read.text(path).select(line.alias("line")).filter(F.trim("line") != "")
     objects = F.from_json(
-        F.concat(F.lit("["), "line", F.lit("]")), ArrayType(texts), {"mode": "FAILFAST"}
+        F.concat(F.lit("["), "line", F.lit("]")), ArrayType(schema), {"mode": "FAILFAST"}
     )
     return lines.select(F.inline(objects))
 
@@ -71,14 +71,14 @@ def read_json_array(
 ) -> DataFrame:
     """Files that each hold one JSON array of objects, over any number of lines.
 
-    A file is one task. With ``split`` parts of a file are read in parallel; then
-    no object may go over a line end, which is an error.
+    A value that does not fit its type is an error. A file is one task; with
+    ``split`` parts of a file are read in parallel, and then no object may go over
+    a line end, which is an error too.
     """
-    texts = text_fields(schema)
     if split:
-        return typed(_json_lines(spark, path, texts), schema)
-    reader = spark.read.schema(texts).option("multiLine", True).option("mode", "FAILFAST")
-    return typed(reader.json(path), schema)
+        return _json_lines(spark, path, schema)
+    reader = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST")
+    return reader.json(path).select(*schema.fieldNames())
 
 
 def _xml_elements(spark: SparkSession, path: str, texts: StructType, row_tag: str) -> DataFrame:

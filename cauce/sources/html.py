@@ -119,11 +119,9 @@ def html_rows(pages: DataFrame, html: str = "html", table_index: int = 0) -> Dat
 
 def _named_cell(name: str) -> Column:
     """The cell of a row under the header ``name``; NULL where the row is too short."""
-    return F.expr(
-        f"if(array_position(_header, '{name}') = 0,"
-        f" raise_error('no column {name} in the table'),"
-        f" get(_cells, cast(array_position(_header, '{name}') AS int) - 1))"
-    )
+    place = f"nullif(cast(array_position(_header, '{name}') AS int), 0)"
+    error = f"raise_error('no column {name} in the table')"
+    return F.expr(f"get(_cells, coalesce({place}, {error}) - 1)")
 
 
 def html_table(

@@ -50,8 +50,8 @@ def _column(field: StructField, markers: bool, required: bool, commas: bool) ->
         text = f"replace({text}, ',', '')"
     wanted = field.dataType.simpleString()
     message = f"concat('{field.name}: not a valid {wanted}: ', {text})"
-    value = f"try_cast({text} AS {wanted})"
-    return f"if({text} IS NOT NULL AND {value} IS NULL, raise_error({message}), {value})"
+    # The error branch is reached only where the cast gives NULL.
+    return f"coalesce(try_cast({text} AS {wanted}), if({text} IS NULL, NULL, raise_error({message})))"
 
 
 def typed(

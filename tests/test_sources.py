@@ -73,10 +73,9 @@ def test_delimited_line_breaks_in_quotes(spark, tmp_path):
 
 
 def test_json_array_over_lines_and_files(spark, tmp_path):
-    put(tmp_path / "j" / "a.json", '[\n {"cod_depto": 5,\n "num_municipios": "12", "other": 1},\n')
     put(
         tmp_path / "j" / "a.json",
-        '[\n {"cod_depto": 5,\n "num_municipios": "12", "other": 1},\n'
+        '[\n {"cod_depto": 5,\n "num_municipios": 12, "other": 1},\n'
         ' {"cod_depto": 8, "categoria_departamento": null, "num_municipios": 1}\n]',
     )
     put(tmp_path / "j" / "b.json", '[{"cod_depto": 9, "departamento": "NA"}]')
@@ -87,6 +86,14 @@ def test_json_array_over_lines_and_files(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("split", [False, True])
+@pytest.mark.parametrize("value", ['"12"', "1.5", "3000000000", "[1]"])
+def test_json_value_of_another_type_is_an_error(spark, tmp_path, value, split):
+    path = put(tmp_path / "a.json", f'[{{"cod_depto": 1, "num_municipios": {value}}}]')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_json_array(spark, path, CATEGORY, split).collect()
+
+
 def test_json_array_in_parts(spark, tmp_path):
     """Parts of one file, whose objects are one or more to a line."""
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
