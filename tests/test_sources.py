@@ -86,6 +86,19 @@ def test_json_array_over_lines_and_files(spark, tmp_path):
     ]
 
 
+def test_byte_order_mark_is_no_text(spark, tmp_path):
+    mark = "\ufeff"
+    csv = put(tmp_path / "p.csv", f"{mark}cod_depto,departamento,poblacion_2023\r\n5,A,7\r\n")
+    assert rows(read_delimited(spark, csv, POPULATION)) == [(5, "A", 7)]
+    array = put(tmp_path / "a.json", f'{mark}[{{"cod_depto": 5, "num_municipios": 7}}]')
+    for split in (False, True):
+        assert rows(read_json_array(spark, array, CATEGORY, split)) == [(5, None, None, 7)]
+    elements = put(tmp_path / "p.xml", mark + xml(department(5)))
+    for split in (False, True):
+        found = read_xml_rows(spark, elements, GDP, "departamento", split)
+        assert rows(found) == [(5, "A & Ñ", 2, 3)]
+
+
 @pytest.mark.parametrize("split", [False, True])
 @pytest.mark.parametrize("value", ['"12"', "1.5", "3000000000", "[1]"])
 def test_json_value_of_another_type_is_an_error(spark, tmp_path, value, split):
