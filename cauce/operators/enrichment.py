@@ -16,6 +16,10 @@ from cauce.shared import shared_dir, written
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Facts of one key that may meet in one task when a dimension is too big for that.
 ROWS_PER_TASK = 5_000_000
+_FIXED_WIDTH = (
+    "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date",
+    "timestamp",
+)
 
 
 @dataclass(frozen=True)
@@ -41,13 +45,13 @@ class DimensionSize:
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of a row as held in memory: the texts plus eight per column."""
-    texts = [
-        F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    """Bytes of a row as held in memory: eight per column, and all texts and nested values."""
+    sizes = [
+        F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
         for name, data_type in df.dtypes
-        if data_type in ("string", "binary")
+        if not data_type.startswith(_FIXED_WIDTH)
     ]
-    return reduce(Column.__add__, texts, F.lit(8 * len(df.columns))).cast("bigint")
+    return reduce(Column.__add__, sizes, F.lit(8 * len(df.columns))).cast("bigint")
 
 
 def dimension_sizes(dims: Sequence[Dimension], key: str = KEY) -> DataFrame:
@@ -171,6 +175,7 @@ def enrich(
     sizes: dict[str, DimensionSize] | None = None,
     unique_keys: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """The clean table with all dimension columns and the rate per 100,000.
 
@@ -179,10 +184,8 @@ def enrich(
     sizes = measure(dims) if sizes is None else sizes
     if unique_keys:
         require_unique_keys(sizes)
-    joined = join_dimensions(
-        with_key(clean), dims, sizes=sizes, broadcast_bytes=broadcast_bytes
-    )
-    return with_rate(joined)
+    keyed = with_key(clean)
+    return with_rate(join_dimensions(keyed, dims, KEY, sizes, broadcast_bytes, rows_per_task))
 
 
 def match_measures(dims: Sequence[Dimension], weight: Column | None = None) -> dict[str, Column]:

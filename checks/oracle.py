@@ -277,6 +277,15 @@ STEP_METRICS = {
     "counts_out_of_range": "0",
     "final_rows": "final_rows",
 }
+MATCHES = {
+    "base_rows": "(SELECT count(*) FROM cleaned)",
+    "enriched_rows": "(SELECT count(*) FROM matched)",
+    **{f"matched_{n}": f"(SELECT count({m}) FROM matched)" for n, (_, m) in SOURCES.items()},
+}
+SOURCE_METRICS = {
+    **{f"rows_{n}": f"(SELECT count(*) FROM {d})" for n, (d, _) in SOURCES.items()},
+    **{f"keys_{n}": f"(SELECT count(DISTINCT cod_depto) FROM {d})" for n, (d, _) in SOURCES.items()},
+}
 ONE = "n AS (SELECT 1)"
 RECORD_COUNT = "n AS (SELECT count(*) AS rows FROM facts)"
 TEXT_RECORD = (
@@ -467,21 +476,7 @@ def oracle() -> dict[str, str]:
             FACTS,
             select="SELECT count(municipio) FILTER (id % 3 = 0) AS unreadable_counts FROM facts",
         ),
-        "agg_match_counts": with_(
-            *star,
-            ONE,
-            select=long_form(
-                {
-                    "base_rows": "(SELECT count(*) FROM cleaned)",
-                    "enriched_rows": "(SELECT count(*) FROM matched)",
-                    **{
-                        f"matched_{n}": f"(SELECT count({m}) FROM matched)"
-                        for n, (_, m) in SOURCES.items()
-                    },
-                },
-                "n",
-            ),
-        ),
+        "agg_match_counts": with_(*star, ONE, select=long_form(MATCHES, "n")),
         "agg_source_counts": with_(DIMS, select=_source_sizes()),
         "agg_clean_summary": with_(
             FACTS,
@@ -583,6 +578,16 @@ def oracle() -> dict[str, str]:
         "job_clean_written": with_(
             FACTS, GROUPS, STEPS, select=long_form({**AUDIT, **STEP_METRICS}, "steps")
         ),
+        "job_ingest_written": with_(
+            FACTS,
+            select=long_form(
+                {"source_rows": "count(*)", "unreadable_counts": "count(*) * 0", "stored_rows": "count(*)"},
+                "facts",
+            ),
+        ),
+        "job_enrich_written": with_(
+            *star, ONE, select=long_form({**MATCHES, **SOURCE_METRICS}, "n")
+        ),
         "job_end_to_end": with_(*landed, select="SELECT * FROM enriched"),
     }
     # Other ways to the same results.

@@ -20,7 +20,7 @@ from cauce.functions import (
 from cauce.operators import cleaning, dedup, enrichment, ordering, reports
 from cauce.operators.reconcile import reconcile
 from cauce.operators.shape import metrics_frame, to_metrics
-from cauce.plans import run_all, run_clean, run_ingest
+from cauce.plans import run_all, run_clean, run_enrich, run_ingest
 from cauce.schemas import FILL_VALUES, KEY, RAW
 from cauce.shared import shared_dir
 from cauce.sinks import write_report, write_sample, write_table
@@ -638,6 +638,22 @@ def job_clean_written(spark, sf_dir):
     return metrics_frame(spark, result.metrics)
 
 
+@query
+def job_ingest_written(spark, sf_dir):
+    """The figures that the ingest job takes while it writes."""
+    raw, first = raw_records(spark, sf_dir), raw_records(spark, sf_dir, first="1000")
+    result = run_ingest(raw, shared_dir(spark), run_time(), SOURCE_LABEL, first)
+    return metrics_frame(spark, result.metrics)
+
+
+@query
+def job_enrich_written(spark, sf_dir):
+    """The figures that the enrichment job takes while it writes."""
+    clean, dims = src_clean_table(spark, sf_dir), dimensions(spark, sf_dir)
+    result = run_enrich(clean, dims, shared_dir(spark), run_time())
+    return metrics_frame(spark, result.metrics)
+
+
 @query
 def job_end_to_end(spark, sf_dir):
     """All three stages from page files to the enriched table, read back."""

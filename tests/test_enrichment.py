@@ -51,6 +51,15 @@ def test_sizes_and_unique_keys(spark):
         enrichment.enrich(clean_table(spark), dims(spark), unique_keys=True)
 
 
+def test_nested_columns_count_for_the_size(spark):
+    table = spark.range(2).select(
+        F.col("id").cast("int").alias("cod_depto"),
+        F.array_repeat(F.lit("abcd"), 1000).alias("v"),
+        F.lit(1.5).alias("x"),
+    )
+    assert enrichment.measure([Dimension("d", table, "v")])["d"].bytes > 2 * 4000
+
+
 @pytest.mark.parametrize("rows_per_task", [1, 7, 1000])
 def test_shuffle_joins_give_the_same_rows(spark, rows_per_task):
     """One key holds a third of all facts, NULL another third."""
