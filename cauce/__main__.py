@@ -30,9 +30,17 @@ def parse(arguments=None) -> argparse.Namespace:
             command.add_argument(
                 "--sample-fields", nargs="*", default=[], help="further fields of the raw sample"
             )
+        if stage in ("clean", "all"):
+            command.add_argument("--zoned", action="store_true", help="honour offsets in times")
+            command.add_argument(
+                "--blank-as-null", action="store_true", help="impute blank texts like absent ones"
+            )
         if stage in ("enrich", "all"):
             for name in DIMENSIONS:
                 command.add_argument(f"--{name}", required=True, help=f"path of the {name} file")
+            command.add_argument(
+                "--unique-keys", action="store_true", help="fail on repeated dimension keys"
+            )
     return parser.parse_args(arguments)
 
 
@@ -58,13 +66,16 @@ def main(arguments=None) -> None:
         raw, first = _records(spark, args)
         run_ingest(raw, args.out, run_time, args.url or args.path, first)
     elif args.stage == "clean":
-        landing = f"{args.out}/landing"
-        run_clean(read_landing(spark, landing), args.out, run_time, landing)
+        path = f"{args.out}/landing"
+        landing = read_landing(spark, path)
+        run_clean(landing, args.out, run_time, path, args.zoned, args.blank_as_null)
     elif args.stage == "enrich":
-        run_enrich(read_clean(spark, f"{args.out}/clean"), dims, args.out, run_time)
+        clean = read_clean(spark, f"{args.out}/clean")
+        run_enrich(clean, dims, args.out, run_time, unique_keys=args.unique_keys)
     else:
         raw, first = _records(spark, args)
-        run_all(raw, dims, args.out, run_time, args.url or args.path, first)
+        options = (args.zoned, args.blank_as_null, args.unique_keys)
+        run_all(raw, dims, args.out, run_time, args.url or args.path, first, *options)
 
 
 if __name__ == "__main__":

@@ -129,10 +129,14 @@ def run_all(
     run_time: Column,
     source_label: str,
     first_records: DataFrame | None = None,
+    zoned: bool = False,
+    blank_as_null: bool = False,
+    unique_keys: bool = False,
 ) -> tuple[StageResult, StageResult, StageResult]:
     """Ingest, clean and enrich, each from the table that the stage before wrote."""
     ingested = run_ingest(raw, out, run_time, source_label, first_records)
-    cleaned = run_clean(ingested.table, out, run_time, f"{out}/landing")
+    landing = f"{out}/landing"
+    cleaned = run_clean(ingested.table, out, run_time, landing, zoned, blank_as_null)
     base_rows = cleaned.metrics["final_rows"]
-    enriched = run_enrich(cleaned.table, dims, out, run_time, base_rows)
+    enriched = run_enrich(cleaned.table, dims, out, run_time, base_rows, unique_keys)
     return ingested, cleaned, enriched

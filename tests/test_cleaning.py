@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cauce.operators import cleaning, dedup
 from cauce.operators.shape import metrics_frame, to_metrics, to_row
+from cauce.sinks import observed
 from helpers import landing, metrics, plan, rows
 
 DATE = "2010-01-01T00:00:00.000"
@@ -119,6 +120,16 @@ def test_one_shuffle_and_the_date_test_below_it(spark, tmp_path):
     assert "SortAggregate" not in audit
 
 
+def test_table_and_audit_share_one_shuffle(spark):
+    """What the cleaning job writes: metrics are collected above the shuffle, in the last stage."""
+    df = landing(spark, [(1, DATE, "1", "A", "1", "B", 1.0)])
+    measures = {**cleaning.profile_measures(df), **cleaning.step_measures()}
+    groups, _ = observed(cleaning.audited_groups(df), measures)
+    text = plan(cleaning.clean_groups(groups, df.columns))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.index("CollectMetrics") < text.index("Exchange")
+
+
 def test_rows_and_metrics_turn_into_each_other(spark):
     values = {"a": 1, "b": 2}
     row = to_row(metrics_frame(spark, values), values)

@@ -253,9 +253,10 @@ def test_command_line_runs_the_stages(spark, tmp_path, monkeypatch):
     command_line.main(["all", "--out", out, *source, *paths])
     command_line.main(["ingest", "--out", steps, *source])
     command_line.main(["clean", "--out", steps])
-    command_line.main(["enrich", "--out", steps, *paths])
+    command_line.main(["enrich", "--out", steps, "--unique-keys", *paths])
     enriched = spark.read.parquet(f"{out}/enriched")
     assert rows(enriched) == rows(spark.read.parquet(f"{steps}/enriched"))
     assert len(enriched.columns) == 16 and enriched.count() == 3
     assert enriched.filter("id = 1").first()["hurtos_por_100k"] == 500.0
+    command_line.main(["clean", "--out", steps, "--blank-as-null", "--zoned"])
     assert "zona" in file_text(f"{out}/landing_sample")

@@ -1,5 +1,7 @@
+import html
 import io
 import json
+import random
 import urllib.parse
 
 import pytest
@@ -237,7 +239,7 @@ def test_html_second_table_and_raw_rows(spark):
 
 
 @pytest.mark.parametrize(
-    "html, message",
+    "page, message",
     [
         ("<table><tr><td><table><tr><td>x</td></tr></table></td></tr></table>", "nested table"),
         ("<table><tr><td rowspan='2'>x</td></tr></table>", "spans rows or columns"),
@@ -247,15 +249,15 @@ def test_html_second_table_and_raw_rows(spark):
         ("<p>none</p>", "no table number 0"),
     ],
 )
-def test_html_raises_rather_than_misreads(spark, html, message):
+def test_html_raises_rather_than_misreads(spark, page, message):
     wanted = StructType().add("n", "long")
     with pytest.raises(Exception, match=message):
-        html_table(pages(spark, html), wanted, required=True).collect()
+        html_table(pages(spark, page), wanted, required=True).collect()
 
 
 def test_html_span_of_one_is_no_span(spark):
-    html = "<table><tr><th>n</th></tr><tr><td colspan='1'>3</td></tr></table>"
-    assert rows(html_table(pages(spark, html), StructType().add("n", "long"))) == [(0, 1, 3)]
+    page = "<table><tr><th>n</th></tr><tr><td colspan='1'>3</td></tr></table>"
+    assert rows(html_table(pages(spark, page), StructType().add("n", "long"))) == [(0, 1, 3)]
 
 
 def test_character_references(spark):
@@ -265,15 +267,38 @@ def test_character_references(spark):
     assert found == ["a <b> AB &#xD800; &bogus; &lt; &lt; & &; 😀", None, "plain"]
 
 
+def test_random_tables_come_back(spark):
+    """Escaped texts in many layouts of tags, against the texts they were made from."""
+    source = random.Random(7)
+    letters = list("ab Ñé<>&;#\"'\t\n\u00a0,.1/=-") + ["<td>", "</tr>", "&amp;", "<!--", "tr", "😀"]
+    made, expected = [], []
+    for _ in range(300):
+        grid = [
+            ["".join(source.choices(letters, k=source.randint(0, 12))) for _ in range(3)]
+            for _ in range(source.randint(1, 6))
+        ]
+        closing = source.random() < 0.5
+        cell = lambda t: f"<td class='x'>{html.escape(t)}" + ("</td>" if closing else "")
+        lines = ["<tr>" + "".join(map(cell, r)) + ("</tr>\n" if closing else "\n") for r in grid]
+        body = "".join(lines) if source.random() < 0.5 else f"<tbody>{''.join(lines)}</tbody>"
+        made.append(f"<p>x</p><table>{body}</table><table><tr><td>other</td></tr></table>")
+        expected.append([[" ".join(t.split()) for t in r] for r in grid])
+    found = html_rows(pages(spark, *made)).collect()
+    by_page = {}
+    for r in sorted(found, key=lambda r: (r["doc_id"], r["row_no"])):
+        by_page.setdefault(r["doc_id"], []).append(r["cells"])
+    assert [by_page[i] for i in range(len(made))] == expected
+
+
 def test_large_table_is_read_whole(spark):
     body = "".join(f"<tr><td>{i}</td></tr>" for i in range(20000))
-    html = f"<table><tr><th>n</th></tr>{body}</table>"
-    found = html_table(pages(spark, html), StructType().add("n", "long"))
+    page = f"<table><tr><th>n</th></tr>{body}</table>"
+    found = html_table(pages(spark, page), StructType().add("n", "long"))
     assert found.agg(F.count("n"), F.sum("n")).first()[:] == (20000, 19999 * 10000)
 
 
 def test_five_dimensions_from_files(spark, tmp_path):
-    html = (
+    page = (
         "<table><tr><th>cod_depto</th><th>departamento</th><th>tasa_desempleo_pct</th>"
         "<th>poblacion_ocupada</th></tr><tr><td>5</td><td>A</td><td>9.8</td><td>3,142</td></tr></table>"
     )
@@ -287,7 +312,7 @@ def test_five_dimensions_from_files(spark, tmp_path):
         ),
         put(tmp_path / "r.txt", "cod_depto|departamento|region\n5|A|Sur\n"),
         put(tmp_path / "g.xml", xml(department(5))),
-        put(tmp_path / "e.html", html),
+        put(tmp_path / "e.html", page),
     )
     assert [rows(d.table) for d in found] == [
         [(5, 10)],
