@@ -21,7 +21,7 @@ from cauce.plans import run_all, run_clean, run_enrich
 from cauce.schemas import KEY, LANDING
 from cauce.shared import shared_dir, written
 from checks.fixtures import dimensions, run_time, table
-from checks.queries import QUERIES, raw_records, src_clean_table, src_landing_table
+from checks.queries import QUERIES, src_clean_table, src_landing_table, stored_records
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -30,6 +30,7 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 # Queries timed as registered, by a full run of their plan.
 REGISTERED = [
     "src_rest_pages",
+    "src_page_files",
     "src_csv",
     "src_json_array",
     "src_pipe_text",
@@ -130,12 +131,12 @@ def main() -> None:
         "run_clean": lambda: run_clean(landing, out, run_time(), "events"),
         "run_enrich": lambda: run_enrich(clean, dims, out, run_time()),
         "job_end_to_end": lambda: run_all(
-            raw_records(spark, SF_DIR),
+            stored_records(spark, SF_DIR),
             dims,
             out,
             run_time(),
             "events",
-            raw_records(spark, SF_DIR, first="1000"),
+            stored_records(spark, SF_DIR, first=1000),
         ),
         "run_clean_lineitem": lambda: run_clean(big, out, run_time(), "lineitem"),
         "run_enrich_lineitem": lambda: run_enrich(big_clean, dims, out, run_time()),

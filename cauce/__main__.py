@@ -9,7 +9,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cauce.plans import run_all, run_clean, run_enrich, run_ingest
 from cauce.schemas import RAW, SAMPLE_ROWS
-from cauce.sources import read_clean, read_dimensions, read_landing, read_pages
+from cauce.sources import (
+    read_clean,
+    read_dimensions,
+    read_landing,
+    read_page_files,
+    read_pages,
+)
 from cauce.sources.paged import PAGE_LIMIT
 
 DIMENSIONS = ("population", "category", "region", "gdp", "employment")
@@ -26,7 +32,7 @@ def parse(arguments=None) -> argparse.Namespace:
             source.add_argument("--url", help="endpoint of paged JSON records")
             source.add_argument("--path", help="folder of page files")
             command.add_argument("--order", default="fecha_hecho", help="order asked of the endpoint")
-            command.add_argument("--limit", type=int, default=PAGE_LIMIT, help="records per page")
+            command.add_argument("--limit", type=int, default=PAGE_LIMIT, help="records per request")
             command.add_argument(
                 "--sample-fields", nargs="*", default=[], help="further fields of the raw sample"
             )
@@ -44,14 +50,18 @@ def parse(arguments=None) -> argparse.Namespace:
     return parser.parse_args(arguments)
 
 
-def _pages(spark, args, schema, **more):
-    source = {"url": args.url, "order": args.order} if args.url else {"path": args.path}
-    return read_pages(spark, schema, limit=str(args.limit), **source, **more)
+def _pages(spark, args, schema, first=None):
+    if args.path:
+        return read_page_files(spark, args.path, schema, first)
+    options = {"url": args.url, "order": args.order, "limit": str(args.limit)}
+    if first is not None:
+        options["first"] = str(first)
+    return read_pages(spark, schema, **options)
 
 
 def _records(spark, args):
     extra = [StructField(name, StringType()) for name in args.sample_fields]
-    first = _pages(spark, args, StructType([*RAW.fields, *extra]), first=str(SAMPLE_ROWS))
+    first = _pages(spark, args, StructType([*RAW.fields, *extra]), SAMPLE_ROWS)
     return _pages(spark, args, RAW), first
 
 

@@ -9,7 +9,13 @@ from cauce.sources.files import (
 )
 from cauce.sources.html import html_rows, html_table
 from cauce.sources.paged import PagedJson, read_pages
-from cauce.sources.records import land, project_fields, records_from_json, unreadable_counts
+from cauce.sources.records import (
+    land,
+    project_fields,
+    read_page_files,
+    records_from_json,
+    unreadable_counts,
+)
 
 __all__ = [
     "PagedJson",
@@ -23,6 +29,7 @@ __all__ = [
     "read_html_table",
     "read_json_array",
     "read_landing",
+    "read_page_files",
     "read_pages",
     "read_xml_rows",
     "records_from_json",

@@ -1,12 +1,12 @@
 """API records to landing rows."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from cauce.functions import to_code
 from cauce.operators.shape import total
-from cauce.schemas import COUNT, LANDING, RAW
+from cauce.schemas import COUNT, ID, LANDING, RAW
 
 
 def project_fields(df: DataFrame, schema: StructType) -> DataFrame:
@@ -28,6 +28,29 @@ def records_from_json(df: DataFrame, json: str, schema: StructType = RAW) -> Dat
     return df.select(*kept, record.alias("_record")).select(*kept, "_record.*")
 
 
+def read_page_files(
+    spark: SparkSession, path: str, schema: StructType = RAW, first: int | None = None
+) -> DataFrame:
+    """Records of stored pages: ``<path>/offset=<first record>/`` holds one JSON array file.
+
+    The same records and ids as the paged source gives, read by Spark alone: a page
+    is one row, so pages run in parallel, on any file system that Spark knows.
+    ``first`` reads that many records and only the pages that hold them.
+    """
+    pages = spark.read.text(path, wholetext=True)
+    if "offset" not in pages.columns:  # an empty folder, or files in the wrong place
+        misplaced = F.raise_error(F.lit("pages must be in folders offset=<first record>"))
+        pages = pages.withColumn("offset", misplaced.cast("bigint"))
+    if first is not None:
+        pages = pages.filter(F.col("offset") < first)
+    fields = StructType([f for f in schema.fields if f.name != ID])
+    records = F.from_json("value", ArrayType(fields), {"mode": "FAILFAST"})
+    position = (F.col("offset").cast("bigint") + F.col("pos") + 1).alias(ID)
+    numbered = pages.select("offset", F.posexplode(records).alias("pos", "record"))
+    found = numbered.select(position, "record.*").select(*schema.fieldNames())
+    return found if first is None else found.filter(F.col(ID) <= first)
+
+
 def _as_number(text: Column) -> Column:
     value = text.try_cast("double")
     return F.when(~F.isnan(value), value)

@@ -592,6 +592,7 @@ def oracle() -> dict[str, str]:
     }
     # Other ways to the same results.
     for name, same in {
+        "src_page_files": "src_rest_pages",
         "src_json_array_split": "src_json_array",
         "src_xml_split": "src_xml",
         "limit_deep_page": "limit_offset_page",

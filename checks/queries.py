@@ -32,6 +32,7 @@ from cauce.sources import (
     read_delimited,
     read_json_array,
     read_landing,
+    read_page_files,
     read_pages,
     read_xml_rows,
     records_from_json,
@@ -63,6 +64,15 @@ def src_rest_pages(spark, sf_dir):
     return raw_records(spark, sf_dir)
 
 
+def stored_records(spark, sf_dir, first=None) -> DataFrame:
+    return read_page_files(spark, fixtures.page_files(spark, sf_dir), RAW, first)
+
+
+@query
+def src_page_files(spark, sf_dir):
+    return stored_records(spark, sf_dir)
+
+
 @query
 def src_landing_table(spark, sf_dir):
     path = fixtures.made_once(
@@ -378,7 +388,7 @@ def agg_step_removed(spark, sf_dir):
 def agg_reconcile(spark, sf_dir):
     """Page records against a landing table that lacks those without a department."""
     stored = facts(spark, sf_dir).filter(F.col("departamento").isNotNull())
-    return reconcile(raw_records(spark, sf_dir), stored)
+    return reconcile(stored_records(spark, sf_dir), stored)
 
 
 @query
@@ -580,7 +590,7 @@ SOURCE_LABEL = "events"
 
 def ingest_lines(spark, sf_dir) -> DataFrame:
     landing = src_landing_table(spark, sf_dir)
-    counts = reconcile(raw_records(spark, sf_dir), landing)
+    counts = reconcile(stored_records(spark, sf_dir), landing)
     return reports.ingest_report(counts, run_time(), SOURCE_LABEL)
 
 
@@ -657,7 +667,6 @@ def job_enrich_written(spark, sf_dir):
 @query
 def job_end_to_end(spark, sf_dir):
     """All three stages from page files to the enriched table, read back."""
-    raw = raw_records(spark, sf_dir)
-    first = raw_records(spark, sf_dir, first="1000")
+    raw, first = stored_records(spark, sf_dir), stored_records(spark, sf_dir, first=1000)
     dims = dimensions(spark, sf_dir)
     return run_all(raw, dims, shared_dir(spark), run_time(), SOURCE_LABEL, first)[-1].table

@@ -18,6 +18,7 @@ from cauce.sources import (
     read_dimensions,
     read_html_table,
     read_json_array,
+    read_page_files,
     read_pages,
     read_xml_rows,
     records_from_json,
@@ -26,7 +27,7 @@ from cauce.sources import (
 from cauce.sources.html import decode_references
 from cauce.sources.paged import FilePages, HttpPages, PagedJson, PageRange, PageReader, as_text
 from cauce.sources.typed import typed
-from helpers import rows
+from helpers import plan, rows
 
 
 def put(path, text):
@@ -420,6 +421,30 @@ def test_first_records_only(spark, tmp_path):
     assert read_pages(spark, FIELDS, path=path, limit="4", first="50").count() == 11
 
 
+@pytest.mark.parametrize("count", [0, 4, 11])
+def test_page_files_equal_the_paged_source(spark, tmp_path, count):
+    records = [{"a": i, "c": 1} | ({"b": "x"} if i % 2 else {}) for i in range(count)]
+    path = write_pages(tmp_path / "pages", records, 4)
+    by_source = read_pages(spark, FIELDS, path=path, limit="4")
+    assert rows(read_page_files(spark, path, FIELDS)) == rows(by_source)
+    first = read_page_files(spark, path, FIELDS, first=6)
+    assert [r[0] for r in rows(first)] == list(range(1, min(count, 6) + 1))
+    if count:
+        assert "PartitionFilters: [isnotnull(offset" in plan(read_page_files(spark, path, first=6))
+
+
+def test_misplaced_page_file_is_an_error(spark, tmp_path):
+    put(tmp_path / "pages" / "p.json", '[{"a": 1}]')
+    with pytest.raises(Exception, match="pages must be in folders offset="):
+        read_page_files(spark, str(tmp_path / "pages"), FIELDS).collect()
+
+
+def test_page_file_that_is_no_array_is_an_error(spark, tmp_path):
+    put(tmp_path / "pages" / "offset=0" / "p.json", '[{"a": 1}, {"a"')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        read_page_files(spark, str(tmp_path / "pages"), FIELDS).collect()
+
+
 def test_unknown_field_types_are_refused(spark, tmp_path):
     with pytest.raises(Exception, match="a must be string"):
         wrong = StructType().add("a", "integer")
