@@ -1,7 +1,7 @@
 """Left joins of the facts with keyed dimensions, and their audit."""
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -138,6 +138,10 @@ def _shuffled_left_join(
     return split.drop(part)
 
 
+def _grouped(dim: Dimension, key: str) -> Dimension:
+    return replace(dim, table=dim.table.dropDuplicates([key]))
+
+
 def join_dimensions(
     facts: DataFrame,
     dims: Sequence[Dimension],
@@ -145,14 +149,21 @@ def join_dimensions(
     sizes: dict[str, DimensionSize] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    prunable: bool = False,
 ) -> DataFrame:
     """Left join of ``facts`` with every dimension; the key comes first.
 
     Dimensions of a measured size up to ``broadcast_bytes`` are broadcast, so the
-    facts are not shuffled; bigger ones follow as shuffle joins with hot keys
-    split. Every fact is kept; a key that a dimension repeats repeats the fact.
+    facts are not shuffled; bigger ones are shuffle joins with hot keys split.
+    Every fact is kept; a key that a dimension repeats repeats the fact.
+
+    With ``prunable`` a dimension whose keys were measured as unique is also
+    grouped by its key, which changes no row but lets Catalyst drop its join from
+    queries that use none of its columns.
     """
     sizes = measure(dims, key) if sizes is None else sizes
+    if prunable:
+        dims = [_grouped(d, key) if sizes[d.name].rows == sizes[d.name].keys else d for d in dims]
     small = [d for d in dims if sizes[d.name].bytes <= broadcast_bytes]
     large = [d for d in dims if sizes[d.name].bytes > broadcast_bytes]
     base = [c for c in facts.columns if c != key]
@@ -176,16 +187,19 @@ def enrich(
     unique_keys: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    prunable: bool = False,
 ) -> DataFrame:
     """The clean table with all dimension columns and the rate per 100,000.
 
-    With ``unique_keys`` a repeated dimension key is an error.
+    With ``unique_keys`` a repeated dimension key is an error. ``prunable`` suits a
+    view that is queried for some of its columns (see ``join_dimensions``).
     """
     sizes = measure(dims) if sizes is None else sizes
     if unique_keys:
         require_unique_keys(sizes)
     keyed = with_key(clean)
-    return with_rate(join_dimensions(keyed, dims, KEY, sizes, broadcast_bytes, rows_per_task))
+    joined = join_dimensions(keyed, dims, KEY, sizes, broadcast_bytes, rows_per_task, prunable)
+    return with_rate(joined)
 
 
 def match_measures(dims: Sequence[Dimension], weight: Column | None = None) -> dict[str, Column]:

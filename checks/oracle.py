@@ -443,6 +443,7 @@ def oracle() -> dict[str, str]:
             " poblacion_2023 FROM matched",
         ),
         "join_left_chain5": with_(*facts_joined, select="SELECT * FROM matched"),
+        "join_left_pruned": with_(*facts_joined, select="SELECT id, cod_depto, region FROM matched"),
         "join_key_coercion": with_(
             FACTS,
             select="SELECT id, TRY_CAST(trim(cod_depto, ' ') AS INTEGER) AS cod_depto FROM facts",

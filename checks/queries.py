@@ -338,6 +338,14 @@ def join_left_shuffled(spark, sf_dir):
     )
 
 
+@query
+def join_left_pruned(spark, sf_dir):
+    """One column of the five joins: only its dimension is joined."""
+    keyed = enrichment.with_key(facts(spark, sf_dir))
+    view = enrichment.join_dimensions(keyed, dimensions(spark, sf_dir), prunable=True)
+    return view.select("id", KEY, "region")
+
+
 @query
 def join_key_coercion(spark, sf_dir):
     return enrichment.with_key(facts(spark, sf_dir)).select("id", KEY)

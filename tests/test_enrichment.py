@@ -111,6 +111,17 @@ def test_broadcast_joins_do_not_shuffle_facts(spark, tmp_path):
     assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
 
 
+def test_unused_dimensions_leave_the_plan(spark):
+    """A dimension with unique keys is pruned; one with repeated keys must stay."""
+    clean, both = clean_table(spark), dims(spark)
+    view = enrichment.enrich(clean, both, prunable=True)
+    assert plan(view.select("id", "region")).count("BroadcastHashJoin") == 1
+    assert plan(view.select("id", "hurtos_por_100k")).count("BroadcastHashJoin") == 2
+    assert plan(view.groupBy().count()).count("BroadcastHashJoin") == 1
+    assert view.count() == 6
+    assert rows(view) == rows(enrichment.enrich(clean, both))
+
+
 def test_match_counts_equal_counts_over_the_join(spark):
     found = metrics(enrichment.match_counts(clean_table(spark), dims(spark)))
     enriched = enrichment.enrich(clean_table(spark), dims(spark))
