@@ -157,6 +157,9 @@ def text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+# The texts of the three reports, in the next three functions.
+
+
 def _ingest_lines() -> str:
     return lines(
         [

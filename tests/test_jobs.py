@@ -38,6 +38,9 @@ def texts(report):
     return [r["line"] for r in report.orderBy("line_no").collect()]
 
 
+# The texts of the three reports, in the next three tests.
+
+
 def test_ingest_report_lines(spark):
     counts = spark.createDataFrame([(5, 4)], "source_rows bigint, stored_rows bigint")
     assert texts(ingest_report(counts, run_time(), "http://host.example")) == [
