@@ -13,7 +13,8 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]")
+        # Two attempts per task, so that a test can lose the first one.
+        SparkSession.builder.master("local[4,2]")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

@@ -1,6 +1,7 @@
 import glob
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from cauce import __main__ as command_line
@@ -159,6 +160,20 @@ def test_observed_counts_rows_before_later_filters(spark, tmp_path):
     assert observation.get == {"n": 10, "s": 45}
 
 
+def test_observed_counts_leave_out_lost_attempts(spark, tmp_path):
+    def lose_first_attempt(batches):
+        yield from batches
+        task = TaskContext.get()
+        if task.attemptNumber() == 0 and task.partitionId() % 2 == 0:
+            raise RuntimeError("lost after its last row")
+
+    groups = spark.range(4000).groupBy((F.col("id") % 100).alias("k")).agg(F.count("*").alias("n"))
+    df, observation = observed(groups, {"rows": F.sum("n"), "groups": F.count("*")})
+    write_table(df.mapInArrow(lose_first_attempt, df.schema), str(tmp_path / "t"))
+    assert observation.get == {"rows": 4000, "groups": 100}
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 100
+
+
 def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_dir(spark), shared_dir(spark)
