@@ -20,7 +20,7 @@ from cauce.schemas import (
     REGION,
 )
 from cauce.sources.html import html_table
-from cauce.sources.typed import text_fields, typed
+from cauce.sources.typed import sql_name, text_fields, typed
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
@@ -78,12 +78,12 @@ def read_json_array(
     if split:
         return _json_lines(spark, path, schema)
     reader = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST")
-    return reader.json(path).select(*schema.fieldNames())
+    return reader.json(path).select(*map(sql_name, schema.fieldNames()))
 
 
 def _xml_elements(spark: SparkSession, path: str, texts: StructType, row_tag: str) -> DataFrame:
     """Elements of XML files, cut apart at their end tags."""
-    start = rf"<{row_tag}[\s/>]"
+    start = rf"<\Q{row_tag}\E[\s/>]"
     cut = spark.read.option("lineSep", f"</{row_tag}>").text(path)
     elements = cut.select(F.regexp_extract("value", f"(?s){start}.*", 0).alias("element"))
     alone = F.when(
@@ -118,7 +118,7 @@ def read_html_table(
     """A table of every HTML file under ``path``, rows of all files together."""
     pages = spark.read.text(path, wholetext=True).withColumnRenamed("value", "html")
     table = html_table(pages, schema, table_index=table_index, required=True)
-    return table.select(*schema.fieldNames())
+    return table.select(*map(sql_name, schema.fieldNames()))
 
 
 def _dimension(name: str, table: DataFrame, added: list[str]) -> Dimension:

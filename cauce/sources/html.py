@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cauce.sources.typed import typed
+from cauce.sources.typed import sql_text, typed
 
 _SKIPPED = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
 _TABLE = r"(?is)<table\b[^>]*>(.*?)</table\s*>"
@@ -44,13 +44,7 @@ _NAMED = {
     "uuml": "ü",
     "ntilde": "ñ",
 }
-
-
-def _sql_text(text: str) -> str:
-    return "'" + text.replace("'", "\\'") + "'"
-
-
-_NAMED_MAP = f"map({', '.join(_sql_text(x) for item in _NAMED.items() for x in item)})"
+_NAMED_MAP = f"map({', '.join(sql_text(x) for item in _NAMED.items() for x in item)})"
 
 
 def _referenced(piece: Column) -> Column:
@@ -119,8 +113,8 @@ def html_rows(pages: DataFrame, html: str = "html", table_index: int = 0) -> Dat
 
 def _named_cell(name: str) -> Column:
     """The cell of a row under the header ``name``; NULL where the row is too short."""
-    place = f"nullif(cast(array_position(_header, '{name}') AS int), 0)"
-    error = f"raise_error('no column {name} in the table')"
+    place = f"nullif(cast(array_position(_header, {sql_text(name)}) AS int), 0)"
+    error = f"raise_error({sql_text(f'no column {name} in the table')})"
     return F.expr(f"get(_cells, coalesce({place}, {error}) - 1)")
 
 

@@ -30,7 +30,19 @@ NULL_MARKERS = (
     "nan",
     "null",
 )
-_MARKERS = ", ".join(f"'{marker}'" for marker in NULL_MARKERS)
+
+
+def sql_text(text: str) -> str:
+    """``text`` as an SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_name(name: str) -> str:
+    """``name`` as an SQL column name."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+_MARKERS = ", ".join(sql_text(marker) for marker in NULL_MARKERS)
 
 
 def text_fields(schema: StructType) -> StructType:
@@ -39,9 +51,9 @@ def text_fields(schema: StructType) -> StructType:
 
 
 def _column(field: StructField, markers: bool, required: bool, commas: bool) -> str:
-    text = f"`{field.name}`"
+    text = sql_name(field.name)
     if required:
-        text = f"coalesce({text}, raise_error('{field.name}: missing'))"
+        text = f"coalesce({text}, raise_error({sql_text(field.name + ': missing')}))"
     if markers:
         text = f"if({text} IN ({_MARKERS}), NULL, {text})"
     if isinstance(field.dataType, StringType):
@@ -49,7 +61,7 @@ def _column(field: StructField, markers: bool, required: bool, commas: bool) ->
     if commas and isinstance(field.dataType, NumericType):
         text = f"replace({text}, ',', '')"
     wanted = field.dataType.simpleString()
-    message = f"concat('{field.name}: not a valid {wanted}: ', {text})"
+    message = f"concat({sql_text(f'{field.name}: not a valid {wanted}: ')}, {text})"
     # The error branch is reached only where the cast gives NULL.
     return f"coalesce(try_cast({text} AS {wanted}), if({text} IS NULL, NULL, raise_error({message})))"
 
@@ -72,4 +84,4 @@ def typed(
         F.expr(_column(field, markers, required, commas)).alias(field.name)
         for field in schema.fields
     ]
-    return df.select(*kept, *columns)
+    return df.select(*[F.col(sql_name(c)) for c in kept], *columns)

@@ -354,6 +354,23 @@ def test_typed_is_strict_in_either_mode(spark, ansi):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
+def test_column_names_need_no_care(spark, tmp_path):
+    name = "d'or \\ `x`.y"
+    wanted = StructType().add(name, "integer").add("select", "string")
+    path = put(tmp_path / "p.csv", f"{name},select\n5,a\n")
+    assert rows(read_delimited(spark, path, wanted)) == [(5, "a")]
+    page = f"<table><tr><th>select</th><th>{html.escape(name)}</th></tr><tr><td>b<td>6</tr></table>"
+    assert rows(html_table(pages(spark, page), wanted)) == [(0, 1, 6, "b")]
+    array = put(tmp_path / "a.json", json.dumps([{name: 7, "select": "c"}]))
+    for split in (False, True):
+        assert rows(read_json_array(spark, array, wanted, split)) == [(7, "c")]
+    file = put(tmp_path / "p.html", page)
+    assert rows(read_html_table(spark, file, wanted)) == [(6, "b")]
+    bad = put(tmp_path / "q.csv", f"{name},select\nz,a\n")
+    with pytest.raises(Exception, match="not a valid int: z"):
+        read_delimited(spark, bad, wanted).collect()
+
+
 # --- records -----------------------------------------------------------------
 
 
