@@ -3,7 +3,10 @@
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 _own: list[tempfile.TemporaryDirectory] = []
 
@@ -37,3 +40,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of a Spark one; call it on the driver."""
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[] for _ in schema]
+    return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

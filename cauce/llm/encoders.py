@@ -1,12 +1,13 @@
 """Whole texts to token ids with the tokenizers library, one call per distinct piece.
 
-``byte_level`` vocabularies keep white space and are cut by ``pieces.chunks``;
-the others drop it and are cut at ASCII white space. Either way no match of the
-tokenizer's pattern crosses a cut, so the ids are those of the whole text.
+Texts are cut by ``pieces.chunks``. Tokenizers that split a text into runs of
+letters, digits and signs first, with or without the space before, never match
+across such a cut, so the ids are those of the whole text.
 """
 
 import functools
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from cauce.llm import pieces as P
 
 
 @functools.cache
-def _memo(path: str) -> tuple[P.Memo, bool]:
+def _memo(path: str) -> P.Memo:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -26,21 +27,17 @@ def _memo(path: str) -> tuple[P.Memo, bool]:
     def compute(pieces: list[bytes]) -> list[bytes]:
         texts = [piece.decode() for piece in pieces]
         found = model.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
 
-    return P.Memo(compute), model.normalizer is None
+    return P.Memo(compute)
 
 
 def encode(path: str, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows, ``end_id`` after each, and the row offsets. NULL counts as empty."""
-    memo, byte_level = _memo(path)
+    memo = _memo(path)
     offsets, data = P.text_bytes(column)
-    if byte_level:
-        bounds, first = P.chunks(offsets, data)
-        held = data
-    else:
-        bounds, held, first = P.words(offsets, data)
-    codes, known = P.distinct(bounds, held)
+    bounds, first = P.chunks(offsets, data)
+    codes, known = P.distinct(bounds, data)
     values, starts = P.ragged(memo(known), "<u4")
     ids, ends = P.gather(values, starts, codes)
     rows = ends[first]

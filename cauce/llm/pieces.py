@@ -51,21 +51,37 @@ def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return bounds, data[inside], np.searchsorted(starts, offsets)
 
 
+def _shifted(flags: np.ndarray, by: int) -> np.ndarray:
+    """``flags`` of the byte ``by`` places before (or after, if negative); False beyond the ends."""
+    moved = np.zeros(len(flags), bool)
+    if by > 0:
+        moved[by:] = flags[:-by]
+    else:
+        moved[:by] = flags[-by:]
+    return moved
+
+
 def chunks(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets of pieces cut before single spaces between characters that are none.
+    """Offsets of pieces cut where byte-level patterns always end a match, and each row's first piece.
 
-    Patterns that split text into words with their leading space, as byte-level
-    tokenizers do, never match across such a place. Only ASCII and Latin-1
-    letters count as neighbours, so no other white space is mistaken for one.
-    Also gives each row's first piece.
+    Such patterns take letters, digits or other signs in runs, each with one
+    space before it. So a match ends before a single space, on both sides of a
+    single line feed, and between a letter and an ASCII sign. Only ASCII and
+    Latin-1 letters are told apart here; near other characters nothing is cut.
     """
-    cut = np.zeros(len(data) + 1, bool)
+    ascii_letter = ((data | 32) >= 97) & ((data | 32) <= 122)
+    lead = data == 0xC3
+    # C3 97 and C3 B7 are the signs for times and division.
+    latin = _shifted(lead, 1) & (data >= 0x80) & (data != 0x97) & (data != 0xB7)
+    letter = ascii_letter | latin
     graphic = (data > 32) & (data < 127)
-    if len(data) > 2:
-        latin = (data[:-1] == 0xC3) & (data[1:] >= 0x80)
-        before = graphic[:-2].copy()
-        before[1:] |= latin[:-2]
-        cut[1:-2] = (data[1:-1] == 32) & before & (graphic[2:] | (data[2:] == 0xC3))
+    sign = graphic & ~ascii_letter & ~((data >= 48) & (data <= 57))
+    before = _shifted(graphic | latin, 1)
+    after = _shifted(graphic | lead, -1)
+    feed = (data == 10) & before & after
+    cut = np.zeros(len(data) + 1, bool)
+    cut[:-1] = ((data == 32) & before & after) | feed | _shifted(feed, 1)
+    cut[:-1] |= sign & _shifted(letter, 1)
     cut[offsets] = True
     cut[len(data)] = False
     starts = np.flatnonzero(cut)
@@ -94,22 +110,28 @@ def gather(values: np.ndarray, offsets: np.ndarray, codes: np.ndarray):
 
 
 class Memo:
-    """Results of distinct pieces, as bytes; forgets all beyond ``limit`` pieces."""
+    """Results of distinct pieces, as bytes; of more than ``limit`` those not used lately are forgotten."""
 
-    def __init__(self, compute: Callable[[list[bytes]], list[bytes]], limit: int = 400_000):
-        self.compute, self.limit, self.known = compute, limit, {}
+    def __init__(self, compute: Callable[[list[bytes]], list[bytes]], limit: int = 1_000_000):
+        self.compute, self.limit, self.young, self.old = compute, limit, {}, {}
 
     def __call__(self, pieces: list[bytes]) -> list[bytes]:
-        found = [self.known.get(piece) for piece in pieces]
-        missing = [i for i, result in enumerate(found) if result is None]
-        if missing:
-            results = self.compute([pieces[i] for i in missing])
-            if len(self.known) + len(missing) > self.limit:
-                self.known.clear()
-            for i, result in zip(missing, results):
-                found[i] = result
-                if len(pieces[i]) <= 64:
-                    self.known[pieces[i]] = result
+        if len(self.young) + len(pieces) > self.limit // 2:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        found = [young.get(piece) for piece in pieces]
+        missing = []
+        for i, result in enumerate(found):
+            if result is None:
+                result = old.get(pieces[i])
+                if result is None:
+                    missing.append(i)
+                else:
+                    found[i] = young[pieces[i]] = result
+        for i, result in zip(missing, self.compute([pieces[i] for i in missing]) if missing else ()):
+            found[i] = result
+            if len(pieces[i]) <= 64:
+                young[pieces[i]] = result
         return found
 
 

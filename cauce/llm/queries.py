@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cauce.llm import language, token_files
+from cauce.llm import language, packing, token_files
 from cauce.llm.common import documents, shared_folder
 
 
@@ -34,9 +34,23 @@ def op3_language(spark, sf_dir):
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_packing(spark, sf_dir):
+    packed = packing.pack(documents(spark, sf_dir), public_vocabulary("word_bpe_49k.json"))
+    return packed.select(
+        "doc_id",
+        "start",
+        F.col("length").cast("long").alias("length"),
+        "ids_crc32",
+        "doc_tokens",
+        "sequence_id",
+        F.col("offset").cast("long").alias("offset"),
+    )
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op3_language": op3_language,
+    "op4_packing": op4_packing,
 }
 
 ORACLE = {}
