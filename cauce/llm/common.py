@@ -50,3 +50,11 @@ def arrow_schema(ddl: str) -> pa.Schema:
 def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [[] for _ in schema]
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cauce.llm import language, packing, token_files
+from cauce.llm import jaccard, language, packing, recipes, token_files
 from cauce.llm.common import documents, shared_folder
 
 
@@ -21,6 +21,10 @@ def op1_token_files(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", "ids_crc32", "part", "place")
 
 
+def op2_exact_dedup(spark, sf_dir):
+    return recipes.exact_duplicates(documents(spark, sf_dir))
+
+
 def language_model(docs):
     """Learnt from the documents that are not held out."""
     train = docs.filter(~language.held_out()).select("text", "lang")
@@ -47,10 +51,54 @@ def op4_packing(spark, sf_dir):
     )
 
 
+def op9_jaccard_join(spark, sf_dir):
+    docs = jaccard.numbered(documents(spark, sf_dir))
+    return jaccard.similar_documents(docs, size=3, num=90, den=100).drop("row", "kept")
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_exact_dedup": op2_exact_dedup,
     "op3_language": op3_language,
     "op4_packing": op4_packing,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
-ORACLE = {}
+ORACLE = {
+    "op2_exact_dedup": r"""
+        WITH t AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text
+            FROM documents
+        )
+        SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+            doc_id = min(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+        FROM t WINDOW same AS (PARTITION BY text)
+    """,
+    "op9_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE
+                WHEN len(w) >= 3 THEN [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+            FROM w
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), c AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ), l AS (
+            SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * c.n >= 90 * (x.n + y.n - c.n)
+        ), e AS (
+            SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+        ), r AS (
+            SELECT DISTINCT a AS id, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id
+        )
+        SELECT d.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, coalesce(min(r.root), d.doc_id) AS component_id
+        FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.id = d.doc_id GROUP BY d.doc_id
+    """,
+}
