@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cauce.llm import jaccard, language, packing, recipes, token_files
+from cauce.llm import jaccard, language, packing, recipes, secrets, severity, token_files
 from cauce.llm.common import documents, shared_folder
 
 
@@ -56,12 +56,26 @@ def op9_jaccard_join(spark, sf_dir):
     return jaccard.similar_documents(docs, size=3, num=90, den=100).drop("row", "kept")
 
 
+def op8_secret_scan(spark, sf_dir):
+    rows, row = secrets.numbered(documents(spark, sf_dir).select("doc_id", "text"))
+    return secrets.scan(rows, row).drop("row", "nth")
+
+
+def op10_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = severity.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+    return severity.grade(docs, model)
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_language": op3_language,
     "op4_packing": op4_packing,
+    "op8_secret_scan": op8_secret_scan,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE = {
