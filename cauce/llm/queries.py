@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cauce.llm import jaccard, language, packing, recipes, secrets, severity, token_files
+from cauce.llm import jaccard, language, packing, recipes, secrets, severity, token_files, vectors
 from cauce.llm.common import documents, shared_folder
 
 
@@ -56,6 +56,10 @@ def op9_jaccard_join(spark, sf_dir):
     return jaccard.similar_documents(docs, size=3, num=90, den=100).drop("row", "kept")
 
 
+def op7_embedding_dedup(spark, sf_dir):
+    return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op8_secret_scan(spark, sf_dir):
     rows, row = secrets.numbered(documents(spark, sf_dir).select("doc_id", "text"))
     return secrets.scan(rows, row).drop("row", "nth")
@@ -73,6 +77,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_language": op3_language,
     "op4_packing": op4_packing,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
@@ -88,6 +93,25 @@ ORACLE = {
             doc_id = min(doc_id) OVER same AS kept, sha256(text) AS text_sha256
         FROM t WINDOW same AS (PARTITION BY text)
     """,
+    "op7_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), l AS (
+            SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+            WHERE len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.93
+        ), r AS (
+            SELECT DISTINCT a AS id, a AS root FROM l UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id
+        ), n AS (
+            SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a
+        ), c AS (
+            SELECT id AS vec_id, min(root) AS root FROM r GROUP BY id
+        )
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(root, vec_id) AS component_id,
+            coalesce(root, vec_id) = vec_id AS kept
+        FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
+    """,
     "op9_jaccard_join": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(
