@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cauce.llm import jaccard, language, packing, recipes, secrets, severity, token_files, vectors
+from cauce.llm import bpe, jaccard, language, packing, recipes, secrets, severity, token_files, vectors
 from cauce.llm.common import documents, shared_folder
 
 
@@ -56,6 +56,14 @@ def op9_jaccard_join(spark, sf_dir):
     return jaccard.similar_documents(docs, size=3, num=90, den=100).drop("row", "kept")
 
 
+def op6_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    path = public_vocabulary("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.encode_decode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op7_embedding_dedup(spark, sf_dir):
     return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -77,6 +85,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_language": op3_language,
     "op4_packing": op4_packing,
+    "op6_byte_bpe": op6_byte_bpe,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_jaccard_join": op9_jaccard_join,
