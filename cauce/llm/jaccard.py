@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cauce.llm import pieces as P
-from cauce.llm.common import arrow_schema, record_batch, staged
+from cauce.llm.common import arrow_schema, free_name, record_batch, staged
 from cauce.llm.components import components
 
 #: Buckets of the table of frequencies, by the top bits of a shingle's hash.
@@ -271,3 +271,12 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
 def numbered(docs: DataFrame) -> DataFrame:
     """(row, doc_id, text) of ``docs``, written once."""
     return staged(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "numbered")
+
+
+def drop_similar(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one row of each component of similar texts; all columns stay."""
+    row = free_name(docs, "row")
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = similar_documents(rows.select(F.col(row).alias("row"), "doc_id", "text"), size, num, den)
+    dropped = staged(found.filter(~F.col("kept")).select(F.col("row").alias(row)), "dropped")
+    return rows.join(dropped, row, "left_anti").drop(row)

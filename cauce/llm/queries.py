@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cauce.llm import bpe, jaccard, language, packing, recipes, secrets, severity, token_files, vectors
+from cauce.llm import bpe, jaccard, language, packing, recipes, secrets, severity, suffixes, token_files, vectors
 from cauce.llm.common import documents, shared_folder
 
 
@@ -56,6 +56,10 @@ def op9_jaccard_join(spark, sf_dir):
     return jaccard.similar_documents(docs, size=3, num=90, den=100).drop("row", "kept")
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    return suffixes.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op6_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -85,6 +89,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_language": op3_language,
     "op4_packing": op4_packing,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_secret_scan": op8_secret_scan,
