@@ -31,7 +31,7 @@ def parse(arguments=None) -> argparse.Namespace:
             source = command.add_mutually_exclusive_group(required=True)
             source.add_argument("--url", help="endpoint of paged JSON records")
             source.add_argument("--path", help="folder of page files")
-            command.add_argument("--order", default="fecha_hecho", help="order asked of the endpoint")
+            command.add_argument("--order", default="fecha_hecho,:id", help="order of the pages; ends in a unique column")
             command.add_argument("--limit", type=int, default=PAGE_LIMIT, help="records per request")
             command.add_argument(
                 "--sample-fields", nargs="*", default=[], help="further fields of the raw sample"

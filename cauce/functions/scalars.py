@@ -8,16 +8,18 @@ def parse_event_time(text: Column, zoned: bool = False) -> Column:
 
     The records carry wall-clock times without an offset, so the session time
     zone plays no part. With ``zoned`` an offset in the text is honoured and the
-    result is the wall clock of the session time zone.
+    result is the wall clock of the session time zone; a time without a date is
+    no timestamp either way.
     """
+    local = text.try_cast("timestamp_ntz")
     if zoned:
-        return text.try_cast("timestamp").cast("timestamp_ntz")
-    return text.try_cast("timestamp_ntz")
+        return F.when(local.isNotNull(), text.try_cast("timestamp").cast("timestamp_ntz"))
+    return local
 
 
 def to_count(number: Column) -> Column:
-    """Number to INT, cut toward zero; NaN and values beyond INT give NULL."""
-    return number.try_cast("int")
+    """Number to BIGINT, cut toward zero; NaN and values beyond BIGINT give NULL."""
+    return number.try_cast("bigint")
 
 
 def to_code(value: Column) -> Column:

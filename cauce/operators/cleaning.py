@@ -42,7 +42,7 @@ def normalised_columns(event_time: Column, blank_as_null: bool = False) -> dict[
         "departamento": to_name(filled("departamento", F.col("departamento"))),
         "cod_muni": filled("cod_muni", to_code(F.col("cod_muni"))),
         "municipio": to_name(filled("municipio", F.col("municipio"))),
-        COUNT: F.coalesce(to_count(F.col(COUNT)), F.lit(FILL_VALUES[COUNT])),
+        COUNT: F.coalesce(to_count(F.col(COUNT)), F.lit(FILL_VALUES[COUNT]).cast("bigint")),
     }
 
 

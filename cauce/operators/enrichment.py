@@ -86,6 +86,9 @@ def dimension_sizes(dims: Sequence[Dimension], key: str = KEY) -> DataFrame:
 
 def measure(dims: Sequence[Dimension], key: str = KEY) -> dict[str, DimensionSize]:
     """Sizes of the dimensions; one small job, one row per dimension."""
+    names = [dim.name for dim in dims]
+    if len(set(names)) < len(names):
+        raise ValueError(f"dimensions of the same name: {sorted(names)}")
     rows = dimension_sizes(dims, key).collect()
     return {r["source"]: DimensionSize(r["rows"], r["keys"], r["bytes"]) for r in rows}
 
@@ -108,8 +111,8 @@ def _shuffled_left_join(
 
     A key with more than ``rows_per_task`` facts (NULL and unmatched keys count
     too) is split into parts: its facts spread over them by a hash of the whole
-    row, which a retried task repeats, and its dimension rows are repeated once
-    per part. Other keys have one part. All joins use the same two columns, so
+    row and of its partition, so that equal facts spread too; a retried task
+    repeats both. Its dimension rows are repeated once per part. Other keys have one part. All joins use the same two columns, so
     the facts shuffle and sort once for all dimensions.
     """
     part, parts, hot_key = "_part", "_parts", "_hot_key"
@@ -127,7 +130,8 @@ def _shuffled_left_join(
         same_key = df[key].eqNullSafe(hot[hot_key])
         return df.join(F.broadcast(hot), same_key, "left").drop(hot_key)
 
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in facts.columns]
+    row_hash = F.xxhash64(*columns, F.spark_partition_id())
     place = F.coalesce(F.pmod(row_hash, F.col(parts)), F.lit(0)).cast("int")
     split = with_parts(facts).withColumn(part, place).drop(parts)
     every_part = F.explode(F.sequence(F.lit(0), F.coalesce(parts, F.lit(1)) - 1)).alias(part)

@@ -10,9 +10,6 @@ from cauce.functions import timestamp_text
 from cauce.schemas import EVENT_TIME, ID, SAMPLE_ROWS
 from cauce.shared import shared_dir, written
 
-# Rows that a top-k may pass through one task.
-TOP_ROWS = 100_000
-
 
 def by_event_time(df: DataFrame) -> DataFrame:
     """Total order by event time; the id breaks ties."""
@@ -20,8 +17,20 @@ def by_event_time(df: DataFrame) -> DataFrame:
 
 
 def sample(df: DataFrame, rows: int = SAMPLE_ROWS, order: str = ID) -> DataFrame:
-    """The first ``rows`` rows by id: a top-k, no full sort."""
-    return df.orderBy(order).limit(rows)
+    """The first ``rows`` rows by a numeric id.
+
+    A bound on the id that leaves ``rows`` rows or more is found first, from the
+    id column alone, by doubling. The top-k then gets about twice ``rows`` rows
+    where ids are spread evenly, however many partitions there are.
+    """
+    position = F.col(order)
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    if low is None:
+        return df.orderBy(order).limit(rows)
+    span = 2 * max(rows, 1)
+    while low + span < high and df.filter(position < low + span).count() < rows:
+        span *= 2
+    return df.filter(position.isNull() | (position < low + span)).orderBy(order).limit(rows)
 
 
 def sample_as_text(df: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -36,22 +45,20 @@ def page_by_id(df: DataFrame, offset: int, limit: int, id_column: str = ID) -> D
 
 
 def page_slice(
-    df: DataFrame,
-    offset: int,
-    limit: int,
-    order: Sequence[str] = (ID,),
-    top_rows: int = TOP_ROWS,
+    df: DataFrame, offset: int, limit: int, order: Sequence[str] = (ID,)
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` of a total order.
 
-    A page that ends within the first ``top_rows`` rows is a top-k, which passes
-    that many rows through one task. For a deeper page the rows are numbered.
+    Only the columns of the order are numbered and written; the rows of the page
+    are then found by their values, of which there are ``limit``.
     """
-    if offset + limit <= top_rows:
-        return df.orderBy(*order).offset(offset).limit(limit)
     position = "_position"
-    numbered = with_surrogate_id(df, [F.col(c).asc() for c in order], position)
-    return page_by_id(numbered, offset, limit, position).drop(position)
+    keys = df.select(*order)
+    numbered = with_surrogate_id(keys, [F.col(c).asc() for c in order], position, keys.columns)
+    page = page_by_id(numbered, offset, limit, position)
+    page = page.select(*[F.col(c).alias(f"_page_{i}") for i, c in enumerate(order)])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_page_{i}")) for i, c in enumerate(order)])
+    return df.join(F.broadcast(page), same, "left_semi").orderBy(*order)
 
 
 def append_pages(pages: Sequence[DataFrame]) -> DataFrame:
@@ -59,7 +66,12 @@ def append_pages(pages: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pages)
 
 
-def with_surrogate_id(df: DataFrame, order: Sequence[Column], id_column: str = ID) -> DataFrame:
+def with_surrogate_id(
+    df: DataFrame,
+    order: Sequence[Column],
+    id_column: str = ID,
+    kept: Sequence[str] | None = None,
+) -> DataFrame:
     """Ids 1..N without gaps in the given order, which should be total.
 
     Range partitions sort in parallel; a row's id is its place in its partition
@@ -88,4 +100,4 @@ def with_surrogate_id(df: DataFrame, order: Sequence[Column], id_column: str = I
     # One row per partition of the sort, so the broadcast is bounded by their number.
     numbered = placed.join(F.broadcast(starts), part)
     position = (F.col("_start") + F.col(place) + 1).alias(id_column)
-    return numbered.select(position, *[c for c in df.columns if c != id_column])
+    return numbered.select(position, *(kept or [c for c in df.columns if c != id_column]))

@@ -39,7 +39,7 @@ CLEAN = (
     .add("departamento", "string")
     .add("cod_muni", "string")
     .add("municipio", "string")
-    .add("cantidad", "integer")
+    .add("cantidad", "long")
 )
 
 # Full layouts of the five dimension files, in file order.

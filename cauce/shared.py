@@ -1,28 +1,23 @@
 """The folder that all executors see, for tables written between steps."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, tempfile.TemporaryDirectory] = {}
+_root: str | None = None
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``.
+def use_shared_dir(path: str | None) -> None:
+    """The folder for sessions without ``spark.checkpoint.dir``."""
+    global _root
+    _root = path
 
-    Only a local session may leave that setting out; it then gets a temporary
-    folder that goes away with the Python process.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder under ``spark.checkpoint.dir``, else under ``use_shared_dir``."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or _root
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        if "local" not in _local_roots:
-            _local_roots["local"] = tempfile.TemporaryDirectory(
-                prefix="cauce-", ignore_cleanup_errors=True
-            )
-        root = _local_roots["local"].name
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     return f"{root.rstrip('/')}/cauce-{uuid.uuid4().hex}"
 
 

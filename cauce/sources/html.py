@@ -5,6 +5,8 @@ inside the JVM. Out of scope, and raised as errors rather than misread: tables
 inside tables, and cells that span rows or columns.
 """
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,31 +21,10 @@ _TAG = r"(?s)<[^>]*>"
 _SPACE = r"[\s\u00a0]+"
 _NESTED = r"(?i)<table\b"
 _SPAN = r"(?i)<t[dh]\b[^>]*\b(?:row|col)span\s*=\s*[\"']?\s*0*(?:[2-9]|1\d)"
-_REFERENCE = r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]+);"
-
-# The named character references that are decoded.
-_NAMED = {
-    "amp": "&",
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "'",
-    "nbsp": "\u00a0",
-    "Aacute": "Á",
-    "Eacute": "É",
-    "Iacute": "Í",
-    "Oacute": "Ó",
-    "Uacute": "Ú",
-    "Uuml": "Ü",
-    "Ntilde": "Ñ",
-    "aacute": "á",
-    "eacute": "é",
-    "iacute": "í",
-    "oacute": "ó",
-    "uacute": "ú",
-    "uuml": "ü",
-    "ntilde": "ñ",
-}
+_REFERENCE = r"^(#\d+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+
+# The standard's named references that end in a semicolon.
+_NAMED = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
 _NAMED_MAP = f"map({', '.join(sql_text(x) for item in _NAMED.items() for x in item)})"
 
 
@@ -51,8 +32,8 @@ def _referenced(piece: Column) -> Column:
     """The text after an ``&``: its reference as a character, then the rest."""
     name = F.regexp_extract(piece, _REFERENCE, 1)
     code = (
-        F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10))
-        .when(name.startswith("#"), F.substring(name, 2, 7))
+        F.when(name.rlike("^#[xX]"), F.conv(F.regexp_replace(name, "^#[xX]0*", "0"), 16, 10))
+        .when(name.startswith("#"), F.regexp_replace(name, "^#0*", "0"))
         .try_cast("int")
     )
     is_character = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)

@@ -6,6 +6,8 @@ this package, only Python and PyArrow.
 
 import json
 import sys
+import time
+import urllib.error
 import urllib.parse
 import urllib.request
 from dataclasses import dataclass
@@ -21,13 +23,17 @@ from pyspark.sql.types import LongType, StringType, StructType
 PAGE_LIMIT = 50000
 # Fixed value: seconds before a request is given up; the task then fails and Spark retries it.
 TIMEOUT_SECONDS = 30
+# Seconds between requests that the server refuses for their number.
+WAIT_SECONDS = (1, 2, 4, 8, 16)
 _POSITION = "id"
 
 
 class HttpPages:
     """Pages of a REST endpoint that takes ``$limit``, ``$offset`` and ``$order``."""
 
-    def __init__(self, url, order=None, opener=urllib.request.urlopen):
+    def __init__(self, url, order, opener=urllib.request.urlopen):
+        if not order:
+            raise ValueError("pages are read at once and need an order that ends in a unique column")
         self.url = url
         self.order = order
         self.opener = opener
@@ -35,14 +41,17 @@ class HttpPages:
     def _get(self, params):
         separator = "&" if "?" in self.url else "?"
         address = f"{self.url}{separator}{urllib.parse.urlencode(params)}"
-        with self.opener(address, timeout=TIMEOUT_SECONDS) as response:
-            return json.loads(response.read())
+        for wait in (*WAIT_SECONDS, None):
+            try:
+                with self.opener(address, timeout=TIMEOUT_SECONDS) as response:
+                    return json.loads(response.read())
+            except urllib.error.HTTPError as refused:
+                if refused.code not in (429, 503) or wait is None:
+                    raise
+                time.sleep(wait)
 
     def fetch(self, offset, limit):
-        params = {"$limit": limit, "$offset": offset}
-        if self.order:
-            params["$order"] = self.order
-        return self._get(params)
+        return self._get({"$limit": limit, "$offset": offset, "$order": self.order})
 
     def count(self):
         row = self._get({"$select": "count(*) as n"})[0]

@@ -1,5 +1,7 @@
 """API records to landing rows."""
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -28,6 +30,13 @@ def records_from_json(df: DataFrame, json: str, schema: StructType = RAW) -> Dat
     return df.select(*kept, record.alias("_record")).select(*kept, "_record.*")
 
 
+def array_text(name: str) -> Column:
+    """The JSON text itself, or an error where it is no array."""
+    wrong = F.raise_error(F.concat(F.lit("no JSON array: "), F.left(name, F.lit(80))))
+    text = F.regexp_replace(name, r"^\ufeff", "")
+    return F.when(text.rlike(r"^\s*\["), text).otherwise(wrong.cast("string"))
+
+
 def read_page_files(
     spark: SparkSession, path: str, schema: StructType = RAW, first: int | None = None
 ) -> DataFrame:
@@ -35,32 +44,42 @@ def read_page_files(
 
     The same records and ids as the paged source gives, read by Spark alone: a page
     is one row, so pages run in parallel, on any file system that Spark knows.
-    ``first`` reads that many records and only the pages that hold them.
+    ``first`` reads that many records and only the pages that hold them. A page that
+    is no array, and a second file in a folder, are errors.
     """
     pages = spark.read.text(path, wholetext=True)
+    folders = Counter(name.rpartition("/")[0] for name in pages.inputFiles())
+    shared = sorted(folder for folder, n in folders.items() if n > 1 and "offset=" in folder)
+    if shared:
+        raise ValueError(f"more than one file in {shared[0]}")
     if "offset" not in pages.columns:  # an empty folder, or files in the wrong place
         misplaced = F.raise_error(F.lit("pages must be in folders offset=<first record>"))
         pages = pages.withColumn("offset", misplaced.cast("bigint"))
     if first is not None:
         pages = pages.filter(F.col("offset") < first)
     fields = StructType([f for f in schema.fields if f.name != ID])
-    records = F.from_json("value", ArrayType(fields), {"mode": "FAILFAST"})
+    records = F.from_json(array_text("value"), ArrayType(fields), {"mode": "FAILFAST"})
     position = (F.col("offset").cast("bigint") + F.col("pos") + 1).alias(ID)
     numbered = pages.select("offset", F.posexplode(records).alias("pos", "record"))
     found = numbered.select(position, "record.*").select(*schema.fieldNames())
     return found if first is None else found.filter(F.col(ID) <= first)
 
 
-def _as_number(text: Column) -> Column:
-    value = text.try_cast("double")
-    return F.when(~F.isnan(value), value)
+# Spark's own cast also takes 1d, 2f, 0x1p3 and Infinity.
+_DECIMAL = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
+
+
+def _as_number(number: Column) -> Column:
+    text = number.cast("string")
+    value = F.when(text.rlike(_DECIMAL), text.try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def land(raw: DataFrame) -> DataFrame:
     """Raw records to the landing schema.
 
-    Codes and names become text as they are. A count that is no number, or NaN,
-    becomes NULL; ``unreadable_counts`` tells how many.
+    Codes and names become text as they are. A count that is no finite decimal
+    number becomes NULL; ``unreadable_counts`` tells how many.
     """
     fixed = project_fields(raw, RAW)
     typed = {

@@ -38,7 +38,7 @@ def normalised(parsed: str) -> str:
   upper(trim(coalesce(departamento, 'DESCONOCIDO'), ' ')) AS departamento,
   coalesce(trim(cod_muni, ' '), '00000') AS cod_muni,
   upper(trim(coalesce(municipio, 'DESCONOCIDO'), ' ')) AS municipio,
-  coalesce(TRY_CAST(trunc(cantidad) AS INTEGER), 0) AS cantidad
+  coalesce(TRY_CAST(trunc(cantidad) AS BIGINT), 0) AS cantidad
 """
 
 
@@ -519,8 +519,8 @@ def oracle() -> dict[str, str]:
         ),
         "fn_count_to_int": with_(
             FACTS,
-            select="SELECT id, TRY_CAST(trunc(cantidad - 50) AS INTEGER) AS signed_count,"
-            " TRY_CAST(trunc(cantidad * 1e8) AS INTEGER) AS large_count FROM facts",
+            select="SELECT id, TRY_CAST(trunc(cantidad - 50) AS BIGINT) AS signed_count,"
+            " TRY_CAST(trunc(cantidad * 1e18) AS BIGINT) AS large_count FROM facts",
         ),
         "fn_code_to_string": """
             SELECT l_orderkey, CAST(l_partkey AS VARCHAR) AS part_code,

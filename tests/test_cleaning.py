@@ -49,26 +49,28 @@ def test_clean_values(spark):
             (3, "", "05", "A", "1", "B", 1.0),
             (4, "garbage", "05", "A", "1", "B", 1.0),
             (5, None, "05", "A", "1", "B", 1.0),
-            (6, DATE, "", " ", "", "", 3e9),
+            (6, DATE, "", " ", "", "", 1e30),
+            (7, DATE, "07", "C", "7", "D", 3e9),
         ],
     )
     assert rows(cleaning.clean(df)) == [
         (1, DAY, "05", "NARIÑO", "05001", "\tX", 1),
         (2, DAY, "00", "DESCONOCIDO", "00000", "DESCONOCIDO", 0),
         (6, DAY, "", "", "", "", 0),
+        (7, DAY, "07", "C", "7", "D", 3_000_000_000),
     ]
     blank = rows(cleaning.clean(df, blank_as_null=True).filter("id = 6"))
     assert blank == [(6, DAY, "00", "DESCONOCIDO", "00000", "DESCONOCIDO", 0)]
     audit = metrics(cleaning.clean_audit(df))
-    assert audit["initial_rows"] == 6
+    assert audit["initial_rows"] == 7
     assert audit["removed_undated"] == 3
     assert (audit["undated_null"], audit["undated_unparsed"]) == (1, 2)
     assert audit["counts_out_of_range"] == 1
-    assert audit["final_rows"] == 3
+    assert audit["final_rows"] == 4
     assert audit["nulls_fecha_hecho"] == 1
     assert metrics(cleaning.clean_summary(df)) == {
-        "initial_rows": 6,
-        "final_rows": 3,
+        "initial_rows": 7,
+        "final_rows": 4,
         "removed_rows": 3,
     }
 
@@ -162,7 +164,7 @@ def brute_force(data):
             parsed = datetime.fromisoformat(date)
         except (TypeError, ValueError):
             continue
-        whole = 0 if count is None or abs(count) > 2**31 else int(count)
+        whole = 0 if count is None or abs(count) > 2**63 else int(count)
         result.append(
             (
                 number,

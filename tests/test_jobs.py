@@ -182,18 +182,19 @@ def test_shared_folder_follows_the_session(spark):
     assert rows(table) == [(0,), (1,), (2,)]
 
 
-def test_shared_folder_is_required_on_a_cluster():
+def test_shared_folder_is_required(monkeypatch):
     class Conf(dict):
         def get(self, key, default=None):
             return dict.get(self, key, default)
 
     class Session:
-        conf = Conf({"spark.master": "spark://host:7077"})
+        conf = Conf({"spark.master": "local[2]"})
 
+    monkeypatch.setattr("cauce.shared._root", None)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Session())
-    Session.conf["spark.master"] = "local[2]"
-    assert "cauce-" in shared_dir(Session())
+    monkeypatch.setattr("cauce.shared._root", "/somewhere")
+    assert shared_dir(Session()).startswith("/somewhere/cauce-")
 
 
 def test_ingest_job(spark, tmp_path):

@@ -35,9 +35,18 @@ def test_pages_of_a_table(spark):
     by_id = ordering.page_by_id(df, 90, 20)
     assert rows(by_order) == rows(by_id) == [(i,) for i in range(91, 101)]
     assert "Sort" not in plan(by_id)
-    deep = ordering.page_slice(df, 90, 20, top_rows=50)
-    assert deep.columns == ["id"] and rows(deep) == rows(by_id)
-    assert "TakeOrdered" not in plan(deep)
+    wide = df.select((F.col("id") % 7).alias("k"), "id").withColumn("x", F.lit("y"))
+    page = ordering.page_slice(wide, 20, 15, ("k", "id"))
+    expected = sorted((i % 7, i, "y") for i in range(1, 101))[20:35]
+    assert [tuple(r) for r in page.collect()] == expected
+    assert ordering.page_slice(wide, 200, 5, ("k", "id")).count() == 0
+
+
+def test_samples_of_ids_with_gaps(spark):
+    df = spark.range(0, 100_000, 37).repartition(16)
+    assert rows(ordering.sample(df, 50)) == [(37 * i,) for i in range(50)]
+    assert ordering.sample(df, 10**6).count() == df.count()
+    assert ordering.sample(df.limit(0), 5).count() == 0
 
 
 def test_append_pages_keeps_duplicates_and_fills_columns(spark):

@@ -55,8 +55,15 @@ def test_event_time_with_offset(spark):
 
 
 def test_count_is_cut_toward_zero(spark):
-    data = [1.7, -1.7, float("nan"), 3e9, 0.0, None]
-    assert values(spark, data, "double", to_count) == [1, -1, None, None, 0, None]
+    data = [1.7, -1.7, float("nan"), 3e9, 0.0, None, float("inf"), 1e30]
+    assert values(spark, data, "double", to_count) == [1, -1, None, 3_000_000_000, 0, None, None, None]
+
+
+def test_a_time_without_a_date_is_no_timestamp(spark):
+    texts = ["12:30:00", "T12:30", "2024-05-06T12:30:00", "bad", None]
+    for zoned in (False, True):
+        found = values(spark, texts, "string", lambda c: parse_event_time(c, zoned))
+        assert [t is None for t in found] == [True, True, False, True, True]
 
 
 def test_codes_and_keys(spark):

@@ -566,3 +566,32 @@ def test_file_pages_from_the_middle(tmp_path):
     for uri in (f"file://{path}", f"file:{path}"):
         assert FilePages(uri, 4).count() == 6
         assert FilePages(uri, 4).fetch(0, 1) == [{"a": 0}]
+
+
+def test_named_references_of_the_standard(spark):
+    from cauce.sources.html import decode_references
+
+    text = "S&atilde;o &ccedil; &ordm; &ndash; &iquest; &#233; &#x0000E9; &#0000000233; &nosuch; &frac12;"
+    df = spark.createDataFrame([(text,)], "t string").select(decode_references(F.col("t")))
+    assert df.first()[0] == "São ç º – ¿ é é é &nosuch; ½"
+
+
+def test_counts_are_decimal_numbers(spark):
+    texts = ["1", " 2.5 ", "1e3", "-.5", "1d", "2f", "0x1p3", "Infinity", "NaN", "1e999", None]
+    df = spark.createDataFrame([(t,) for t in texts], "cantidad string")
+    found = [r.cantidad for r in land(df).collect()]
+    assert found == [1.0, 2.5, 1000.0, -0.5, *[None] * 7]
+    assert df.agg(unreadable_counts()).first()[0] == 6
+
+
+def test_stored_pages_must_be_arrays_one_per_folder(spark, tmp_path):
+    folder = tmp_path / "offset=0"
+    folder.mkdir()
+    (folder / "a.json").write_text('{"error": true}')
+    with pytest.raises(Exception, match="no JSON array"):
+        read_page_files(spark, str(tmp_path)).collect()
+    (folder / "a.json").write_text('\ufeff [{"cantidad": 1}]')
+    assert read_page_files(spark, str(tmp_path)).count() == 1
+    (folder / "b.json").write_text("[]")
+    with pytest.raises(ValueError, match="more than one file"):
+        read_page_files(spark, str(tmp_path))
