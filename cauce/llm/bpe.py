@@ -16,7 +16,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from cauce.llm import pieces as P
-from cauce.llm.common import arrow_schema, record_batch
 
 #: Pieces of more bytes contract all pairs of the least rank in one round where that is the same.
 LONG = 200
@@ -106,7 +105,8 @@ class Codec:
             self.db.register("given", pa.table(columns))
             self.db.sql(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        self.memo = P.Memo(self._encode_chunks)
+        self.digits = [str(i) for i in range(max(self.ranks.values()) + 1)]
+        self.memo = P.Memo(self._encode_chunks, 1_400_000)
 
     def _run(self, query: str, tokens: pa.Table) -> pa.Table:
         self.db.register("tokens", tokens)
@@ -180,29 +180,38 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, pattern: str, digests_only: bool = False) -> DataFrame:
     """Per row of (doc_id, text): doc_id, ids, n_tokens, ids_sha256, decoded and decoded_sha256.
 
     ids_sha256 is of the decimal ids joined by commas; both digests are lowercase
     hex. A NULL text is empty and has no ids. Whole texts of any length are
     encoded; repeated rows give the same again. Other columns are not read.
+    ``digests_only`` leaves out ids and decoded.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
         f"doc_id {kind}, ids array<int>, n_tokens long, ids_sha256 string, decoded binary, decoded_sha256 string"
     )
-    kinds = arrow_schema(schema)
+    names = ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded", "decoded_sha256"]
+    if digests_only:
+        schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        names = [n for n in names if n not in ("ids", "decoded")]
 
     def run(batches):
         own = codec(path, pattern)
         for block in P.blocks(batches, "text"):
             ids, rows = own.encode(block["text"])
             decoded = own.decode(ids, rows)
-            out = []
-            for doc, start, stop, held in zip(block["doc_id"].to_pylist(), rows[:-1].tolist(), rows[1:].tolist(), decoded):
-                part = ids[start:stop].tolist()
-                digest = hashlib.sha256(",".join(map(str, part)).encode()).hexdigest()
-                out.append((doc, part, len(part), digest, held, hashlib.sha256(held).hexdigest()))
-            yield record_batch(out, kinds)
+            digits = list(map(own.digits.__getitem__, ids.tolist()))
+            listed = [",".join(digits[a:b]) for a, b in zip(rows.tolist(), rows[1:].tolist())]
+            columns = {
+                "doc_id": block["doc_id"],
+                "ids": pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(ids, pa.int32())),
+                "n_tokens": pa.array(np.diff(rows)),
+                "ids_sha256": pa.array([hashlib.sha256(x.encode()).hexdigest() for x in listed]),
+                "decoded": pa.array(decoded, pa.binary()),
+                "decoded_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in decoded]),
+            }
+            yield pa.record_batch([columns[n] for n in names], names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)

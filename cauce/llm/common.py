@@ -1,14 +1,18 @@
 """Folders that all executors see, and columns that do not clash with the caller's."""
 
+import contextlib
 import tempfile
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 _own: list[tempfile.TemporaryDirectory] = []
+#: Folders made since ``recorded`` began, while it runs.
+_made: list[str] | None = None
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -24,7 +28,29 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         if not _own:
             _own.append(tempfile.TemporaryDirectory(prefix="llm-", ignore_cleanup_errors=True))
         root = _own[0].name
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _made is not None:
+        _made.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def recorded(folders: list[str]):
+    """Adds the folders made inside to ``folders``, for ``remove``."""
+    global _made
+    before, _made = _made, folders
+    try:
+        yield
+    finally:
+        _made = before
+
+
+def remove(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders that nothing reads any more, on whatever file system they are."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -38,6 +64,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_buckets(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written as a table in buckets of ``key``; joins by it leave its rows where they are."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_folder(spark, "buckets")
+    name = "buckets_" + path.rpartition("-")[2]
+    writer = df.write.bucketBy(n, key).option("compression", "zstd").option("path", path)
+    writer.saveAsTable(name)
+    return spark.table(name)
+
+
+def bucketed(df: DataFrame, row: str) -> DataFrame:
+    """``df`` numbered in a new column ``row`` and written in buckets of it: texts move once."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = df.withColumn(row, F.monotonically_increasing_id()).repartition(n, row)
+    return in_buckets(numbered, row)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -2,8 +2,8 @@
 
 Shingles are ordered rare first, by counts over all documents in a table of
 fixed size. Two similar sets share one of their first shingles (prefix), have
-similar sizes (length), meet early enough (position), and have similar numbers
-in ranges of hashes (suffix); only pairs that pass are compared.
+similar sizes (length), meet early enough (position), and differ in few of the
+bits that shingles flip (suffix); only pairs that pass are compared.
 
 Pairs of one posting list are not all emitted. Neighbours in it, by size, are
 compared first; what they link is one component, and only pairs of different
@@ -20,13 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cauce.llm import pieces as P
-from cauce.llm.common import arrow_schema, free_name, record_batch, staged
+from cauce.llm.common import arrow_schema, bucketed, free_name, in_buckets, record_batch, staged
 from cauce.llm.components import components
 
 #: Buckets of the table of frequencies, by the top bits of a shingle's hash.
 BUCKET_BITS = 16
-#: Ranges of hashes for the suffix filter.
-RANGES = 64
+#: Fewest bits of a set's marks for the suffix filter; each shingle flips one of them.
+MARK_BITS = 1024
+#: 64-bit words of marks that go along with the members of posting lists.
+FIRST_MARKS = 4
 #: Odd multipliers for the words of a shingle.
 _ODD = np.random.RandomState(9).randint(0, 1 << 62, 4096).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -64,6 +66,17 @@ def shingle_sets(column: pa.Array, size: int) -> list[np.ndarray]:
     return sets
 
 
+def set_marks(held: np.ndarray) -> np.ndarray:
+    """The bits that an odd number of elements falls on, packed: two to four bits per element."""
+    bits = max(MARK_BITS, 1 << (2 * len(held)).bit_length())
+    return np.packbits(np.bincount((held % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1)
+
+
+def folded(marks: np.ndarray, size: int) -> np.ndarray:
+    """The marks of the same set in ``size`` bytes, fewer than it has."""
+    return np.bitwise_xor.reduce(marks.reshape(-1, size), axis=0)
+
+
 def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
     """How many documents' shingles fall into each bucket."""
 
@@ -79,16 +92,16 @@ def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
 
     counted = docs.select("text").mapInArrow(count, "bucket long, n long")
     total = np.zeros(1 << BUCKET_BITS, np.int64)
-    for r in counted.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        total[r.bucket] = r.n
+    sums = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most the table's size
+    total[sums["bucket"].to_numpy()] = sums["n"].to_numpy()
     return total
 
 
 def _described(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Per row: size and signature of its set, numbers by range, and its prefix, rare first."""
+    """Per row: size, signature and marks of its set, and its prefix, rare first."""
     sent = docs.sparkSession.sparkContext.broadcast(_frequencies(docs, size))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, n int, sign binary, bins binary, prefix array<long>"
+    schema = f"row long, doc_id {kind}, n int, sign binary, marks binary, first_marks array<long>, prefix array<long>"
     kinds = arrow_schema(schema)
 
     def describe(batches):
@@ -98,36 +111,40 @@ def _described(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
             for row, doc, held in zip(block["row"].to_pylist(), block["doc_id"].to_pylist(), sets):
                 n = len(held)
                 if not n:
-                    out.append((row, doc, 0, None, None, []))
+                    out.append((row, doc, 0, None, None, [], []))
                     continue
                 often = sent.value[(held >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
                 length = n - (num * n + den - 1) // den + 1
                 # Sorted by hash already, so that a stable order by frequency is the same for all.
                 prefix = held[np.argsort(often, kind="stable")[:length]]
-                ranges = (held >> np.uint64(64 - 6)).astype(np.int64)
-                bins = np.bincount(ranges, minlength=RANGES).astype("<u4")
+                marks = set_marks(held)
                 sign = xxhash.xxh3_128_digest(held.tobytes())
-                out.append((row, doc, n, sign, bins.tobytes(), prefix.view(np.int64)))
+                out.append((row, doc, n, sign, marks.tobytes(), folded(marks, FIRST_MARKS * 8).view(np.int64), prefix.view(np.int64)))
             yield record_batch(out, kinds)
 
     return staged(docs.select("row", "doc_id", "text").mapInArrow(describe, schema), "described")
 
 
-def _postings(lists: DataFrame) -> DataFrame:
-    """Members of posting lists with two or more, each with its neighbour before it in the list.
+def _postings(lists: DataFrame, num: int, den: int) -> DataFrame:
+    """Members of posting lists that have a neighbour of similar size, each with the one before it.
 
-    Tasks hold ranges of (shingle, size, id), so a long list is spread over
-    several. Members at the ends of a range are always given.
+    A list is sorted by size, so who has no such neighbour has no such partner
+    in it at all. Tasks hold ranges of (shingle, size, id), so a long list is
+    spread over several; members at the ends of a range are always given.
     """
     names = ["shingle", "n", "cls", "pos"]
     schema = "shingle long, n int, cls long, pos int, prev_n int, prev_cls long, prev_pos int"
 
+    def neighbour(rows):
+        sizes = rows[1].astype(np.int64)
+        return (rows[0][1:] == rows[0][:-1]) & (den * sizes[:-1] >= num * sizes[1:])
+
     def given(rows, before, first, last):
         """All rows but the last, which waits for its successor unless it is the ``last`` of all.
 
-        ``before`` is the row before the first one if it is in the same list.
+        ``before`` is the row before the first one if it is a neighbour of similar size.
         """
-        equal = rows[0][1:] == rows[0][:-1]
+        equal = neighbour(rows)
         lone = np.concatenate([[before is None], ~equal])
         wanted = ~lone | np.append(equal, last)
         wanted[0] |= first
@@ -146,7 +163,7 @@ def _postings(lists: DataFrame) -> DataFrame:
             rows = found if rows is None else [np.concatenate(x) for x in zip(rows, found)]
             if len(rows[0]) > 1:
                 yield from given(rows, before, first, False)
-                before = [c[-2:-1] for c in rows] if rows[0][-1] == rows[0][-2] else None
+                before = [c[-2:-1] for c in rows] if neighbour([c[-2:] for c in rows])[0] else None
                 rows, first = [c[-1:] for c in rows], False
         if rows is not None and len(rows[0]):
             yield from given(rows, before, first, True)
@@ -166,20 +183,23 @@ def _passes(n_a, n_b, pos_a, pos_b, num: int, den: int):
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, num: int, den: int):
     """The pairs (a, b) whose sets are similar; only sets of pairs that pass the suffix filter move."""
 
-    def filtered(batches):
+    def marked(side):
+        return classes.select(F.col("cls").alias(side), F.col("n").alias(f"n_{side}"), F.col("marks").alias(f"marks_{side}"))
+
+    def differ_little(batches):
         for batch in batches:
-            a, b = (
-                np.frombuffer(b"".join(batch[c].to_pylist()), "<u4").reshape(-1, RANGES) for c in ("bins_a", "bins_b")
-            )
-            both = np.minimum(a, b).sum(axis=1, dtype=np.int64)
-            keep = (num + den) * both >= num * (a.sum(axis=1, dtype=np.int64) + b.sum(axis=1, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep))
-
-    def bins(side):
-        return classes.select(F.col("cls").alias(side), F.col("bins").alias(f"bins_{side}"))
-
-    near = pairs.join(bins("a"), "a").join(bins("b"), "b").select("a", "b", "bins_a", "bins_b")
-    near = staged(near.mapInArrow(filtered, "a long, b long"), "near")
+            keep = []
+            columns = (batch[c].to_pylist() for c in ("n_a", "n_b", "marks_a", "marks_b"))
+            for n_a, n_b, *marks in zip(*columns):
+                x, y = (np.frombuffer(m, np.uint8) for m in marks)
+                least = min(len(x), len(y))
+                bits = int(np.bitwise_count(folded(x, least) ^ folded(y, least)).sum())
+                # Sets that differ in more bits differ in more shingles than similar ones do.
+                keep.append((num + den) * bits <= (den - num) * (n_a + n_b))
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    near = pairs.join(marked("a"), "a").join(marked("b"), "b")
+    near = staged(near.mapInArrow(differ_little, "a long, b long"), "near")
     ends = near.select(F.col("a").alias("row")).union(near.select("b")).distinct()
 
     def sets(batches):
@@ -220,11 +240,11 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     signs = described.filter("n > 0").groupBy("sign").agg(F.min("row").alias("cls"), F.min(first).alias("first"))
     signs = staged(signs, "classes")
-    classes = staged(
-        described.select(F.col("row").alias("cls"), "n", "bins", "prefix").join(signs.select("cls"), "cls"), "classes"
-    )
+    classes = described.select(F.col("row").alias("cls"), "n", "marks", "first_marks", "prefix")
+    # In buckets of cls, so that pairs find the marks of their ends without moving them all.
+    classes = in_buckets(classes.join(signs.select("cls"), "cls"), "cls")
     lists = classes.select("cls", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    postings = _postings(lists)
+    postings = _postings(lists, num, den)
 
     col = F.col
     chain = postings.filter("prev_cls is not null").filter(
@@ -241,13 +261,19 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     owned = staged(owned.withColumn("root", F.coalesce("root", "cls")), "owned")
     mixed = owned.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
     owned = staged(owned.join(staged(mixed.select("shingle"), "mixed"), "shingle", "left_semi"), "owned")
+    names = [f"mark_{i}" for i in range(FIRST_MARKS)]
+    marks = classes.select("cls", *[col("first_marks")[i].alias(name) for i, name in enumerate(names)])
+    owned = staged(owned.join(marks, "cls"), "owned")
     a, b = owned.alias("a"), owned.alias("b")
+    bits = [F.bit_count(col(f"a.{name}").bitwiseXOR(col(f"b.{name}"))) for name in names]
+    differ_little = (num + den) * sum(bits[1:], bits[0]) <= (den - num) * (col("a.n") + col("b.n"))
     cross = a.join(
         b,
         (col("a.shingle") == col("b.shingle"))
         & (col("a.cls") < col("b.cls"))
         & (col("a.root") != col("b.root"))
-        & _passes(col("a.n"), col("b.n"), col("a.pos"), col("b.pos"), num, den),
+        & _passes(col("a.n"), col("b.n"), col("a.pos"), col("b.pos"), num, den)
+        & differ_little,
     ).select(col("a.cls").alias("a"), col("b.cls").alias("b"))
     cross = staged(cross.distinct(), "cross").join(tried, ["a", "b"], "left_anti")
     links = links.union(_verified(cross, classes, docs, size, num, den))
@@ -270,13 +296,13 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
 
 def numbered(docs: DataFrame) -> DataFrame:
     """(row, doc_id, text) of ``docs``, written once."""
-    return staged(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "numbered")
+    return bucketed(docs.select("doc_id", "text"), "row")
 
 
 def drop_similar(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with one row of each component of similar texts; all columns stay."""
     row = free_name(docs, "row")
-    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    rows = bucketed(docs, row)
     found = similar_documents(rows.select(F.col(row).alias("row"), "doc_id", "text"), size, num, den)
     dropped = staged(found.filter(~F.col("kept")).select(F.col("row").alias(row)), "dropped")
     return rows.join(dropped, row, "left_anti").drop(row)

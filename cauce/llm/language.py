@@ -7,6 +7,7 @@ the forward and backward sums fits the probabilities.
 """
 
 import functools
+import itertools
 import re
 
 import numpy as np
@@ -179,6 +180,27 @@ def _round(words: DataFrame, langs: list[str], table: np.ndarray, path: str) ->
     return found.groupBy("piece", "lang").agg(F.sum("n").alias("n"))
 
 
+_models = itertools.count()
+_memos: dict[int, P.Memo] = {}
+
+
+def _scores(model_id: int, table: np.ndarray, path: str) -> P.Memo:
+    """Per token: log probabilities by language, then letters; kept by a worker for its later tasks."""
+
+    def compute(tokens: list[bytes]) -> list[bytes]:
+        found = [runs(token) for token in tokens]
+        flat = [run for x in found for run in x]
+        first = np.cumsum([0, *map(len, found)])
+        scores = forward(flat, table, path) if flat else np.zeros((0, table.shape[1]))
+        letters = np.array([sum(map(len, x)) for x in found], float)
+        return [x.tobytes() for x in np.column_stack([P.row_sums(scores, first), letters])]
+
+    if model_id not in _memos:
+        _memos.clear()
+        _memos[model_id] = P.Memo(compute)
+    return _memos[model_id]
+
+
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred and score, replacing columns of these names.
 
@@ -190,22 +212,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
     docs = docs.drop("lang_pred", "score")
     sent = docs.sparkSession.sparkContext.broadcast((model.langs, model.table))
-    path = model.path
+    path, model_id = model.path, next(_models)
 
     def predict(batches):
         langs, table = sent.value
         width = len(langs)
-
-        def compute(tokens: list[bytes]) -> list[bytes]:
-            found = [runs(token) for token in tokens]
-            flat = [run for x in found for run in x]
-            first = np.cumsum([0, *map(len, found)])
-            scores = forward(flat, table, path) if flat else np.zeros((0, width))
-            sums = P.row_sums(scores, first)
-            letters = np.array([sum(map(len, x)) for x in found], float)
-            return [x.tobytes() for x in np.column_stack([sums, letters])]
-
-        memo = P.Memo(compute)
+        memo = _scores(model_id, table, path)
         for block in P.blocks(batches, "text"):
             bounds, held, first = P.words(*P.text_bytes(block["text"]))
             codes, known = P.distinct(bounds, held)

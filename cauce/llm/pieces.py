@@ -112,7 +112,7 @@ def gather(values: np.ndarray, offsets: np.ndarray, codes: np.ndarray):
 class Memo:
     """Results of distinct pieces, as bytes; of more than ``limit`` those not used lately are forgotten."""
 
-    def __init__(self, compute: Callable[[list[bytes]], list[bytes]], limit: int = 1_000_000):
+    def __init__(self, compute: Callable[[list[bytes]], list[bytes]], limit: int = 500_000):
         self.compute, self.limit, self.young, self.old = compute, limit, {}, {}
 
     def __call__(self, pieces: list[bytes]) -> list[bytes]:

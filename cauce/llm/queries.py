@@ -64,8 +64,7 @@ def op6_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
     path = public_vocabulary("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.encode_decode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
-    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.encode_decode(documents(spark, sf_dir), path, public_tokenizers.PATTERN, digests_only=True)
 
 
 def op7_embedding_dedup(spark, sf_dir):

@@ -9,7 +9,7 @@ moves again.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cauce.llm.common import free_name, staged
+from cauce.llm.common import bucketed, free_name, staged
 
 #: A chunk ends after 512 to 4,096 characters, at the first place where three
 #: characters with a code of 1 modulo 4 meet, one of them ASCII white space or a letter.
@@ -81,6 +81,6 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts; all columns stay."""
     row = free_name(docs, "row")
-    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    numbered = bucketed(docs, row)
     dropped = duplicate_groups(numbered, row).filter(~F.col("kept")).select(row)
     return numbered.join(staged(dropped, "dropped"), row, "left_anti").drop(row)

@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cauce.llm.common import free_name, staged
+from cauce.llm.common import bucketed, free_name, staged
 
 MARK = "[SECRET]"
 # Names of credentials, and the prefixes of known tokens.
@@ -182,7 +182,7 @@ def scan(rows: DataFrame, row: str, label=rule_label, least: float = 0.5) -> Dat
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` written with a column that numbers its rows, and that column's name."""
     row = free_name(docs, "row")
-    return staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+    return bucketed(docs, row), row
 
 
 def redact(docs: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cauce.llm import pieces as P
-from cauce.llm.common import arrow_schema, record_batch, shared_folder, staged
+from cauce.llm.common import arrow_schema, bucketed, record_batch, staged
 
 #: Bytes of a gram whose hash chooses anchors.
 GRAM = 64
@@ -308,18 +308,6 @@ def repeated_strings(docs: DataFrame, length: int = 400) -> DataFrame:
     return whole.union(same).union(single)
 
 
-def bucketed(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, text) as a table in buckets of row, so that texts join by row without moving again."""
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    path = shared_folder(spark, "texts")
-    name = "texts_" + path.rpartition("-")[2]
-    table = numbered.repartition(n, "row").write.bucketBy(n, "row").option("compression", "zstd")
-    table.option("path", path).saveAsTable(name)
-    return spark.table(name)
-
-
 def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     """Per row of (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept (binary) and kept_sha256.
 
@@ -328,7 +316,7 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     within a text. Repeated rows are copies of each other, so both lose what is
     long enough. Whole texts of any length are searched. Other columns are not read.
     """
-    texts = bucketed(docs)
+    texts = bucketed(docs.select("doc_id", "text"), "row")
     spans = repeated_strings(texts, length).distinct()
     spans = spans.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -1,0 +1,187 @@
+"""Language, secrets and severity: held-out accuracy, brute force and odd inputs."""
+
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+P = pytest.importorskip("public_tokenizers")
+
+from cauce.llm import language, queries, secrets, severity  # noqa: E402
+from cauce.llm.common import documents  # noqa: E402
+
+PIECES = P.path("piece_bpe_32k.model")
+DATA = "/root/testdata/sf0.01"
+
+
+# Language
+
+
+def segmentations(word, known):
+    if not word:
+        yield []
+    for end in range(1, len(word) + 1):
+        if word[:end] in known:
+            for rest in segmentations(word[end:], known):
+                yield [word[:end], *rest]
+
+
+def test_forward_sums_all_segmentations():
+    known, _ = language.vocabulary(PIECES)
+    rng = np.random.RandomState(1)
+    table = rng.rand(max(known.values()) + 1, 2)
+    for word in ("▁the", "▁house", "▁année"):
+        total = sum(np.prod([table[known[p]] for p in s], axis=0) for s in segmentations(word, known))
+        assert np.allclose(language.forward([word], table, PIECES)[0], np.log(total))
+
+
+def test_expected_counts_are_those_of_all_segmentations():
+    known, _ = language.vocabulary(PIECES)
+    table = np.random.RandomState(2).rand(max(known.values()) + 1, 1)
+    found = language.expected(["▁there"], [0], [3], table, PIECES)
+    weights, sums = 0.0, np.zeros_like(table)
+    for s in segmentations("▁there", known):
+        weight = np.prod([table[known[p], 0] for p in s])
+        weights += weight
+        for p in s:
+            sums[known[p], 0] += weight
+    assert np.allclose(found, 3 * sums / weights)
+
+
+def test_held_out_languages(spark):
+    found = queries.op3_language(spark, DATA)
+    truth = documents(spark, DATA).select("doc_id", "lang")
+    rows = found.join(truth, "doc_id").filter("held_out").collect()
+    right = sum(r.lang == r.lang_pred for r in rows)
+    assert len(rows) > 300 and right >= 0.98 * len(rows)
+    assert found.count() == truth.count()
+
+
+def test_languages_of_odd_texts(spark):
+    schema = "doc_id long, text string, lang string, score string, lang_pred string"
+    train = spark.createDataFrame(
+        [(1, "the house and the garden", "en", "", ""), (2, "das haus und der garten", "de", "", ""), (3, "x", None, "", "")], schema
+    )
+    model = language.fit(train, PIECES)
+    odd = spark.createDataFrame(
+        [(1, None, "", "", ""), (1, "12 ...", "", "", ""), (None, "the", "", "", ""), (4, "日本", "", "", ""), (5, "a" * 9000, "", "", "")], schema
+    )
+    rows = language.identify(odd, model).collect()
+    assert [r.lang_pred for r in rows[:3]] == ["und", "und", "en"]
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert language.identify(odd.limit(0), model).count() == 0
+    none = language.fit(train.limit(0), PIECES)
+    assert {(r.lang_pred, r.score) for r in language.identify(odd, none).collect()} == {("und", 0.0)}
+
+
+# Secrets
+
+SCHEMA = "doc_id long, text string, n_chars long, `row` string, nth int, secret_nth int"
+
+
+def scanned(spark, texts):
+    docs = spark.createDataFrame([(i, t, len(t or ""), "r", 1, 2) for i, t in enumerate(texts)], SCHEMA)
+    rows, row = secrets.numbered(docs)
+    return docs, secrets.scan(rows, row)
+
+
+def secret_texts():
+    rng = random.Random(3)
+    texts = [None, "", "no candidates here", "word " * 5000]
+    for i in range(60):
+        key = "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(15)) + "7"
+        value = "".join(rng.choice("0123456789abcdef") for _ in range(18))
+        digest = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        texts.append(f"the key {key} and password={value}a1 é end")
+        texts.append(f'commit {digest} by user{i}.{i}@mail.example.com on 2024-01-{i:02d}T10:00 or 10.0.0.{i}:8080, "{digest}"')
+    return texts
+
+
+def test_secrets_and_their_places(spark):
+    texts = secret_texts()
+    _, found = scanned(spark, texts)
+    rows = found.collect()
+    expected = {(i, m.start(), m.group()) for i, t in enumerate(texts) for m in re.finditer(r"AKIA\w{16}|password=\w+", t or "")}
+    assert {(r.doc_id, r.start, texts[r.doc_id][r.start : r.start + r.length]) for r in rows if r.is_secret} == expected
+    assert len(rows) > len(expected)
+
+
+def test_redaction_keeps_all_else(spark):
+    texts = secret_texts()
+    docs, _ = scanned(spark, texts)
+    out = secrets.redact(docs)
+    assert out.columns == docs.columns
+    rows = {r.doc_id: r for r in out.collect()}
+    for i, text in enumerate(texts):
+        wanted = text and re.sub(r"AKIA\w{16}|password=\w+", secrets.MARK, text)
+        assert rows[i].text == wanted and rows[i].n_chars == len(wanted or "")
+
+
+def test_secrets_of_nothing_and_without_labels(spark):
+    _, found = scanned(spark, ["token: abcd1234efgh"] * 2)
+    assert [(r.score, r.is_secret) for r in found.collect()] == [(1.0, True)] * 2
+    docs, _ = scanned(spark, [None])
+    assert secrets.redact(docs).collect()[0].text is None
+    assert secrets.redact(docs.limit(0)).count() == 0
+
+
+# Severity
+
+
+def test_probabilities_share_weights_across_thresholds():
+    p = severity.probabilities(np.array([-2.0, 0.0, 5.0]), np.array([-1.0, 0.5, 2.0]))
+    assert np.allclose(p.sum(axis=1), 1) and (p >= 0).all()
+    expected = p @ np.arange(4)
+    assert (np.diff(expected) > 0).all()
+    sigmoid = 1 / (1 + np.exp(-(-1.0 - 0.0)))
+    assert np.isclose(p[1, 0], sigmoid)
+
+
+def test_gradient_raises_likelihood():
+    rng = np.random.RandomState(1)
+    rows = np.repeat(np.arange(400), 3)
+    columns = rng.randint(0, 30, 1200)
+    score = np.bincount(rows, columns < 5, 400)
+    grades = np.minimum(score, 3).astype(int)
+    weights, theta = severity.fit_ordinal(rows, columns, 400, 30, grades, 4)
+    assert (np.diff(theta) >= 0).all() and weights[:5].min() > weights[5:].max()
+    p = severity.probabilities(np.bincount(rows, weights[columns], 400), theta)
+    assert (p.argmax(axis=1) == grades).mean() > 0.8
+
+
+def test_toxic_documents(spark):
+    # The smaller tables label too few toxic documents of each language to learn from a half.
+    data = "/root/testdata/sf0.1"
+    docs = documents(spark, data)
+    labels = spark.read.parquet(f"{data}/labels.parquet").select("doc_id", "toxic")
+    labelled = docs.join(labels, "doc_id")
+    train, test = labelled.filter("doc_id % 2 = 0"), labelled.filter("doc_id % 2 = 1")
+    model = severity.fit(train.select("text", "toxic"))
+    rows = severity.grade(test, model).join(labels.withColumnRenamed("toxic", "truth"), "doc_id").collect()
+    caught = [r.toxic for r in rows if r.truth == 1]
+    clean = [r.toxic for r in rows if r.truth == 0]
+    assert sum(caught) > 0.8 * len(caught) and sum(clean) < 0.005 * len(clean)
+
+
+def test_severity_of_odd_inputs(spark):
+    schema = "doc_id long, text string, toxic int, grade int, severity double"
+    rows = [(i, t, int("bad" in t), 0, 0.0) for i, t in enumerate(["good text here", "bad text here"] * 20)]
+    model = severity.fit(spark.createDataFrame(rows, schema))
+    odd = [(1, None, None, 0, 0.0), (1, "", 1, 0, 0.0), (None, "BAD, bad!", 0, 0, 0.0), (3, "good " * 9000, None, 0, 0.0)]
+    found = severity.grade(spark.createDataFrame(odd, schema), model).collect()
+    assert [r.toxic for r in found] == [False, False, True, False]
+    assert severity.grade(spark.createDataFrame([], schema), model).count() == 0
+    for none in ([], rows[::2]):
+        empty = severity.fit(spark.createDataFrame(none, schema))
+        assert not any(r.toxic for r in severity.grade(spark.createDataFrame(odd, schema), empty).collect())
+
+
+def test_pieces_are_cut_where_words_are():
+    from cauce.llm import pieces
+
+    data = "one  two\n three\x0bé four".encode()
+    bounds, held, first = pieces.words(np.array([0, len(data)]), np.frombuffer(data, np.uint8))
+    found = [held[a:b].tobytes() for a, b in itertools.pairwise(bounds)]
+    assert found == data.split() and first.tolist() == [0, 5]

@@ -1,0 +1,80 @@
+"""The pipeline stage by stage, and the queries that SQL can express."""
+
+import re
+
+import duckdb
+import pytest
+
+pytest.importorskip("public_tokenizers")
+
+import corpus_pipeline  # noqa: E402
+from cauce.llm import queries  # noqa: E402
+from cauce.llm.common import documents, shared_folder  # noqa: E402
+from checks.compare import connect, difference  # noqa: E402
+from tests.llm.test_duplicates import similar  # noqa: E402
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_equals_its_sql(spark, sf_dir, name):
+    assert difference(queries.QUERIES[name](spark, sf_dir), connect(sf_dir), queries.ORACLE[name]) is None
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs, found = documents(spark, "/root/testdata/sf0.001"), {}
+    found["documents"] = docs
+    for name, stage in corpus_pipeline.STAGES:
+        path = shared_folder(spark, name)
+        stage(spark, docs, "/root/testdata/sf0.001").write.parquet(path)
+        docs = found[name] = spark.read.parquet(path)
+    return found
+
+
+def test_stages_keep_the_columns_of_documents(stages):
+    names = ["documents", *(name for name, _ in corpus_pipeline.STAGES[:-1])]
+    assert len({tuple(stages[n].dtypes) for n in names}) == 1
+
+
+def texts(df):
+    return {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
+
+
+def test_clean_documents_have_a_language(stages):
+    before, after = texts(stages["documents"]), texts(stages["language_id"])
+    assert {i for i in before if i not in after} <= {i for i, t in before.items() if len(t) < 40}
+
+
+def test_one_of_each_exact_group_stays(stages):
+    before, after = texts(stages["language_id"]), texts(stages["exact_dedup"])
+    first = {}
+    for i in sorted(before):
+        first.setdefault(re.sub("[\x20\x09-\x0d]+", " ", before[i]), i)
+    assert set(after) == set(first.values())
+
+
+def test_one_of_each_near_group_stays(stages):
+    before, after = texts(stages["exact_dedup"]), texts(stages["jaccard_join"])
+    ids = sorted(before)
+    _, root = similar([before[i] for i in ids], 5, 80, 100)
+    assert set(after) == {ids[r] for r in root}
+
+
+def test_secrets_are_gone_and_nothing_else(stages):
+    before, after = texts(stages["jaccard_join"]), texts(stages["secret_scan"])
+    assert set(before) == set(after)
+    pattern = r"AKIA[0-9A-Z]{16}|password=\w+|token = \"\w+"
+    for i, text in before.items():
+        assert after[i] == re.sub(pattern, "[SECRET]", text)
+
+
+def test_all_ids_are_packed(spark, stages):
+    rows = stages["packing"].groupBy("doc_id", "doc_tokens").sum("length").collect()
+    assert {r.doc_id for r in rows} == set(texts(stages["secret_scan"]))
+    assert all(r["sum(length)"] == r.doc_tokens for r in rows)
+    last = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    digest = "sum(ids_crc32)", "count(1)"
+    assert last.selectExpr(*digest).first() == stages["packing"].selectExpr(*digest).first()
+
+
+def test_no_given_table_is_named_twice():
+    assert duckdb.__version__ and corpus_pipeline.ORACLE_SQL is None
