@@ -139,10 +139,11 @@ def _features(column: pa.Array, of_token) -> tuple[list[np.ndarray], np.ndarray]
     return out, first
 
 
-def grade(docs: DataFrame, model: Model) -> DataFrame:
+def grade(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
     """Per row: doc_id, grade (the likeliest), severity (its expectation), p_toxic and toxic.
 
-    toxic means that a grade over 0 is at least as likely as 0. Whole texts of
+    toxic means that a grade over 0 has the probability ``least``; texts without
+    any telling word are far below it. Whole texts of
     any length count; a NULL text is one without words. Equal texts are graded
     alike, repeated rows as often as they occur. Other columns are not read.
     """
@@ -179,7 +180,7 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
             toxic = 1 - p[:, 0]
             rows = zip(
                 block["doc_id"].to_pylist(), p.argmax(axis=1).tolist(), severity.tolist(),
-                toxic.round(6).tolist(), (toxic >= 0.5).tolist(),
+                toxic.round(6).tolist(), (toxic >= least).tolist(),
             )
             yield record_batch(list(rows), kinds)
 
