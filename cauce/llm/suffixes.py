@@ -163,11 +163,17 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(anchor, first start, last start, hash) of runs of strings with one anchor, by blocks of the text."""
+def anchors(
+    data: np.ndarray, length: int, window: int | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(anchor, first start, last start, hash) of runs of strings with one anchor, by blocks of the text.
+
+    A run that goes on in the next block is given in parts, one from each block.
+    """
+    window = window or WINDOW
     strings = len(data) - length + 1
-    for block in range(0, strings, WINDOW):
-        part = data[block : min(block + WINDOW, strings) + length - 1]
+    for block in range(0, strings, window):
+        part = data[block : min(block + window, strings) + length - 1]
         hashes = _gram_hashes(part)
         # The leftmost of equal hashes: the low bits are the place.
         marked = (hashes >> np.uint64(21) << np.uint64(21)) | np.arange(len(hashes), dtype=np.uint64)
@@ -187,7 +193,8 @@ def _contexts(docs: DataFrame, length: int) -> DataFrame:
             found = []
             for row, start, stop in zip(block["row"].to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
                 held = memoryview(data[start:stop])
-                for at, first, last, hashes in anchors(data[start:stop], length) if stop - start >= length else ():
+                parts = anchors(data[start:stop], length, WINDOW) if stop - start >= length else ()
+                for at, first, last, hashes in parts:
                     context = []
                     for a, i, j in zip(at.tolist(), first.tolist(), last.tolist()):
                         digest = xxhash.xxh3_128(held[i : j + length], seed=a - i)
@@ -218,14 +225,18 @@ def _ranges(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             ):
                 held = data[begin:stop].tobytes()
                 out = []
-                for run in runs:
-                    a = run["anchor"]
-                    for g in range((a - run["last"]) // RANGE, (a - run["first"]) // RANGE + 1):
-                        final = a - RANGE * g
-                        start = final - RANGE + 1
-                        digest = xxhash.xxh3_128(held[final : start + length], seed=g).digest()
-                        left = held[max(start, 0) : final]
-                        out.append((row, start, digest, left, held[start + length : final + length]))
+                # Parts of a run share the range at their border, which is one range all the same.
+                own = {
+                    (run["anchor"], g)
+                    for run in runs
+                    for g in range((run["anchor"] - run["last"]) // RANGE, (run["anchor"] - run["first"]) // RANGE + 1)
+                }
+                for a, g in sorted(own):
+                    final = a - RANGE * g
+                    start = final - RANGE + 1
+                    digest = xxhash.xxh3_128(held[final : start + length], seed=g).digest()
+                    left = held[max(start, 0) : final]
+                    out.append((row, start, digest, left, held[start + length : final + length]))
                 yield record_batch(out, kinds)
 
     runs = wanted.groupBy("row").agg(F.collect_list(F.struct("anchor", "first", "last")).alias("runs"))

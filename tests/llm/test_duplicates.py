@@ -192,6 +192,26 @@ def test_remove_repeats_in_blocks(spark, monkeypatch):
     assert (starts == np.arange(len(text) - 399)).all()
 
 
+@pytest.mark.parametrize("window", [150, 300, 701])
+def test_remove_repeats_across_blocks(spark, monkeypatch, window):
+    """A run that a block's border cuts in parts repeats nothing by itself."""
+    monkeypatch.setattr(suffixes, "WINDOW", window)
+    rng = random.Random(10)
+    texts = [*repeating_texts(), *(prose(rng, 600, 10**6) for _ in range(4))]
+    rows = {r.doc_id: r for r in suffixes.remove_repeats(table(spark, texts)).collect()}
+    for i, expected in enumerate(removed(texts, 400)):
+        r = rows[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == expected, i
+
+
+def test_unique_text_of_several_blocks_stays_whole(spark):
+    text = prose(random.Random(11), 320_000, 10**9)
+    assert len(text) > 3 * suffixes.WINDOW
+    row = suffixes.remove_repeats(table(spark, [text])).first()
+    assert (row.n_removed, row.n_spans) == (0, 0)
+    assert row.kept_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
 def test_remove_repeats_of_repeated_rows_and_nothing(spark):
     text = prose(random.Random(9), 120, 10**6)
     rows = suffixes.remove_repeats(table(spark, [text, text], [1, 1])).collect()
