@@ -15,8 +15,13 @@ from cauce.llm.common import bucketed, free_name, staged
 MARK = "[SECRET]"
 # Names of credentials, and the prefixes of known tokens.
 NAMES = r"pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|credential"
-PROVIDERS = r"^(?:ghp_|gho_|ghs_|github_pat_|glpat-|sk-|sk_live_|rk_live_|xox[abprs]-|AIza|ya29\.)[\w.-]{16,}$"
-AWS = r"^(?:AKIA|ASIA)[0-9A-Z]{16}$"
+# A known token or key ends by its own length, or before a full stop that ends a
+# sentence; sk- begins ordinary names too, so it needs a digit or a long run.
+AWS = r"(?<![A-Z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Z0-9])"
+PROVIDERS = (
+    r"(?<![A-Za-z0-9])(?:ghp_|gho_|ghs_|github_pat_|glpat-|sk_live_|rk_live_|xox[abprs]-|AIza|ya29\."
+    r"|sk-(?=[\w.-]{0,64}?(?:\d|\w{16})))[\w.-]{15,}[\w-]"
+)
 PLACEHOLDER = r"(?i)example|changeme|placeholder|dummy|sample|your|xxxx|\*\*\*|^<|1234567|^test"
 # Common words that made-up names and file names consist of.
 DICTIONARY = (
@@ -31,12 +36,16 @@ DICTIONARY = (
     " state status string style system table target test text theme time title token tool top"
     " type update upload user value version video view web week with word work year"
 ).split()
-#: A key header, a named value, or a run of token characters that has a digit.
+#: A key header, a named value, a key of a known format, or a run of token
+#: characters that has a digit; such a run also begins where a key ends.
 CANDIDATE = (
     r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
     rf"|(?i:{NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?[^\s\"',;]{{4,}}+"
-    r"|(?<![\w+/=-])(?=[\w+/=.@:-]{0,64}\d)[\w+/=.@:-]{12,}+"
+    rf"|{AWS}|{PROVIDERS}"
+    rf"|(?:(?<![\w+/=-])|\G)(?=[\w+/=.@:-]{{0,64}}\d)(?:(?!{AWS}|{PROVIDERS})[\w+/=.@:-]){{12,}}+"
 )
+#: Kinds that the format of a value tells.
+FORMATS = ("private_key", "access_key", "provider_token")
 
 
 def candidates(rows: DataFrame, row: str) -> DataFrame:
@@ -119,7 +128,12 @@ def rule_label(found: DataFrame) -> Column:
     for them, and ``fit`` takes any others.
     """
     v, kind = F.col("value"), F.col("kind")
-    fake = v.rlike(PLACEHOLDER)
+    # A key's format is judged by itself.
+    keys = F.regexp_extract_all(v, F.lit(f"{AWS}|{PROVIDERS}"), F.lit(0))
+    fake = (
+        F.when(kind.isin("access_key", "provider_token"), F.forall(keys, lambda k: k.rlike(PLACEHOLDER)))
+        .otherwise(v.rlike(PLACEHOLDER))
+    )
     plain = (
         v.rlike(r"^[\w.+-]+@")
         | v.rlike(r"^[\d.:/@+=_-]+$")
@@ -130,7 +144,7 @@ def rule_label(found: DataFrame) -> Column:
     mixed = v.rlike("[0-9]") & v.rlike("[A-Za-z]") & (F.length(v) >= 8)
     return (
         F.when(fake, 0)
-        .when(kind.isin("private_key", "access_key", "provider_token"), 1)
+        .when(kind.isin(*FORMATS), 1)
         .when((kind == "named_value") & mixed, 1)
         .when((kind == "token") & plain, 0)
     )
@@ -153,7 +167,8 @@ def scan(rows: DataFrame, row: str, label=rule_label, least: float = 0.5) -> Dat
 
     ``row`` tells the rows of ``rows`` apart. The forest learns from candidates
     to which ``label`` gives 0 or 1; where only one of them occurs, the score is
-    1 for values of a credential's format or name, else 0. A NULL or empty text
+    1 for values of a credential's format or name, else 0. A value of a known
+    format with label 1 scores 1, whatever the forest says. A NULL or empty text
     has no candidates; a text of any length is searched whole. A repeated row is
     scanned as often as it occurs. Other columns are not read.
     """
@@ -164,8 +179,11 @@ def scan(rows: DataFrame, row: str, label=rule_label, least: float = 0.5) -> Dat
         score = F.when(F.col("kind") == "token", 0.0).otherwise(1.0)
         scored = found.withColumn("score", score)
     else:
+        sure = F.coalesce(F.col("kind").isin(*FORMATS) & (label(found) == 1), F.lit(False))
+        found = found.withColumn("sure", sure)
         scored = forest.transform(found.withColumn("vector", array_to_vector("features")).drop("features").withColumnRenamed("vector", "features"))
-        scored = scored.withColumn("score", F.round(vector_to_array("probability")[1], 6))
+        score = F.when(F.col("sure"), 1.0).otherwise(F.round(vector_to_array("probability")[1], 6))
+        scored = scored.withColumn("score", score)
     return scored.select(
         "row",
         "doc_id",
