@@ -36,13 +36,24 @@ DICTIONARY = (
     " state status string style system table target test text theme time title token tool top"
     " type update upload user value version video view web week with word work year"
 ).split()
-#: A key header, a named value, a key of a known format, or a run of token
+HEADER = r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+#: A private key: its header, and all through its END line. Where that is
+#: missing, header fields and lines of 16 or more base64 characters, with at
+#: most two shorter last ones; line ends may be escaped, quoted or spaces.
+BLOCK = (
+    rf"{HEADER}(?:(?:(?!-----(?:BEGIN|END))[\s\S])*+-----END [A-Z0-9 ]{{0,30}}PRIVATE KEY(?: BLOCK)?-----"
+    r"|(?:(?:\r?\n|(?:\\r)?\\n)[ \t>]*+[A-Za-z][A-Za-z-]{0,30}: [^\r\n\\]*+)*+"
+    r"(?:(?:\\[nrt]|[\s>\"',\\|#*]|\+(?=\s))*+[A-Za-z0-9+/=]{16,}+)++"
+    r"(?:(?:\s|\\[nr])[ \t>]*+[A-Za-z0-9+/]{0,15}={1,2}(?![\w+/=])"
+    r"|(?:\r?\n|(?:\\r)?\\n)[ \t>]*+[A-Za-z0-9+/=]{1,15}+(?=[ \t]*(?:[\r\n\\\"']|$))){0,2}+)?+"
+)
+#: A private key, a named value, a key of a known format, or a run of token
 #: characters that has a digit; such a run also begins where a key ends.
 CANDIDATE = (
-    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
-    rf"|(?i:{NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?[^\s\"',;]{{4,}}+"
+    rf"{BLOCK}"
+    rf"|(?i:{NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?(?:(?!{HEADER})[^\s\"',;]){{4,}}+"
     rf"|{AWS}|{PROVIDERS}"
-    rf"|(?:(?<![\w+/=-])|\G)(?=[\w+/=.@:-]{{0,64}}\d)(?:(?!{AWS}|{PROVIDERS})[\w+/=.@:-]){{12,}}+"
+    rf"|(?:(?<![\w+/=-])|\G)(?=[\w+/=.@:-]{{0,64}}\d)(?:(?!{HEADER}|{AWS}|{PROVIDERS})[\w+/=.@:-]){{12,}}+"
 )
 #: Kinds that the format of a value tells.
 FORMATS = ("private_key", "access_key", "provider_token")
@@ -128,10 +139,11 @@ def rule_label(found: DataFrame) -> Column:
     for them, and ``fit`` takes any others.
     """
     v, kind = F.col("value"), F.col("kind")
-    # A key's format is judged by itself.
+    # A key's format is judged by itself; a private key's body may spell anything.
     keys = F.regexp_extract_all(v, F.lit(f"{AWS}|{PROVIDERS}"), F.lit(0))
     fake = (
-        F.when(kind.isin("access_key", "provider_token"), F.forall(keys, lambda k: k.rlike(PLACEHOLDER)))
+        F.when(kind == "private_key", False)
+        .when(kind.isin(*FORMATS), F.forall(keys, lambda k: k.rlike(PLACEHOLDER)))
         .otherwise(v.rlike(PLACEHOLDER))
     )
     plain = (
