@@ -135,6 +135,17 @@ class Memo:
         return found
 
 
+_kept: dict = {}
+
+
+def one_in_worker(key, make: Callable):
+    """What ``make`` gives, kept by a worker process until another key is asked for."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def ragged(results: list[bytes], dtype: str) -> tuple[np.ndarray, np.ndarray]:
     """Results of a ``Memo`` as values and offsets."""
     values = np.frombuffer(b"".join(results), dtype)

@@ -2,7 +2,21 @@
 
 from pyspark.sql import functions as F
 
-from cauce.llm import bpe, jaccard, language, packing, recipes, secrets, severity, suffixes, token_files, vectors
+from cauce.llm import (
+    bpe,
+    jaccard,
+    language,
+    middle,
+    packing,
+    perplexity,
+    planes,
+    recipes,
+    secrets,
+    severity,
+    suffixes,
+    token_files,
+    vectors,
+)
 from cauce.llm.common import documents, shared_folder
 
 
@@ -83,6 +97,20 @@ def op10_toxicity(spark, sf_dir):
     return severity.grade(docs, model)
 
 
+def op11_quality_rules(spark, sf_dir):
+    return perplexity.quality(documents(spark, sf_dir).select("doc_id", "text", "lang"))
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    return middle.fill_in_middle(documents(spark, sf_dir), digests_only=True)
+
+
+def op13_centroid_clustering(spark, sf_dir):
+    found = planes.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.withColumn("centroid", digest).withColumnRenamed("centroid", "centroid_sha256")
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_exact_dedup": op2_exact_dedup,
@@ -94,8 +122,48 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
+
+def _centroid_sql(k=16, rounds=3):
+    """The rounds of op13 one after the other; sums by component, floors by the remainder."""
+    parts = [
+        """v AS (
+            SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e
+            FROM embeddings WHERE len(embedding) = 64
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), c0 AS (
+            SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, e) - 1 AS c, e FROM v
+            QUALIFY c < %d
+        )""" % k
+    ]
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS (
+            SELECT row, min((list_sum(list_transform(list_zip(v.e, c{i}.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT,
+                c))  AS near FROM v, c{i} GROUP BY row
+        )"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""m{i} AS (
+            SELECT near[2] AS c, place, sum(v.e[place])::HUGEINT AS s, count(*)::HUGEINT AS n
+            FROM a{i} JOIN v USING (row), range(1, 65) r(place) GROUP BY 1, 2
+        ), c{i + 1} AS (
+            SELECT c{i}.c, coalesce(list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY place) FILTER (n IS NOT NULL), any_value(c{i}.e)) AS e
+            FROM c{i} LEFT JOIN m{i} ON m{i}.c = c{i}.c GROUP BY c{i}.c
+        )"""
+            )
+    return f"""WITH {", ".join(parts)}
+        SELECT vec_id, near[2]::INTEGER AS cluster, near[1] AS distance,
+            (sum(near[1]) OVER (PARTITION BY near[2]))::BIGINT AS cluster_inertia, (sum(near[1]) OVER ())::BIGINT AS inertia,
+            sha256(array_to_string(c{rounds}.e, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN v USING (row) JOIN c{rounds} ON c = near[2]"""
+
+
 ORACLE = {
     "op2_exact_dedup": r"""
         WITH t AS (
@@ -152,4 +220,31 @@ ORACLE = {
         SELECT d.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, coalesce(min(r.root), d.doc_id) AS component_id
         FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.id = d.doc_id GROUP BY d.doc_id
     """,
+    "op12_fill_in_middle": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+                regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), h AS (
+            SELECT *, len(w) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+                ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+            FROM t
+        ), f AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                    OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+            FROM h
+        ), p AS (
+            SELECT *, array_to_string(w[1:a], '') AS prefix, array_to_string(w[a + 1:b], '') AS middle,
+                array_to_string(w[b + 1:], '') AS suffix
+            FROM f
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+            sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+            sha256(prefix || middle || suffix) AS restored_sha256
+        FROM p
+    """,
+    "op13_centroid_clustering": _centroid_sql(),
 }
