@@ -3,7 +3,7 @@
 The model is a modified Kneser-Ney one over the characters of words, one per
 language, counted over all documents by Spark. A word stands between two spaces;
 no n-gram reaches beyond them, so that a word's probability is its own and is
-computed once for each distinct word. The model lies in files of sorted hash
+computed once for each distinct word of a block of texts. The model lies in files of sorted hash
 arrays; a task looks n-grams up in those files that may hold them.
 """
 
@@ -27,6 +27,8 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 REPEATED = 5
 #: Characters of the longest n-grams, spaces around the word included.
 ORDER = 5
+#: Bytes of text whose distinct words are looked at together.
+BLOCK = 8 << 20
 #: Distinct words that a task holds before it gives out their n-grams.
 HELD_WORDS = 300_000
 #: n-grams in a file of the model, about.
@@ -143,7 +145,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                     yield pa.record_batch([pa.array([lang] * len(grams)), pa.array(grams), pa.array(counts)], ["lang", "gram", "c"])
             held.clear()
 
-        for block in P.blocks(batches, "text"):
+        for block in P.blocks(batches, "text", BLOCK):
             bounds, data, first = P.words(*P.text_bytes(block["text"]))
             codes, known = P.distinct(bounds, data)
             if not len(known):
@@ -152,10 +154,12 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             names = lang.dictionary.to_pylist()
             of = np.repeat(lang.indices.to_numpy(), np.diff(first)).astype(np.int64)
             pairs, times = np.unique(of * len(known) + codes, return_counts=True)
-            for p, t in zip(pairs.tolist(), times.tolist()):
-                words = held.setdefault(names[p // len(known)], {})
-                word = known[p % len(known)]
-                words[word] = words.get(word, 0) + t
+            cuts = np.searchsorted(pairs, np.arange(len(names) + 1) * len(known)).tolist()
+            for name, a, b in zip(names, cuts, cuts[1:]):
+                words = held.setdefault(name, {})
+                for i, t in zip((pairs[a:b] % len(known)).tolist(), times[a:b].tolist()):
+                    word = known[i]
+                    words[word] = words.get(word, 0) + t
             if sum(map(len, held.values())) > HELD_WORDS:
                 yield from given()
         yield from given()
@@ -341,28 +345,6 @@ def score_words(lang: str, words: list[bytes], lookup: Lookup) -> tuple[np.ndarr
     return np.diff(sums[spaces]), np.diff(spaces)
 
 
-def _scorer(model: Model, lang: str) -> P.Memo:
-    """Per word: its log probability and characters; kept by a worker for its later tasks."""
-
-    def make():
-        lookup = Lookup(model)
-        memos: dict[str, P.Memo] = {}
-
-        def of(lang):
-            if lang not in memos:
-                def compute(words):
-                    return [x.tobytes() for x in np.column_stack(score_words(lang, words, lookup)).astype(float)] if words else []
-
-                while len(memos) >= 8:
-                    del memos[next(iter(memos))]
-                memos[lang] = P.Memo(compute, limit=200_000)
-            return memos[lang]
-
-        return of
-
-    return P.one_in_worker(("perplexity", model.folder), make)(lang)
-
-
 def describe(docs: DataFrame, model: Model) -> DataFrame:
     """Per row of (doc_id, text, lang): the figures of its text, and how likely its characters are."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -373,7 +355,8 @@ def describe(docs: DataFrame, model: Model) -> DataFrame:
     kinds = arrow_schema(schema)
 
     def figures(batches):
-        for block in P.blocks(batches, "text"):
+        lookup = P.one_in_worker(("perplexity", model.folder), lambda: Lookup(model))
+        for block in P.blocks(batches, "text", BLOCK):
             offsets, data = P.text_bytes(block["text"])
             bounds, held, first = P.words(offsets, data)
             codes, known = P.distinct(bounds, held)
@@ -383,8 +366,8 @@ def describe(docs: DataFrame, model: Model) -> DataFrame:
             for i, name in enumerate(lang.dictionary.to_pylist()):
                 at = np.flatnonzero(of == i)
                 some, back = np.unique(codes[at], return_inverse=True)
-                found = _scorer(model, name)([known[c] for c in some.tolist()])
-                scores[at] = np.frombuffer(b"".join(found), float).reshape(-1, 2)[back]
+                if len(some):
+                    scores[at] = np.column_stack(score_words(name, [known[c] for c in some.tolist()], lookup))[back]
             logp, chars = P.row_sums(scores, first).T
             begins = (data & 0xC0) != 0x80
             view = memoryview(np.ascontiguousarray(data))
