@@ -28,7 +28,7 @@ REPEATED = 5
 #: Characters of the longest n-grams, spaces around the word included.
 ORDER = 5
 #: Bytes of text whose distinct words are looked at together.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Distinct words that a task holds before it gives out their n-grams.
 HELD_WORDS = 300_000
 #: n-grams in a file of the model, about.
@@ -106,25 +106,42 @@ def lang_seed(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh3_64_intdigest(lang))
 
 
+def keys_at(points: np.ndarray, at: np.ndarray, size: np.ndarray, seed) -> np.ndarray:
+    """Hash of the ``size`` code points that end at each place ``at``, both arrays."""
+    key = np.empty(len(at), np.uint64)
+    for n in range(1, min(ORDER, len(points)) + 1):
+        of = np.flatnonzero(size == n)
+        key[of] = hashes(points, n, seed)[at[of] - n + 1]
+    return key
+
+
+def longest(spaces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all characters after a word's first space, and the lengths of the longest n-grams there."""
+    at = np.arange(1, spaces[-1] + 1)
+    begin = np.repeat(spaces[:-1], np.diff(spaces))
+    return at, np.minimum(at - begin + 1, ORDER)
+
+
 def word_grams(words: list[bytes], times: np.ndarray) -> list[tuple[list[str], np.ndarray]]:
-    """For each length: the distinct n-grams of the words, and how often they occur."""
+    """The distinct longest n-grams of the words by length, and how often they occur."""
     points, spaces = spaced(words)
-    ends = spaces[1:]
-    begin = np.repeat(spaces[:-1], np.diff(spaces))  # of the word at the places after its space
+    at, size = longest(spaces)
     weight = np.repeat(times, np.diff(spaces))
+    key = keys_at(points, at, size, np.uint64(0))
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    counts = np.add.reduceat(weight[order], first).astype(np.int64)
+    at, size = at[order[first]], size[order[first]]
     found = []
-    for n in range(1, ORDER + 1):
-        at = np.arange(1, ends[-1] + 1)
-        inside = at - n + 1 >= begin if n > 1 else np.ones(len(at), bool)
-        at, of = at[inside], weight[inside]
-        if not len(at):
+    for n in range(2, ORDER + 1):
+        of = np.flatnonzero(size == n)
+        if not len(of):
             continue
-        key, place, back = np.unique(hashes(points, n, np.uint64(0))[at - n + 1], return_index=True, return_inverse=True)
-        counts = np.bincount(back, of, len(key)).astype(np.int64)
-        matrix = points[at[place][:, None] + np.arange(1 - n, 1)]
+        matrix = points[at[of][:, None] + np.arange(1 - n, 1)]
         # A fixed-width text drops zeros at its end, so that U+0000 counts as U+FFFD.
         matrix = np.where(matrix == 0, 0xFFFD, matrix).astype("<u4")
-        found.append((np.ascontiguousarray(matrix).view(f"<U{n}").ravel().tolist(), counts))
+        found.append((np.ascontiguousarray(matrix).view(f"<U{n}").ravel().tolist(), counts[of]))
     return found
 
 
@@ -133,7 +150,11 @@ def _lang() -> Column:
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """(lang, gram, c): how often each n-gram of 1 to ``ORDER`` characters occurs in all words."""
+    """(lang, gram, c): how often each n-gram of ``ORDER`` characters, or one that begins a word, occurs.
+
+    Each character counts once, for the longest n-gram that ends in it: of
+    shorter ones inside a word the model needs only what comes before them.
+    """
     schema = "lang string, gram string, c long"
 
     def count(batches):
@@ -141,6 +162,8 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
         def given():
             for lang, words in held.items():
+                if not words:
+                    continue
                 for grams, counts in word_grams(list(words), np.fromiter(words.values(), float, len(words))):
                     yield pa.record_batch([pa.array([lang] * len(grams)), pa.array(grams), pa.array(counts)], ["lang", "gram", "c"])
             held.clear()
@@ -188,11 +211,15 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     it, unless it begins a word. The row with an empty gram holds the probability
     of an unknown character.
     """
-    size = F.length("gram")
-    own = counts.filter((size == ORDER) | ((size > 1) & F.startswith("gram", F.lit(" "))))
-    shorter = counts.filter(size > 1).groupBy("lang", F.expr("substring(gram, 2)").alias("gram"))
-    adjusted = own.unionByName(shorter.agg(F.count("*").alias("c")))
-    adjusted = staged(adjusted.withColumn("n", F.length("gram")), "adjusted")
+    sized = counts.withColumn("n", F.length("gram"))
+    levels = [sized.filter(F.col("n") == ORDER)]
+    for n in range(ORDER - 1, 0, -1):
+        inside = levels[-1].groupBy("lang", F.expr("substring(gram, 2)").alias("gram"))
+        inside = inside.agg(F.count("*").alias("c")).withColumn("n", F.lit(n))
+        levels.append(staged(inside.unionByName(sized.filter(F.col("n") == n)), f"adjusted-{n}"))
+    adjusted = levels[0]
+    for level in levels[1:]:
+        adjusted = adjusted.unionByName(level)
 
     seen = [F.sum((F.col("c") == i).cast("long")).alias(f"t{i}") for i in (1, 2, 3, 4)]
     # A row for each language and length.
@@ -322,26 +349,29 @@ class Lookup:
 
 
 def score_words(lang: str, words: list[bytes], lookup: Lookup) -> tuple[np.ndarray, np.ndarray]:
-    """Log probability and number of characters of each word, the space that ends it included."""
+    """Log probability and number of characters of each word, the space that ends it included.
+
+    The longest n-gram that the model has gives a character's probability; each
+    one tried before adds the weight of its context.
+    """
     points, spaces = spaced(words)
     seed = lang_seed(lang)
-    places = np.arange(len(points))
-    begin = np.append(0, np.repeat(spaces[:-1], np.diff(spaces)))
     unknown = lookup(gram_hashes([lang], [""]))[0, 0]
     # Without a model of the language every character is as likely as one of all code points.
     unknown = -np.log(0x110000) if np.isnan(unknown) else unknown
-    first = lookup(hashes(points, 1, seed).view(np.int64))
-    logp = np.where(np.isnan(first[:, 0]), unknown, first[:, 0]).astype(float)
-    weight = first[:, 1].astype(float)
-    for n in range(2, min(ORDER, len(points)) + 1):
-        inside = places[places - n + 1 >= begin]
-        inside = inside[inside >= n - 1]
-        found = lookup(hashes(points, n, seed).view(np.int64)[inside - n + 1])
-        missing = np.isnan(found[:, 0])
-        logp[inside] = np.where(missing, logp[inside] + weight[inside - 1], found[:, 0])
-        weight = np.zeros(len(points))
-        weight[inside] = found[:, 1]
-    sums = np.cumsum(logp)
+    at, size = longest(spaces)
+    logp, left = np.zeros(len(at)), np.arange(len(at))
+    while len(left):
+        found = lookup(keys_at(points, at[left], size[left], seed).view(np.int64))[:, 0]
+        known = ~np.isnan(found)
+        logp[left[known]] += found[known]
+        left = left[~known]
+        last = size[left] == 1
+        logp[left[last]] += unknown
+        left = left[~last]
+        size[left] -= 1
+        logp[left] += lookup(keys_at(points, at[left] - 1, size[left], seed).view(np.int64))[:, 1]
+    sums = np.append(0, np.cumsum(logp))
     return np.diff(sums[spaces]), np.diff(spaces)
 
 
