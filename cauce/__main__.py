@@ -7,9 +7,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from cauce.operators.enrichment import BROADCAST_BYTES, ROWS_PER_TASK
 from cauce.plans import run_all, run_clean, run_enrich, run_ingest
 from cauce.schemas import RAW, SAMPLE_ROWS
 from cauce.sources import (
+    count_records,
     read_clean,
     read_dimensions,
     read_landing,
@@ -32,6 +34,7 @@ def parse(arguments=None) -> argparse.Namespace:
             source.add_argument("--url", help="endpoint of paged JSON records")
             source.add_argument("--path", help="folder of page files")
             command.add_argument("--order", default="fecha_hecho,:id", help="order of the pages; ends in a unique column")
+            command.add_argument("--key", help="a unique field; pages are then asked for by it and not by position")
             command.add_argument("--limit", type=int, default=PAGE_LIMIT, help="records per request")
             command.add_argument(
                 "--sample-fields", nargs="*", default=[], help="further fields of the raw sample"
@@ -44,6 +47,18 @@ def parse(arguments=None) -> argparse.Namespace:
         if stage in ("enrich", "all"):
             for name in DIMENSIONS:
                 command.add_argument(f"--{name}", required=True, help=f"path of the {name} file")
+            command.add_argument(
+                "--split", action="store_true", help="read JSON and XML files in parts"
+            )
+            command.add_argument(
+                "--spans", action="store_true", help="HTML cells may span rows or columns"
+            )
+            command.add_argument(
+                "--broadcast-bytes", type=int, default=BROADCAST_BYTES, help="most bytes of a dimension to broadcast"
+            )
+            command.add_argument(
+                "--rows-per-task", type=int, default=ROWS_PER_TASK, help="facts of a key that one task joins"
+            )
             command.add_argument(
                 "--unique-keys", action="store_true", help="fail on repeated dimension keys"
             )
@@ -54,6 +69,8 @@ def _pages(spark, args, schema, first=None):
     if args.path:
         return read_page_files(spark, args.path, schema, first)
     options = {"url": args.url, "order": args.order, "limit": str(args.limit)}
+    if args.key:
+        options["key"] = args.key
     if first is not None:
         options["first"] = str(first)
     return read_pages(spark, schema, **options)
@@ -65,27 +82,35 @@ def _records(spark, args):
     return _pages(spark, args, RAW), first
 
 
+def _counted(args):
+    """The server's own count, asked for before its pages are read."""
+    return count_records(url=args.url, order=args.order) if args.url else None
+
+
 def main(arguments=None) -> None:
     args = parse(arguments)
     spark = SparkSession.builder.appName(f"cauce-{args.stage}").getOrCreate()
     run_time = F.lit(datetime.now().replace(microsecond=0).isoformat()).cast("timestamp_ntz")
     dims = None
     if args.stage in ("enrich", "all"):
-        dims = read_dimensions(spark, **{name: getattr(args, name) for name in DIMENSIONS})
+        paths = {name: getattr(args, name) for name in DIMENSIONS}
+        dims = read_dimensions(spark, **paths, split=args.split, spans=args.spans)
+        bounds = {"broadcast_bytes": args.broadcast_bytes, "rows_per_task": args.rows_per_task}
     if args.stage == "ingest":
         raw, first = _records(spark, args)
-        run_ingest(raw, args.out, run_time, args.url or args.path, first)
+        run_ingest(raw, args.out, run_time, args.url or args.path, first, counted=_counted(args))
     elif args.stage == "clean":
         path = f"{args.out}/landing"
         landing = read_landing(spark, path)
         run_clean(landing, args.out, run_time, path, args.zoned, args.blank_as_null)
     elif args.stage == "enrich":
         clean = read_clean(spark, f"{args.out}/clean")
-        run_enrich(clean, dims, args.out, run_time, unique_keys=args.unique_keys)
+        run_enrich(clean, dims, args.out, run_time, unique_keys=args.unique_keys, **bounds)
     else:
         raw, first = _records(spark, args)
         options = (args.zoned, args.blank_as_null, args.unique_keys)
-        run_all(raw, dims, args.out, run_time, args.url or args.path, first, *options)
+        label, counted = args.url or args.path, _counted(args)
+        run_all(raw, dims, args.out, run_time, label, first, *options, counted=counted, **bounds)
 
 
 if __name__ == "__main__":

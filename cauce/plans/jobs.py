@@ -17,7 +17,14 @@ from cauce.operators.cleaning import (
     profile_measures,
     step_measures,
 )
-from cauce.operators.enrichment import Dimension, enrich, match_measures, measure
+from cauce.operators.enrichment import (
+    BROADCAST_BYTES,
+    ROWS_PER_TASK,
+    Dimension,
+    enrich,
+    match_measures,
+    measure,
+)
 from cauce.operators.ordering import sample, sample_as_text
 from cauce.operators.reports import clean_report, enrich_report, ingest_report
 from cauce.operators.shape import metrics_frame, to_row, total
@@ -43,9 +50,13 @@ def run_ingest(
     source_label: str,
     first_records: DataFrame | None = None,
     sample_rows: int = SAMPLE_ROWS,
+    counted: int | None = None,
 ) -> StageResult:
     """Land raw records under ``<out>/landing`` and compare both row counts.
 
+    ``counted`` is what the server said it holds (``count_records``); it goes into the
+    metrics as ``server_rows``, and fewer records than that are an error.
+
     The raw sample comes from ``first_records`` with all its fields; a paged
     source reads those with its option ``first``. Without it ``raw`` is scanned
     again for the sample.
@@ -56,6 +67,10 @@ def run_ingest(
     write_table(land(counted), f"{out}/landing")
     landing = read_landing(spark, f"{out}/landing")
     metrics = {**observation.get, "stored_rows": landing.count()}
+    if counted is not None:
+        metrics["server_rows"] = counted
+        if metrics["source_rows"] < counted:
+            raise ValueError(f"the server counted {counted} records, {metrics['source_rows']} were read")
     row = to_row(metrics_frame(spark, metrics), metrics)
     report = ingest_report(row, run_time, source_label)
     first = sample(raw if first_records is None else first_records, sample_rows)
@@ -96,6 +111,8 @@ def run_enrich(
     base_rows: int | None = None,
     unique_keys: bool = False,
     sample_rows: int = SAMPLE_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> StageResult:
     """Enrich the written table ``clean`` into ``<out>/enriched``.
 
@@ -103,7 +120,8 @@ def run_enrich(
     """
     spark = clean.sparkSession
     sizes = measure(dims, KEY)
-    joined, matches = observed(enrich(clean, dims, sizes, unique_keys), match_measures(dims))
+    table = enrich(clean, dims, sizes, unique_keys, broadcast_bytes, rows_per_task)
+    joined, matches = observed(table, match_measures(dims))
     path = f"{out}/enriched"
     write_table(joined, path)
     metrics = {
@@ -132,11 +150,15 @@ def run_all(
     zoned: bool = False,
     blank_as_null: bool = False,
     unique_keys: bool = False,
+    counted: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> tuple[StageResult, StageResult, StageResult]:
     """Ingest, clean and enrich, each from the table that the stage before wrote."""
-    ingested = run_ingest(raw, out, run_time, source_label, first_records)
+    ingested = run_ingest(raw, out, run_time, source_label, first_records, counted=counted)
     landing = f"{out}/landing"
     cleaned = run_clean(ingested.table, out, run_time, landing, zoned, blank_as_null)
     base_rows = cleaned.metrics["final_rows"]
-    enriched = run_enrich(cleaned.table, dims, out, run_time, base_rows, unique_keys)
+    bounds = {"broadcast_bytes": broadcast_bytes, "rows_per_task": rows_per_task}
+    enriched = run_enrich(cleaned.table, dims, out, run_time, base_rows, unique_keys, **bounds)
     return ingested, cleaned, enriched

@@ -8,7 +8,7 @@ from cauce.sources.files import (
     read_xml_rows,
 )
 from cauce.sources.html import html_rows, html_table
-from cauce.sources.paged import PagedJson, read_pages
+from cauce.sources.paged import PagedJson, count_records, read_pages
 from cauce.sources.records import (
     land,
     project_fields,
@@ -19,6 +19,7 @@ from cauce.sources.records import (
 
 __all__ = [
     "PagedJson",
+    "count_records",
     "html_rows",
     "html_table",
     "land",

@@ -20,6 +20,8 @@ from cauce.schemas import (
     REGION,
 )
 from cauce.sources.html import html_table
+from cauce.sources.records import array_text
+from cauce.sources.splits import delimited_records, json_elements, xml_elements
 from cauce.sources.typed import sql_name, text_fields, typed
 
 
@@ -31,14 +33,40 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CLEAN).parquet(path)
 
 
+def _split_delimited(spark: SparkSession, path: str, schema: StructType, sep: str) -> DataFrame:
+    """The texts of delimited files, read in parts; the header is checked and dropped."""
+    records = delimited_records(spark, path, sep)
+    options = {"sep": sep, "escape": '"', "mode": "FAILFAST", "multiLine": "true"}
+    names = schema.fieldNames()
+    given = F.from_csv("text", text_fields(schema).simpleString(), options)
+    # The header is the record whose fields are the column names, in every file.
+    is_header = F.lit(True)
+    for name in names:
+        is_header &= F.trim(F.col("row")[name]).eqNullSafe(F.lit(name))
+    rows = records.select("file", given.alias("row")).withColumn("is_header", is_header)
+    found = {r.file: r.n for r in rows.groupBy("file").agg(F.count_if("is_header").alias("n")).collect()}
+    wrong = sorted(file for file, n in found.items() if n != 1)
+    if wrong:
+        raise ValueError(f"no header, or more than one, with {', '.join(names)}: {wrong[0]}")
+    return rows.filter(~F.col("is_header")).select("row.*")
+
+
 def read_delimited(
-    spark: SparkSession, path: str, schema: StructType, sep: str = ",", multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    sep: str = ",",
+    multi_line: bool = False,
+    split: bool = False,
 ) -> DataFrame:
     """Delimited text with a header row. ``schema`` lists all columns of the file.
 
     The header must carry those names. ``multi_line`` allows line breaks inside
-    quoted fields, at the price of one task per file.
+    quoted fields, at the price of one task per file; with ``split`` as well a file
+    is read in parts (``delimited_records``).
     """
+    if multi_line and split:
+        return typed(_split_delimited(spark, path, schema, sep), schema, markers=True)
     texts = (
         spark.read.schema(text_fields(schema))
         .option("header", True)
@@ -52,46 +80,24 @@ def read_delimited(
     return typed(texts, schema, markers=True)
 
 
-def _json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Objects of JSON arrays whose objects do not go over a line end.
-
-    Each line without the brackets and commas of the array around it is parsed
-    as a list; a line that holds only part of an object is malformed.
-    """
-    line = F.regexp_replace("value", r"^\s*\[|,\s*$|\]\s*$", "")
-    lines = spark.read.text(path).select(line.alias("line")).filter(F.trim("line") != "")
-    objects = F.from_json(
-        F.concat(F.lit("["), "line", F.lit("]")), ArrayType(schema), {"mode": "FAILFAST"}
-    )
-    return lines.select(F.inline(objects))
-
-
 def read_json_array(
     spark: SparkSession, path: str, schema: StructType, split: bool = False
 ) -> DataFrame:
     """Files that each hold one JSON array of objects, over any number of lines.
 
-    A value that does not fit its type is an error. A file is one task; with
-    ``split`` parts of a file are read in parallel, and then no object may go over
-    a line end, which is an error too.
+    A value that does not fit its type is an error, and so is a file that holds
+    anything else. A file is one row of one task; with ``split`` it is read in
+    parts, however it is laid out (``json_elements``).
     """
     if split:
-        return _json_lines(spark, path, schema)
-    reader = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST")
-    return reader.json(path).select(*map(sql_name, schema.fieldNames()))
-
-
-def _xml_elements(spark: SparkSession, path: str, texts: StructType, row_tag: str) -> DataFrame:
-    """Elements of XML files, cut apart at their end tags."""
-    start = rf"<\Q{row_tag}\E[\s/>]"
-    cut = spark.read.option("lineSep", f"</{row_tag}>").text(path)
-    elements = cut.select(F.regexp_extract("value", f"(?s){start}.*", 0).alias("element"))
-    alone = F.when(
-        F.regexp_count("element", F.lit(start)) > 1,
-        F.raise_error(F.lit(f"{row_tag}: element inside or beside another one")),
-    ).otherwise(F.concat("element", F.lit(f"</{row_tag}>")))
-    row = F.from_xml(alone, texts, {"mode": "FAILFAST", "rowTag": row_tag})
-    return elements.filter("element <> ''").select(row.alias("row")).select("row.*")
+        # As an array of one, since a second value behind an object is an error there alone.
+        alone = F.concat(F.lit("["), "text", F.lit("]"))
+        records = F.from_json(alone, ArrayType(schema), {"mode": "FAILFAST"})
+        rows = json_elements(spark, path).select(F.inline(records))
+    else:
+        records = F.from_json(array_text("value"), ArrayType(schema), {"mode": "FAILFAST"})
+        rows = spark.read.text(path, wholetext=True).select(F.inline(records))
+    return rows.select(*map(sql_name, schema.fieldNames()))
 
 
 def read_xml_rows(
@@ -99,13 +105,13 @@ def read_xml_rows(
 ) -> DataFrame:
     """One row per ``row_tag`` element; each field is a child element and must be there.
 
-    A file is one task. With ``split`` parts of a file are read in parallel; then
-    elements are found by their tags alone, so they must not be empty tags, stand
-    in comments or nest, which is an error.
+    A file is one task; with ``split`` it is read in parts, however it is laid out
+    (``xml_elements``).
     """
     texts = text_fields(schema)
     if split:
-        rows = _xml_elements(spark, path, texts, row_tag)
+        row = F.from_xml("text", texts, {"mode": "FAILFAST", "rowTag": row_tag})
+        rows = xml_elements(spark, path, row_tag).select(row.alias("row")).select("row.*")
     else:
         reader = spark.read.schema(texts).option("rowTag", row_tag).option("mode", "FAILFAST")
         rows = reader.xml(path)
@@ -113,11 +119,11 @@ def read_xml_rows(
 
 
 def read_html_table(
-    spark: SparkSession, path: str, schema: StructType, table_index: int = 0
+    spark: SparkSession, path: str, schema: StructType, table_index: int = 0, spans: bool = False
 ) -> DataFrame:
-    """A table of every HTML file under ``path``, rows of all files together."""
+    """A table of every HTML file under ``path``, rows of all files together; ``spans`` as for ``html_rows``."""
     pages = spark.read.text(path, wholetext=True).withColumnRenamed("value", "html")
-    table = html_table(pages, schema, table_index=table_index, required=True)
+    table = html_table(pages, schema, table_index=table_index, required=True, spans=spans)
     return table.select(*map(sql_name, schema.fieldNames()))
 
 
@@ -133,10 +139,12 @@ def read_dimensions(
     gdp: str,
     employment: str,
     split: bool = False,
+    spans: bool = False,
 ) -> list[Dimension]:
     """The five dimensions, each from a path in its own format.
 
-    ``split`` is for JSON and XML files so large that one task should not read one.
+    ``split`` is for JSON and XML files so large that one task should not read one;
+    ``spans`` for an HTML table whose cells span rows or columns.
     """
     return [
         _dimension(
@@ -155,7 +163,7 @@ def read_dimensions(
         ),
         _dimension(
             "desempleo (HTML)",
-            read_html_table(spark, employment, EMPLOYMENT),
+            read_html_table(spark, employment, EMPLOYMENT, spans=spans),
             ["tasa_desempleo_pct", "poblacion_ocupada"],
         ),
     ]

@@ -1,4 +1,7 @@
-"""Paged JSON records as a Spark data source: one page range per task.
+"""Pages of a JSON API as a Spark data source: one range of pages per task, one row per page.
+
+A row holds a page's text as it came. ``read_pages`` takes the records out of the
+texts with the same expression that reads stored pages.
 
 The class travels to the executors by value, so they need no installed copy of
 this package, only Python and PyArrow.
@@ -13,11 +16,14 @@ import urllib.request
 from dataclasses import dataclass
 
 import pyarrow as pa
-import pyarrow.fs
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import LongType, StringType, StructType
+from pyspark.sql.types import StructType
+
+from cauce.shared import shared_dir, written
+from cauce.sources.records import page_records
 
 # Fixed value: records per page.
 PAGE_LIMIT = 50000
@@ -25,11 +31,25 @@ PAGE_LIMIT = 50000
 TIMEOUT_SECONDS = 30
 # Seconds between requests that the server refuses for their number.
 WAIT_SECONDS = (1, 2, 4, 8, 16)
-_POSITION = "id"
+# What the data source gives: place counts the part's records before the page.
+PAGE = "part int, place bigint, records bigint, body string"
+
+
+def records_of(body: str, place: str) -> list:
+    """The records of a page's text."""
+    found = json.loads(body)
+    if not isinstance(found, list):
+        raise ValueError(f"page {place} is no JSON array")
+    return found
+
+
+def _literal(value) -> str:
+    """A key as the API's query language writes it."""
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else json.dumps(value)
 
 
 class HttpPages:
-    """Pages of a REST endpoint that takes ``$limit``, ``$offset`` and ``$order``."""
+    """Pages of a REST endpoint that takes ``$limit``, ``$offset``, ``$order``, ``$where`` and ``$select``."""
 
     def __init__(self, url, order, opener=urllib.request.urlopen):
         if not order:
@@ -44,62 +64,36 @@ class HttpPages:
         for wait in (*WAIT_SECONDS, None):
             try:
                 with self.opener(address, timeout=TIMEOUT_SECONDS) as response:
-                    return json.loads(response.read())
+                    return response.read().decode("utf-8-sig")
             except urllib.error.HTTPError as refused:
                 if refused.code not in (429, 503) or wait is None:
                     raise
                 time.sleep(wait)
 
     def fetch(self, offset, limit):
+        """The text of the page that skips ``offset`` records."""
         return self._get({"$limit": limit, "$offset": offset, "$order": self.order})
 
     def count(self):
-        row = self._get({"$select": "count(*) as n"})[0]
+        row = json.loads(self._get({"$select": "count(*) as n"}))[0]
         return int(next(iter(row.values())))
 
+    def _between(self, after, upto):
+        bounds = [(">", after), ("<=", upto)]
+        found = " and ".join(f"{self.order} {sign} {_literal(key)}" for sign, key in bounds if key is not None)
+        return {"$where": found} if found else {}
 
-class FilePages:
-    """Pages stored as files: ``<path>/offset=<first record>/`` holds a JSON array.
-
-    All pages but the last one hold ``page_size`` records. The path is absolute and
-    may be on any file system that PyArrow knows.
-    """
-
-    def __init__(self, path, page_size):
-        self.path = path
-        self.page_size = page_size
-
-    def _open(self):
-        scheme, colon, rest = self.path.partition(":")
-        if not colon or scheme == "file":
-            path = rest if colon else self.path
-            return pyarrow.fs.LocalFileSystem(), "/" + path.lstrip("/")
-        uri = f"s3:{rest}" if scheme in ("s3a", "s3n") else self.path
-        return pyarrow.fs.FileSystem.from_uri(uri)
-
-    def _page(self, offset):
-        files, root = self._open()
-        folder = pyarrow.fs.FileSelector(f"{root}/offset={offset}", allow_not_found=True)
-        records = []
-        for info in sorted(files.get_file_info(folder), key=lambda i: i.path):
-            if info.is_file and not info.base_name.startswith(("_", ".")):
-                with files.open_input_stream(info.path) as stream:
-                    records.extend(json.loads(stream.read()))
-        return records
-
-    def fetch(self, offset, limit):
-        start = offset - offset % self.page_size
-        return self._page(start)[offset - start :][:limit]
+    def next_key(self, after, step):
+        """The key of the ``step``-th record after the key ``after``; None where there are fewer."""
+        params = {"$select": self.order, "$order": self.order, "$limit": 1, "$offset": step - 1}
+        found = json.loads(self._get(params | self._between(after, None)))
+        return found[0][self.order] if found else None
 
-    def count(self):
-        files, root = self._open()
-        folders = files.get_file_info(pyarrow.fs.FileSelector(root, allow_not_found=True))
-        offsets = [
-            int(i.base_name.removeprefix("offset="))
-            for i in folders
-            if i.base_name.startswith("offset=")
-        ]
-        return max(offsets) + len(self._page(max(offsets))) if offsets else 0
+    def fetch_after(self, after, upto, limit):
+        """The text of the first records with ``after`` < key <= ``upto``, in the order of the key."""
+        # System fields such as :id come only when they are asked for.
+        fields = {"$select": ":*,*"} if self.order.startswith(":") else {}
+        return self._get({"$limit": limit, "$order": self.order} | fields | self._between(after, upto))
 
 
 @dataclass
@@ -109,21 +103,18 @@ class PageRange(InputPartition):
     last: bool
 
 
-def as_text(value):
-    """A JSON value as the text that a text column stores."""
-    if value is None or isinstance(value, str):
-        return value
-    if isinstance(value, bool):
-        return str(int(value))
-    if isinstance(value, (dict, list)):
-        return json.dumps(value, ensure_ascii=False)
-    return str(value)
+def _batch(part, place, records, body):
+    values = [[part], [place], [records], [body]]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.string()]
+    names = [c.split()[0] for c in PAGE.split(", ")]
+    return pa.record_batch([pa.array(v, t) for v, t in zip(values, types)], names)
 
 
 class PageReader(DataSourceReader):
-    def __init__(self, pages, fields, limit, pages_per_task, total, first):
+    """Ranges by position: a page is asked for by the number of records to skip."""
+
+    def __init__(self, pages, limit, pages_per_task, total, first):
         self.pages = pages
-        self.fields = fields
         self.limit = limit
         self.pages_per_task = pages_per_task
         self.total = total
@@ -142,7 +133,7 @@ class PageReader(DataSourceReader):
         ]
 
     def read(self, partition):
-        """The records of the range, a batch per page.
+        """The pages of the range.
 
         A page shorter than asked for is followed by a request for the rest. The
         last range goes on past the planned total until a short or empty page,
@@ -155,39 +146,73 @@ class PageReader(DataSourceReader):
             if partition.last:
                 asked = self.limit
             offset = partition.offset + done
-            batch = self.pages.fetch(offset, asked)
-            if not isinstance(batch, list):
-                raise ValueError(f"page at offset {offset} is no JSON array")
-            if batch:
-                yield self._batch(batch, offset)
-            done += len(batch)
-            if not batch and done < partition.records:
+            body = self.pages.fetch(offset, asked)
+            records = len(records_of(body, f"at offset {offset}"))
+            if records:
+                yield _batch(0, offset, records, body)
+            done += records
+            if not records and done < partition.records:
                 raise ValueError(
                     f"no records at offset {offset}; {partition.records - done} more were counted"
                 )
-            if partition.last and done >= partition.records and len(batch) < asked:
+            if partition.last and done >= partition.records and records < asked:
                 return
 
-    def _batch(self, records, offset):
-        columns, types = [], []
-        for field in self.fields:
-            if field == _POSITION:
-                columns.append(pa.array(range(offset + 1, offset + len(records) + 1), pa.int64()))
-            else:
-                columns.append(pa.array([as_text(r.get(field)) for r in records], pa.string()))
-            types.append(pa.field(field, columns[-1].type))
-        return pa.RecordBatch.from_arrays(columns, schema=pa.schema(types))
+
+@dataclass
+class KeyRange(InputPartition):
+    part: int
+    after: object
+    upto: object
+
+
+class KeyReader(DataSourceReader):
+    """Ranges by key: a page is asked for by the key of the record before it.
+
+    No request skips more records than a task reads, and records that come or go
+    during the read shift no page. The key must be unique and never NULL.
+    """
+
+    def __init__(self, pages, key, limit, pages_per_task, first):
+        self.pages = pages
+        self.key = key
+        self.limit = limit
+        self.step = limit * pages_per_task
+        self.first = first
+
+    def partitions(self):
+        if self.first is not None:
+            return [KeyRange(0, None, None)]
+        bounds = [None]
+        # Each bound is counted from the one before, so that bounds always ascend.
+        while (bound := self.pages.next_key(bounds[-1], self.step)) is not None:
+            bounds.append(bound)
+        return [KeyRange(i, a, b) for i, (a, b) in enumerate(zip(bounds, [*bounds[1:], None]))]
+
+    def read(self, partition):
+        """The pages of the range, until an empty one."""
+        done, after = 0, partition.after
+        while self.first is None or done < self.first:
+            asked = self.limit if self.first is None else min(self.limit, self.first - done)
+            body = self.pages.fetch_after(after, partition.upto, asked)
+            found = records_of(body, f"after key {after}")
+            if not found:
+                return
+            keys = [record.get(self.key) for record in found]
+            if None in keys or len({json.dumps(k) for k in keys}) < len(keys) or keys[0] == after:
+                raise ValueError(f"the key {self.key} is missing or not unique after {after}")
+            yield _batch(partition.part, done, len(found), body)
+            done, after = done + len(found), keys[-1]
 
 
 class PagedJson(DataSource):
-    """``spark.read.format("paged_json")``.
-
-    Options: ``url`` of an endpoint, with ``order``; or ``path`` of page files.
-    ``limit`` records per page; ``pagesPerTask``; ``total`` to spare the count
-    request; ``first`` to read that many records from the start and no more
-    pages than they take. The schema names the record fields, all STRING, and may hold ``id``
-    BIGINT, the position of the record from 1: the id is therefore contiguous,
-    repeatable and needs no shuffle. A subclass may override ``pages``.
+    """``spark.read.format("paged_json")``: the pages of ``url``, as rows of ``PAGE``.
+
+    Options: ``url``; ``order`` of pages by position, which ends in a unique
+    column; or ``key``, one unique column, of pages by key. ``limit`` records per
+    page; ``pagesPerTask``; ``total`` to spare the count request; ``first`` to read that
+    many records from the start and no more pages than they take. A subclass may
+    override ``pages``.
     """
 
     @classmethod
@@ -195,38 +220,57 @@ class PagedJson(DataSource):
         return "paged_json"
 
     def schema(self):
-        raise ValueError("give the record fields with .schema(...)")
+        return PAGE
 
     def pages(self, limit):
-        if "url" in self.options:
-            return HttpPages(self.options["url"], self.options.get("order"))
-        return FilePages(self.options["path"], limit)
+        return HttpPages(self.options["url"], self.options.get("key") or self.options.get("order"))
 
     def reader(self, schema: StructType):
-        for field in schema.fields:
-            wanted = LongType() if field.name == _POSITION else StringType()
-            if field.dataType != wanted:
-                raise ValueError(f"{field.name} must be {wanted.simpleString()}")
         limit = self._number("limit", PAGE_LIMIT)
-        return PageReader(
-            self.pages(limit),
-            schema.fieldNames(),
-            limit,
-            self._number("pagesPerTask", 1),
-            self._number("total", None),
-            self._number("first", None),
-        )
+        pages, key = self.pages(limit), self.options.get("key")
+        per_task, first = self._number("pagesPerTask", 1), self._number("first", None)
+        if key:
+            return KeyReader(pages, key, limit, per_task, first)
+        return PageReader(pages, limit, per_task, self._number("total", None), first)
 
     def _number(self, option, default):
         text = self.options.get(option)
         return default if text is None else int(text)
 
 
+def count_records(source: type[DataSource] = PagedJson, **options) -> int:
+    """How many records the server says it has."""
+    return source(options).pages(int(options.get("limit", PAGE_LIMIT))).count()
+
+
+def _numbered(pages: DataFrame) -> DataFrame:
+    """Pages by key with ``place`` counted from the first part on; they are written once for that."""
+    pages = written(pages, shared_dir(pages.sparkSession))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pages.groupBy("part").agg(F.sum("records").alias("rows"))
+    # One row for each task of the read.
+    starts = starts.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    return pages.join(F.broadcast(starts), "part").withColumn("place", F.col("start") + F.col("place"))
+
+
 def read_pages(
     spark: SparkSession, schema: StructType, source: type[DataSource] = PagedJson, **options
 ) -> DataFrame:
-    """All records of a paged source; ``options`` as for ``PagedJson``."""
+    """All records of a paged source; ``options`` as for ``PagedJson``.
+
+    The schema names the record fields, all STRING, and may hold ``id`` BIGINT,
+    the position of the record from 1: the id is therefore contiguous. With ``key``
+    the pages are read and written to the shared folder right away, each record
+    once; fewer records than the server counted before are an error.
+    """
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(source)
-    reader = spark.read.format(source.name()).schema(schema)
-    return reader.options(**options).load()
+    pages = spark.read.format(source.name()).options(**options).load()
+    if options.get("key"):
+        counted = None if "first" in options else count_records(source, **options)
+        pages = _numbered(pages)
+        if counted is not None:
+            found = pages.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
+            if found < counted:
+                raise ValueError(f"{counted} records were counted and {found} read: records went, or the key is not unique")
+    return page_records(pages, "place", "body", schema)

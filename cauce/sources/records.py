@@ -4,11 +4,12 @@ from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
 from cauce.functions import to_code
 from cauce.operators.shape import total
 from cauce.schemas import COUNT, ID, LANDING, RAW
+from cauce.sources.typed import sql_name
 
 
 def project_fields(df: DataFrame, schema: StructType) -> DataFrame:
@@ -37,6 +38,24 @@ def array_text(name: str) -> Column:
     return F.when(text.rlike(r"^\s*\["), text).otherwise(wrong.cast("string"))
 
 
+def page_records(pages: DataFrame, start: str, body: str, schema: StructType) -> DataFrame:
+    """The records of pages: ``body`` is a JSON array, ``start`` counts the records before it.
+
+    ``schema`` names the fields, all STRING, and may hold ``id`` BIGINT, the position
+    of the record from 1. A value that is no text comes as its JSON text.
+    """
+    for field in schema.fields:
+        wanted = LongType() if field.name == ID else StringType()
+        if field.dataType != wanted:
+            raise ValueError(f"{field.name} must be {wanted.simpleString()}")
+    fields = StructType([f for f in schema.fields if f.name != ID])
+    records = F.from_json(array_text(body), ArrayType(fields), {"mode": "FAILFAST"})
+    position = (F.col(start).cast("bigint") + F.col("pos") + 1).alias(ID)
+    numbered = pages.select(start, F.posexplode(records).alias("pos", "record"))
+    found = numbered.select(position, "record.*")
+    return found.select(*[F.col(sql_name(c)) for c in schema.fieldNames()])
+
+
 def read_page_files(
     spark: SparkSession, path: str, schema: StructType = RAW, first: int | None = None
 ) -> DataFrame:
@@ -57,11 +76,7 @@ def read_page_files(
         pages = pages.withColumn("offset", misplaced.cast("bigint"))
     if first is not None:
         pages = pages.filter(F.col("offset") < first)
-    fields = StructType([f for f in schema.fields if f.name != ID])
-    records = F.from_json(array_text("value"), ArrayType(fields), {"mode": "FAILFAST"})
-    position = (F.col("offset").cast("bigint") + F.col("pos") + 1).alias(ID)
-    numbered = pages.select("offset", F.posexplode(records).alias("pos", "record"))
-    found = numbered.select(position, "record.*").select(*schema.fieldNames())
+    found = page_records(pages, "offset", "value", schema)
     return found if first is None else found.filter(F.col(ID) <= first)
 
 

@@ -374,6 +374,14 @@ def oracle() -> dict[str, str]:
         "src_json_array": """
             SELECT p_partkey AS cod_depto, CASE WHEN p_partkey % 9 <> 0 THEN p_brand END AS categoria,
               p_size AS num_municipios FROM part""",
+        "src_json_pretty_split": """
+            SELECT c_custkey AS cod_depto, c_name || ' {"[,]"}' || chr(10) || '\\ ' || c_mktsegment AS nombre,
+              CAST(floor(c_acctbal * 100) AS BIGINT) AS total, CAST(c_nationkey AS BIGINT) AS a, '}{' AS b
+            FROM customer""",
+        "src_csv_lines_split": """
+            SELECT c_custkey AS cod_depto,
+              '"' || c_name || '",' || chr(10) || chr(10) || c_mktsegment AS nombre, c_acctbal AS saldo
+            FROM customer""",
         "src_pipe_text": """
             SELECT o_orderkey AS cod_depto, o_orderpriority || ', ' || o_orderstatus AS region,
               o_totalprice AS total FROM orders""",
@@ -385,6 +393,10 @@ def oracle() -> dict[str, str]:
               CAST(page_id * 10 + i AS INTEGER) AS cod_depto,
               'Nariño & ' || i AS nombre, page_id * 1000 + i AS poblacion_ocupada
             FROM (SELECT page_id, unnest(generate_series(0, page_id % 5)) AS i FROM pages)""",
+        "src_html_spans": """
+            SELECT page_id, CAST(i + 1 AS INTEGER) AS row_no, page_id AS grupo, CAST(i AS BIGINT) AS n, page_id + i AS total
+            FROM (SELECT page_id, unnest(generate_series(0, page_id % 4)) AS i FROM pages)
+            UNION ALL SELECT page_id, CAST(page_id % 4 + 2 AS INTEGER), -1, page_id, page_id FROM pages""",
         "src_local_rows": """
             SELECT event_type, count(*) AS events,
               CASE event_type WHEN 'click' THEN 'Clic' WHEN 'view' THEN 'Vista'
@@ -597,6 +609,7 @@ def oracle() -> dict[str, str]:
     # Other ways to the same results.
     for name, same in {
         "src_page_files": "src_rest_pages",
+        "src_rest_keys": "src_rest_pages",
         "src_json_array_split": "src_json_array",
         "src_xml_split": "src_xml",
         "limit_deep_page": "limit_offset_page",

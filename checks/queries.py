@@ -40,6 +40,7 @@ from cauce.sources import (
 )
 from checks import fixtures
 from checks.fixtures import dimensions, facts, fields, run_time, table
+from checks.stand_in import StoredPages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,7 +57,7 @@ def query(function: Query) -> Query:
 def raw_records(spark, sf_dir, **options) -> DataFrame:
     path = fixtures.page_files(spark, sf_dir)
     options = {"path": path, "limit": str(fixtures.PAGE_SIZE), "pagesPerTask": "4", **options}
-    return read_pages(spark, RAW, **options)
+    return read_pages(spark, RAW, StoredPages, **options)
 
 
 @query
@@ -64,6 +65,50 @@ def src_rest_pages(spark, sf_dir):
     return raw_records(spark, sf_dir)
 
 
+@query
+def src_rest_keys(spark, sf_dir):
+    """Pages by key; the ids are positions all the same."""
+    return raw_records(spark, sf_dir, key=":id")
+
+
+@query
+def src_json_pretty_split(spark, sf_dir):
+    """Arrays with their objects over many lines, read in parts."""
+    schema = fields(cod_depto="long", nombre="string", total="long", partes=fields(a="long", b="string"))
+
+    def make(path):
+        made = table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("cod_depto"),
+            F.concat("c_name", F.lit(' {"[,]"}\n\\ '), "c_mktsegment").alias("nombre"),
+            F.floor(F.col("c_acctbal") * 100).alias("total"),
+            F.struct(F.col("c_nationkey").cast("long").alias("a"), F.lit("}{").alias("b")).alias("partes"),
+        )
+        chunk = F.floor(F.col("cod_depto") / fixtures.PAGE_SIZE)
+        pretty = made.groupBy(chunk.alias("chunk")).agg(
+            F.to_json(F.sort_array(F.collect_list(F.struct(*made.columns))), {"pretty": "true"}).alias("value")
+        )
+        pretty.write.partitionBy("chunk").text(path)
+
+    path = fixtures.made_once(spark, sf_dir, "json-pretty", make)
+    return read_json_array(spark, path, schema, split=True).select("cod_depto", "nombre", "total", "partes.a", "partes.b")
+
+
+@query
+def src_csv_lines_split(spark, sf_dir):
+    """Delimited files with line breaks in their fields, read in parts."""
+    schema = fields(cod_depto="long", nombre="string", saldo="double")
+
+    def make(path):
+        table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("cod_depto"),
+            F.concat(F.lit('"'), "c_name", F.lit('",\n\n'), "c_mktsegment").alias("nombre"),
+            F.col("c_acctbal").alias("saldo"),
+        ).write.option("header", True).option("escape", '"').csv(path)
+
+    path = fixtures.made_once(spark, sf_dir, "csv-lines", make)
+    return read_delimited(spark, path, schema, multi_line=True, split=True)
+
+
 def stored_records(spark, sf_dir, first=None) -> DataFrame:
     return read_page_files(spark, fixtures.page_files(spark, sf_dir), RAW, first)
 
@@ -187,6 +232,24 @@ def src_html_table(spark, sf_dir):
     return html_table(pages, schema)
 
 
+@query
+def src_html_spans(spark, sf_dir):
+    """Whole raw pages, each with a table whose first column spans rows and whose last row spans columns."""
+    page = F.col("page_id")
+    height = (page % 4 + 1).cast("string")
+
+    def row(i):
+        first = F.when(i == 0, F.concat(F.lit('<td rowspan="'), height, F.lit('">'), page.cast("string"), F.lit("</td>")))
+        cells = F.concat(F.lit("<td>"), i.cast("string"), F.lit("</td><td>"), (page + i).cast("string"), F.lit("</td>"))
+        return F.concat(F.lit("<tr>"), F.coalesce(first, F.lit("")), cells, F.lit("</tr>"))
+
+    body = F.array_join(F.transform(F.sequence(F.lit(0), page % 4), row), "")
+    last = F.concat(F.lit("<tr><td>-1</td><td colspan='2'>"), page.cast("string"), F.lit("</td></tr>"))
+    markup = fixtures.table_markup(["grupo", "n", "total"], F.concat(body, last))
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat("html", markup, F.lit("</html>")).alias("html"))
+    return html_table(pages, fields(grupo="long", n="long", total="long"), spans=True)
+
+
 @query
 def src_local_rows(spark, sf_dir):
     """Local rows, the texts for event types, against counts from the events."""
@@ -222,7 +285,7 @@ def sample_raw(spark, sf_dir):
     schema = StructType([*RAW.fields, StructField("source_id", StringType())])
     path = fixtures.page_files(spark, sf_dir)
     first = read_pages(
-        spark, schema, path=path, limit=str(fixtures.PAGE_SIZE), first="1000"
+        spark, schema, StoredPages, path=path, limit=str(fixtures.PAGE_SIZE), first="1000"
     )
     out = shared_dir(spark)
     write_sample(ordering.sample(first), out)
