@@ -5,7 +5,6 @@ letters, digits and signs first, with or without the space before, never match
 across such a cut, so the ids are those of the whole text.
 """
 
-import functools
 import os
 from array import array
 from collections.abc import Iterator
@@ -16,7 +15,6 @@ import pyarrow as pa
 from cauce.llm import pieces as P
 
 
-@functools.cache
 def _memo(path: str) -> P.Memo:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -34,7 +32,7 @@ def _memo(path: str) -> P.Memo:
 
 def encode(path: str, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows, ``end_id`` after each, and the row offsets. NULL counts as empty."""
-    memo = _memo(path)
+    memo = P.one_in_worker(("encoder", path), lambda: _memo(path))
     offsets, data = P.text_bytes(column)
     bounds, first = P.chunks(offsets, data)
     codes, known = P.distinct(bounds, data)

@@ -1,13 +1,20 @@
 """Documents with similar sets of word n-grams: prefix filtering, verified once per pair.
 
-Shingles are ordered rare first, by counts over all documents in a table of
-fixed size. Two similar sets share one of their first shingles (prefix), have
-similar sizes (length), meet early enough (position), and differ in few of the
-bits that shingles flip (suffix); only pairs that pass are compared.
+Shingles are ordered rare first. Two similar sets share one of their first
+shingles (prefix), have similar sizes (length), meet early enough (position), and
+differ in few of the bits that shingles flip (suffix); only pairs that pass are
+compared.
+
+The order begins with shingles of a part of all hashes, twice as large as a
+prefix needs; only those are counted exactly, by document. Most occur in one
+document and leave at once: a prefix of nothing else has no partner. Shingles that
+a table of counts of fixed size shows as common come last in the order, so that
+no counted group is a large share of the data.
 
 Pairs of one posting list are not all emitted. Neighbours in it, by size, are
-compared first; what they link is one component, and only pairs of different
-components are left for the second pass.
+compared first; what they link is one component. Then one member stands for each
+component of a list, and neighbours are compared again, as long as that links
+more; only pairs of components that are left are compared one by one.
 """
 
 from collections.abc import Iterator
@@ -16,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cauce.llm import pieces as P
@@ -25,6 +32,10 @@ from cauce.llm.components import components
 
 #: Buckets of the table of frequencies, by the top bits of a shingle's hash.
 BUCKET_BITS = 16
+#: A bucket with so many times the mean holds a common shingle.
+COMMON = 4
+#: Most rounds of neighbours among the components of a list.
+ROUNDS = 3
 #: Fewest bits of a set's marks for the suffix filter; each shingle flips one of them.
 MARK_BITS = 1024
 #: 64-bit words of marks that go along with the members of posting lists.
@@ -77,52 +88,129 @@ def folded(marks: np.ndarray, size: int) -> np.ndarray:
     return np.bitwise_xor.reduce(marks.reshape(-1, size), axis=0)
 
 
-def _frequencies(docs: DataFrame, size: int) -> np.ndarray:
-    """How many documents' shingles fall into each bucket."""
+def _described(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
+    """Per row: size, signature and marks of its set. And how many shingles fall into each bucket."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"row long, doc_id {kind}, n int, sign binary, marks binary, first_marks array<long>, bucket int, often long"
+    kinds = arrow_schema(schema)
 
-    def count(batches):
+    def describe(batches):
+        P.forget()
         total = np.zeros(1 << BUCKET_BITS, np.int64)
         for block in P.blocks(batches, "text"):
+            out = []
             sets = shingle_sets(block["text"], size)
-            buckets = (np.concatenate(sets) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-            total += np.bincount(buckets, minlength=len(total))
+            total += np.bincount((np.concatenate(sets) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
+            for row, doc, held in zip(block["row"].to_pylist(), block["doc_id"].to_pylist(), sets):
+                n = len(held)
+                if not n:
+                    out.append((row, doc, 0, None, None, [], None, None))
+                    continue
+                marks = set_marks(held)
+                sign = xxhash.xxh3_128_digest(held.tobytes())
+                first = folded(marks, FIRST_MARKS * 8).view(np.int64)
+                out.append((row, doc, n, sign, marks.tobytes(), first, None, None))
+            yield record_batch(out, kinds)
         found = np.flatnonzero(total)
         if len(found):
-            yield pa.record_batch([pa.array(found), pa.array(total[found])], ["bucket", "n"])
+            none = [pa.nulls(len(found), f.type) for f in list(kinds)[:6]]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(found, pa.int32()), pa.array(total[found])], schema=kinds)
 
-    counted = docs.select("text").mapInArrow(count, "bucket long, n long")
+    both = staged(docs.select("row", "doc_id", "text").mapInArrow(describe, schema), "described")
     total = np.zeros(1 << BUCKET_BITS, np.int64)
-    sums = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most the table's size
+    sums = both.filter("row is null").groupBy("bucket").agg(F.sum("often").alias("n")).toArrow()  # at most the table's size
     total[sums["bucket"].to_numpy()] = sums["n"].to_numpy()
-    return total
+    return both.filter("row is not null").drop("bucket", "often"), total
 
 
-def _described(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Per row: size, signature and marks of its set, and its prefix, rare first."""
-    sent = docs.sparkSession.sparkContext.broadcast(_frequencies(docs, size))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"row long, doc_id {kind}, n int, sign binary, marks binary, first_marks array<long>, prefix array<long>"
-    kinds = arrow_schema(schema)
+def _prefixes(docs: DataFrame, classes: DataFrame, total: np.ndarray, size: int, num: int, den: int) -> DataFrame:
+    """(cls, n, pos, shingle): what a set's prefix shares with other sets, in the order of all shingles.
 
-    def describe(batches):
+    First come the rare shingles of a part of all hashes, by their exact number of
+    sets; then the other rare ones by hash; then common ones by their bucket.
+    """
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * parts
+    common = total > COMMON * max(total.sum() / len(total), 1)
+    sent = spark.sparkContext.broadcast((total, common))
+    # 2.25 times the share that a prefix is of its set, of 2**16.
+    counted = np.uint64(min(int(2.25 * (den - num) / den * (1 << 16)), 1 << 16))
+
+    def spread(batches):
+        P.forget()
+        often, is_common = sent.value
         for block in P.blocks(batches, "text"):
-            out = []
-            sets = shingle_sets(block["text"], size)
-            for row, doc, held in zip(block["row"].to_pylist(), block["doc_id"].to_pylist(), sets):
+            rows, hashes, sizes = [], [], []
+            for row, held in zip(block["row"].to_pylist(), shingle_sets(block["text"], size)):
                 n = len(held)
                 if not n:
-                    out.append((row, doc, 0, None, None, [], []))
                     continue
-                often = sent.value[(held >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+                place = (held >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+                late = is_common[place]
+                first = ~late & ((held & np.uint64(0xFFFF)) < counted)
                 length = n - (num * n + den - 1) // den + 1
-                # Sorted by hash already, so that a stable order by frequency is the same for all.
-                prefix = held[np.argsort(often, kind="stable")[:length]]
-                marks = set_marks(held)
-                sign = xxhash.xxh3_128_digest(held.tobytes())
-                out.append((row, doc, n, sign, marks.tobytes(), folded(marks, FIRST_MARKS * 8).view(np.int64), prefix.view(np.int64)))
-            yield record_batch(out, kinds)
+                own = held[first]
+                size_ = np.full(len(own), len(own))
+                if len(own) < length:
+                    # Sorted by hash already; a stable order by class and bucket keeps it so.
+                    rest, at = held[~first], place[~first]
+                    rest = rest[np.argsort(np.where(late[~first], often[at] + 1, 0), kind="stable")[: length - len(own)]]
+                    own = np.concatenate([own, rest])
+                    # Below zero: the place in the order is known.
+                    size_ = np.concatenate([size_, -1 - np.arange(len(size_), length)])
+                rows.append(np.full(len(own), row))
+                hashes.append(own)
+                sizes.append(size_)
+            if not rows:
+                continue
+            rows, hashes, sizes = (np.concatenate(x) for x in (rows, hashes, sizes))
+            # What needs no count may go anywhere.
+            bucket = np.where(sizes < 0, rows % buckets, (hashes >> np.uint64(16)).astype(np.int64) % buckets)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            held = [x[order] for x in (rows.astype("<i8"), hashes.astype("<u8"), sizes.astype("<i4"))]
+            some = np.flatnonzero(np.diff(cuts))
+            bytes_ = [[x[cuts[i] : cuts[i + 1]].tobytes() for i in some.tolist()] for x in held]
+            yield pa.record_batch([pa.array(some, pa.int32()), *(pa.array(x, pa.binary()) for x in bytes_)], ["bucket", "rows", "hashes", "sizes"])
+
+    def shared(batches):
+        bucket, held = None, []
+
+        def found():
+            rows, hashes, sizes = (np.concatenate([np.frombuffer(x, t) for x in c]) for c, t in zip(zip(*held), ("<i8", "<u8", "<i4")))
+            order = np.argsort(hashes, kind="stable")
+            rows, hashes, sizes = rows[order], hashes[order], sizes[order]
+            first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+            often = np.repeat(np.diff(np.append(first, len(hashes))), np.diff(np.append(first, len(hashes))))
+            kept = (often > 1) | (sizes < 0)
+            columns = rows[kept], hashes[kept].view(np.int64), often[kept].astype(np.int32), sizes[kept].astype(np.int32)
+            return pa.record_batch([pa.array(c) for c in columns], ["cls", "shingle", "often", "size"])
 
-    return staged(docs.select("row", "doc_id", "text").mapInArrow(describe, schema), "described")
+        for batch in batches:
+            for b, *values in zip(*(batch[c].to_pylist() for c in ("bucket", "rows", "hashes", "sizes"))):
+                if b != bucket and held:
+                    yield found()
+                    held = []
+                bucket = b
+                held.append(values)
+        if held:
+            yield found()
+
+    own = classes.select(F.col("cls").alias("row"))
+    texts = docs.select("row", "text").join(own, "row", "left_semi")
+    entries = texts.mapInArrow(spread, "bucket int, rows binary, hashes binary, sizes binary")
+    spread_out = entries.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    found = staged(spread_out.mapInArrow(shared, "cls long, shingle long, often int, size int"), "shared")
+    col = F.col
+    known = found.filter("size < 0").select("cls", "shingle", (-1 - col("size")).alias("pos"))
+    rank = F.row_number().over(Window.partitionBy("cls").orderBy("often", "shingle"))
+    # Those of one set alone come before all that are left.
+    alone = col("size") - F.count("*").over(Window.partitionBy("cls"))
+    ranked = found.filter("size >= 0").select("cls", "shingle", (alone + rank - 1).cast("int").alias("pos"))
+    lists = ranked.unionByName(known).join(classes.select("cls", "n"), "cls")
+    length = col("n") - F.ceil(num * col("n") / den) + 1
+    return lists.filter(col("pos") < length).select("cls", "n", "pos", "shingle")
 
 
 def _postings(lists: DataFrame, num: int, den: int) -> DataFrame:
@@ -226,6 +314,24 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     return staged(both.mapInArrow(compare, "a long, b long"), "similar")
 
 
+def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
+    return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+
+
+def _differ_little(a: str, b: str, names: list[str], num: int, den: int):
+    """Whether the short marks of two sets differ as little as those of similar ones do."""
+    bits = [F.bit_count(F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))) for name in names]
+    return (num + den) * sum(bits[1:], bits[0]) <= (den - num) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
+def _owned(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of lists that hold several components, with their component's root."""
+    owned = members.join(roots.select(F.col("id").alias("cls"), "root"), "cls", "left")
+    owned = staged(owned.withColumn("root", F.coalesce("root", "cls")), "rooted")
+    mixed = owned.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+    return owned.join(staged(mixed.select("shingle"), "mixed"), "shingle", "left_semi")
+
+
 def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """Per row of (row, doc_id, text): n_shingles, component_id and kept.
 
@@ -236,44 +342,50 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     are one class; links are verified between classes. ``docs`` must read the
     same each time, from files; row tells its rows apart.
     """
-    described = _described(docs, size, num, den)
+    described, total = _described(docs, size)
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     signs = described.filter("n > 0").groupBy("sign").agg(F.min("row").alias("cls"), F.min(first).alias("first"))
     signs = staged(signs, "classes")
-    classes = described.select(F.col("row").alias("cls"), "n", "marks", "first_marks", "prefix")
+    classes = described.select(F.col("row").alias("cls"), "n", "marks", "first_marks")
     # In buckets of cls, so that pairs find the marks of their ends without moving them all.
     classes = in_buckets(classes.join(signs.select("cls"), "cls"), "cls")
-    lists = classes.select("cls", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    postings = _postings(lists, num, den)
+    postings = _postings(_prefixes(docs, classes, total, size, num, den), num, den)
 
     col = F.col
     chain = postings.filter("prev_cls is not null").filter(
         _passes(col("n"), col("prev_n"), col("pos"), col("prev_pos"), num, den)
     )
-    chain = chain.select(F.least("cls", "prev_cls").alias("a"), F.greatest("cls", "prev_cls").alias("b"))
-    tried = staged(chain.distinct(), "tried")
+    tried = staged(_pairs(chain, "cls", "prev_cls").distinct(), "tried")
     links = _verified(tried, classes, docs, size, num, den)
     roots = staged(components(links), "roots")
 
-    owned = postings.select("shingle", "n", "cls", "pos").join(
-        roots.select(col("id").alias("cls"), "root"), "cls", "left"
-    )
-    owned = staged(owned.withColumn("root", F.coalesce("root", "cls")), "owned")
-    mixed = owned.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-    owned = staged(owned.join(staged(mixed.select("shingle"), "mixed"), "shingle", "left_semi"), "owned")
     names = [f"mark_{i}" for i in range(FIRST_MARKS)]
     marks = classes.select("cls", *[col("first_marks")[i].alias(name) for i, name in enumerate(names)])
-    owned = staged(owned.join(marks, "cls"), "owned")
+    members = staged(postings.select("shingle", "n", "cls", "pos").join(marks, "cls"), "members")
+    for _ in range(ROUNDS):
+        # Neighbours of different components: one member, the smallest, stands for its component in a list.
+        owned = _owned(members, roots)
+        one = owned.groupBy("shingle", "root").agg(F.min(F.struct("n", "cls", "pos")).alias("m"))
+        near = _postings(one.select("shingle", "m.*"), num, den).filter("prev_cls is not null")
+        near = near.filter(_passes(col("n"), col("prev_n"), col("pos"), col("prev_pos"), num, den))
+        more = _pairs(near, "cls", "prev_cls").distinct().join(tried, ["a", "b"], "left_anti")
+        more = staged(more, "more")
+        found = _verified(more, classes, docs, size, num, den)
+        tried = staged(tried.union(more), "tried")
+        if not found.limit(1).count():
+            break
+        links = links.union(found)
+        roots = staged(components(links), "roots")
+
+    owned = staged(_owned(members, roots), "owned")
     a, b = owned.alias("a"), owned.alias("b")
-    bits = [F.bit_count(col(f"a.{name}").bitwiseXOR(col(f"b.{name}"))) for name in names]
-    differ_little = (num + den) * sum(bits[1:], bits[0]) <= (den - num) * (col("a.n") + col("b.n"))
     cross = a.join(
         b,
         (col("a.shingle") == col("b.shingle"))
         & (col("a.cls") < col("b.cls"))
         & (col("a.root") != col("b.root"))
         & _passes(col("a.n"), col("b.n"), col("a.pos"), col("b.pos"), num, den)
-        & differ_little,
+        & _differ_little("a", "b", names, num, den),
     ).select(col("a.cls").alias("a"), col("b.cls").alias("b"))
     cross = staged(cross.distinct(), "cross").join(tried, ["a", "b"], "left_anti")
     links = links.union(_verified(cross, classes, docs, size, num, den))

@@ -181,7 +181,6 @@ def _round(words: DataFrame, langs: list[str], table: np.ndarray, path: str) ->
 
 
 _models = itertools.count()
-_memos: dict[int, P.Memo] = {}
 
 
 def _scores(model_id: int, table: np.ndarray, path: str) -> P.Memo:
@@ -195,10 +194,7 @@ def _scores(model_id: int, table: np.ndarray, path: str) -> P.Memo:
         letters = np.array([sum(map(len, x)) for x in found], float)
         return [x.tobytes() for x in np.column_stack([P.row_sums(scores, first), letters])]
 
-    if model_id not in _memos:
-        _memos.clear()
-        _memos[model_id] = P.Memo(compute)
-    return _memos[model_id]
+    return P.one_in_worker(("language", model_id), lambda: P.Memo(compute))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

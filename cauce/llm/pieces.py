@@ -146,6 +146,11 @@ def one_in_worker(key, make: Callable):
     return _kept[key]
 
 
+def forget() -> None:
+    """Let go of what a worker keeps from earlier stages."""
+    _kept.clear()
+
+
 def ragged(results: list[bytes], dtype: str) -> tuple[np.ndarray, np.ndarray]:
     """Results of a ``Memo`` as values and offsets."""
     values = np.frombuffer(b"".join(results), dtype)
