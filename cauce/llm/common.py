@@ -1,6 +1,7 @@
 """Folders that all executors see, and columns that do not clash with the caller's."""
 
 import contextlib
+import contextvars
 import tempfile
 import uuid
 
@@ -11,8 +12,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 _own: list[tempfile.TemporaryDirectory] = []
-#: Folders made since ``recorded`` began, while it runs.
-_made: list[str] | None = None
+#: Folders made since ``recorded`` began, while it runs, for each thread by itself.
+_made: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("made", default=None)
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -29,30 +30,47 @@ def shared_folder(spark: SparkSession, label: str) -> str:
             _own.append(tempfile.TemporaryDirectory(prefix="llm-", ignore_cleanup_errors=True))
         root = _own[0].name
     path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if _made is not None:
-        _made.append(path)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
 @contextlib.contextmanager
 def recorded(folders: list[str]):
     """Adds the folders made inside to ``folders``, for ``remove``."""
-    global _made
-    before, _made = _made, folders
+    token = _made.set(folders)
     try:
         yield
     finally:
-        _made = before
+        _made.reset(token)
 
 
 def remove(spark: SparkSession, folders: list[str]) -> None:
-    """Delete folders that nothing reads any more, on whatever file system they are."""
+    """Delete folders that nothing reads any more, and the tables in buckets that lay there."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in folders:
+        if "/buckets-" in folder:
+            spark.sql(f"DROP TABLE IF EXISTS {_table_name(folder)}")
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
 
 
+def newest(df: DataFrame) -> float:
+    """When the youngest file that ``df`` reads was written, in seconds; 0 if it reads none."""
+    spark = df.sparkSession
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = 0.0
+    for file in df.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        found = max(found, path.getFileSystem(conf).getFileStatus(path).getModificationTime() / 1000)
+    return found
+
+
+def _table_name(folder: str) -> str:
+    return "buckets_" + folder.rpartition("-")[2]
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
@@ -69,7 +87,7 @@ def in_buckets(df: DataFrame, key: str) -> DataFrame:
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = shared_folder(spark, "buckets")
-    name = "buckets_" + path.rpartition("-")[2]
+    name = _table_name(path)
     writer = df.write.bucketBy(n, key).option("compression", "zstd").option("path", path)
     writer.saveAsTable(name)
     return spark.table(name)

@@ -12,9 +12,8 @@ a table of counts of fixed size shows as common come last in the order, so that
 no counted group is a large share of the data.
 
 Pairs of one posting list are not all emitted. Neighbours in it, by size, are
-compared first; what they link is one component. Then one member stands for each
-component of a list, and neighbours are compared again, as long as that links
-more; only pairs of components that are left are compared one by one.
+compared first; what they link is one component, and only pairs of different
+components are left for the second pass.
 """
 
 from collections.abc import Iterator
@@ -34,8 +33,6 @@ from cauce.llm.components import components
 BUCKET_BITS = 16
 #: A bucket with so many times the mean holds a common shingle.
 COMMON = 4
-#: Most rounds of neighbours among the components of a list.
-ROUNDS = 3
 #: Fewest bits of a set's marks for the suffix filter; each shingle flips one of them.
 MARK_BITS = 1024
 #: 64-bit words of marks that go along with the members of posting lists.
@@ -359,25 +356,10 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     links = _verified(tried, classes, docs, size, num, den)
     roots = staged(components(links), "roots")
 
+    owned = staged(_owned(postings.select("shingle", "n", "cls", "pos"), roots), "owned")
     names = [f"mark_{i}" for i in range(FIRST_MARKS)]
     marks = classes.select("cls", *[col("first_marks")[i].alias(name) for i, name in enumerate(names)])
-    members = staged(postings.select("shingle", "n", "cls", "pos").join(marks, "cls"), "members")
-    for _ in range(ROUNDS):
-        # Neighbours of different components: one member, the smallest, stands for its component in a list.
-        owned = _owned(members, roots)
-        one = owned.groupBy("shingle", "root").agg(F.min(F.struct("n", "cls", "pos")).alias("m"))
-        near = _postings(one.select("shingle", "m.*"), num, den).filter("prev_cls is not null")
-        near = near.filter(_passes(col("n"), col("prev_n"), col("pos"), col("prev_pos"), num, den))
-        more = _pairs(near, "cls", "prev_cls").distinct().join(tried, ["a", "b"], "left_anti")
-        more = staged(more, "more")
-        found = _verified(more, classes, docs, size, num, den)
-        tried = staged(tried.union(more), "tried")
-        if not found.limit(1).count():
-            break
-        links = links.union(found)
-        roots = staged(components(links), "roots")
-
-    owned = staged(_owned(members, roots), "owned")
+    owned = staged(owned.join(marks, "cls"), "owned")
     a, b = owned.alias("a"), owned.alias("b")
     cross = a.join(
         b,
