@@ -29,6 +29,9 @@ def parse(arguments=None) -> argparse.Namespace:
     for stage in ("ingest", "clean", "enrich", "all"):
         command = stages.add_parser(stage)
         command.add_argument("--out", required=True, help="folder of tables, samples and reports")
+        command.add_argument(
+            "--versioned", action="store_true", help="keep the old table until the new one is complete"
+        )
         if stage in ("ingest", "all"):
             source = command.add_mutually_exclusive_group(required=True)
             source.add_argument("--url", help="endpoint of paged JSON records")
@@ -95,14 +98,16 @@ def main(arguments=None) -> None:
     if args.stage in ("enrich", "all"):
         paths = {name: getattr(args, name) for name in DIMENSIONS}
         dims = read_dimensions(spark, **paths, split=args.split, spans=args.spans)
-        bounds = {"broadcast_bytes": args.broadcast_bytes, "rows_per_task": args.rows_per_task}
+        bounds = {"broadcast_bytes": args.broadcast_bytes, "rows_per_task": args.rows_per_task, "versioned": args.versioned}
     if args.stage == "ingest":
         raw, first = _records(spark, args)
-        run_ingest(raw, args.out, run_time, args.url or args.path, first, counted=_counted(args))
+        run_ingest(raw, args.out, run_time, args.url or args.path, first, counted=_counted(args), versioned=args.versioned)
     elif args.stage == "clean":
         path = f"{args.out}/landing"
         landing = read_landing(spark, path)
-        run_clean(landing, args.out, run_time, path, args.zoned, args.blank_as_null)
+        run_clean(
+            landing, args.out, run_time, path, args.zoned, args.blank_as_null, versioned=args.versioned
+        )
     elif args.stage == "enrich":
         clean = read_clean(spark, f"{args.out}/clean")
         run_enrich(clean, dims, args.out, run_time, unique_keys=args.unique_keys, **bounds)

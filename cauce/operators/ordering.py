@@ -5,10 +5,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from cauce.functions import timestamp_text
 from cauce.schemas import EVENT_TIME, ID, SAMPLE_ROWS
 from cauce.shared import shared_dir, written
+from cauce.sources.typed import sql_name
 
 
 def by_event_time(df: DataFrame) -> DataFrame:
@@ -16,21 +18,50 @@ def by_event_time(df: DataFrame) -> DataFrame:
     return df.orderBy(EVENT_TIME, ID)
 
 
-def sample(df: DataFrame, rows: int = SAMPLE_ROWS, order: str = ID) -> DataFrame:
-    """The first ``rows`` rows by a numeric id.
+#: Partitions whose first rows one task can sort.
+FEW_PARTITIONS = 64
+#: Ranges of ids that are counted at a time.
+RANGES = 4096
+
 
-    A bound on the id that leaves ``rows`` rows or more is found first, from the
-    id column alone, by doubling. The top-k then gets about twice ``rows`` rows
-    where ids are spread evenly, however many partitions there are.
+def _bound(df: DataFrame, order: str, rows: int) -> int | None:
+    """An id with ``rows`` rows or a few more at or below it; None where there are not so many.
+
+    Counts ids by ranges of one width, then by narrower ones inside the range that
+    holds the last wanted row: two or three scans of the id, however ids are spread.
     """
-    position = F.col(order)
     low, high = df.agg(F.min(order), F.max(order)).first()
     if low is None:
-        return df.orderBy(order).limit(rows)
-    span = 2 * max(rows, 1)
-    while low + span < high and df.filter(position < low + span).count() < rows:
-        span *= 2
-    return df.filter(position.isNull() | (position < low + span)).orderBy(order).limit(rows)
+        return None
+    left = rows
+    while True:
+        width = -(-(high - low + 1) // RANGES)
+        place = F.expr(f"CAST((CAST({sql_name(order)} AS DECIMAL(20,0)) - {low}) DIV {width} AS INT)")
+        inside = df.filter(F.col(order).between(low, high)).groupBy(place.alias("place")).count()
+        for place, n in sorted(map(tuple, inside.collect())):  # RANGES rows at most
+            if n >= left:
+                break
+            left -= n
+        else:
+            return None
+        low, high = low + place * width, min(low + (place + 1) * width - 1, high)
+        if width == 1 or n <= left + rows:
+            return high
+
+
+def sample(df: DataFrame, rows: int = SAMPLE_ROWS, order: str = ID) -> DataFrame:
+    """The first ``rows`` rows by a numeric id, NULLs first; ``df`` should be a written table.
+
+    Of few partitions the first rows of each meet in one task. Otherwise a bound on
+    the id is found first, from the id column alone, so that a few times ``rows`` rows
+    meet there (more only where one id repeats).
+    """
+    whole = isinstance(df.schema[order].dataType, IntegralType)
+    if whole and rows > 0 and df.rdd.getNumPartitions() > FEW_PARTITIONS:
+        bound = _bound(df, order, rows)
+        if bound is not None:
+            df = df.filter(F.col(order).isNull() | (F.col(order) <= bound))
+    return df.orderBy(order).limit(rows)
 
 
 def sample_as_text(df: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:

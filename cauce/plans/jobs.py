@@ -29,7 +29,7 @@ from cauce.operators.ordering import sample, sample_as_text
 from cauce.operators.reports import clean_report, enrich_report, ingest_report
 from cauce.operators.shape import metrics_frame, to_row, total
 from cauce.schemas import KEY, SAMPLE_ROWS
-from cauce.sinks import observed, write_report, write_sample, write_table
+from cauce.sinks import commit_table, current, observed, write_report, write_sample, write_table
 from cauce.sources import land, read_landing, unreadable_counts
 
 
@@ -43,6 +43,14 @@ class StageResult:
     report: DataFrame
 
 
+def _write(df: DataFrame, path: str, versioned: bool) -> None:
+    """Refresh a table, as a new version or in place."""
+    if versioned:
+        commit_table(df, path)
+    else:
+        write_table(df, path)
+
+
 def run_ingest(
     raw: DataFrame,
     out: str,
@@ -51,9 +59,13 @@ def run_ingest(
     first_records: DataFrame | None = None,
     sample_rows: int = SAMPLE_ROWS,
     counted: int | None = None,
+    versioned: bool = False,
 ) -> StageResult:
     """Land raw records under ``<out>/landing`` and compare both row counts.
 
+    With ``versioned`` the old table stays readable until the new one is complete
+    (``commit_table``); so for the other stages.
+
     ``counted`` is what the server said it holds (``count_records``); it goes into the
     metrics as ``server_rows``, and fewer records than that are an error.
 
@@ -63,8 +75,8 @@ def run_ingest(
     """
     spark = raw.sparkSession
     measures = {"source_rows": total(F.lit(1)), "unreadable_counts": unreadable_counts()}
-    counted, observation = observed(raw, measures)
-    write_table(land(counted), f"{out}/landing")
+    passed, observation = observed(raw, measures)
+    _write(land(passed), f"{out}/landing", versioned)
     landing = read_landing(spark, f"{out}/landing")
     metrics = {**observation.get, "stored_rows": landing.count()}
     if counted is not None:
@@ -87,15 +99,16 @@ def run_clean(
     zoned: bool = False,
     blank_as_null: bool = False,
     sample_rows: int = SAMPLE_ROWS,
+    versioned: bool = False,
 ) -> StageResult:
     """Clean ``landing`` into ``<out>/clean``: one scan, one shuffle, one write."""
     spark = landing.sparkSession
     measures = {**profile_measures(landing), **step_measures()}
     groups, observation = observed(audited_groups(landing, zoned), measures)
     cleaned = clean_groups(groups, landing.columns, blank_as_null)
-    write_table(cleaned, f"{out}/clean")
+    _write(cleaned, f"{out}/clean", versioned)
     metrics = observation.get
-    table = spark.read.schema(cleaned.schema).parquet(f"{out}/clean")
+    table = spark.read.schema(cleaned.schema).parquet(current(spark, f"{out}/clean"))
     report = clean_report(metrics_frame(spark, metrics), landing, run_time, source_label)
     first = sample_as_text(table, sample_rows)
     write_sample(first, f"{out}/clean_sample")
@@ -113,6 +126,7 @@ def run_enrich(
     sample_rows: int = SAMPLE_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    versioned: bool = False,
 ) -> StageResult:
     """Enrich the written table ``clean`` into ``<out>/enriched``.
 
@@ -123,14 +137,14 @@ def run_enrich(
     table = enrich(clean, dims, sizes, unique_keys, broadcast_bytes, rows_per_task)
     joined, matches = observed(table, match_measures(dims))
     path = f"{out}/enriched"
-    write_table(joined, path)
+    _write(joined, path, versioned)
     metrics = {
         "base_rows": clean.count() if base_rows is None else base_rows,
         **matches.get,
         **{f"rows_{name}": size.rows for name, size in sizes.items()},
         **{f"keys_{name}": size.keys for name, size in sizes.items()},
     }
-    table = spark.read.schema(joined.schema).parquet(path)
+    table = spark.read.schema(joined.schema).parquet(current(spark, path))
     report = enrich_report(
         metrics_frame(spark, metrics), clean.columns, dims, run_time, sample_rows
     )
@@ -153,12 +167,17 @@ def run_all(
     counted: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    versioned: bool = False,
 ) -> tuple[StageResult, StageResult, StageResult]:
     """Ingest, clean and enrich, each from the table that the stage before wrote."""
-    ingested = run_ingest(raw, out, run_time, source_label, first_records, counted=counted)
+    ingested = run_ingest(
+        raw, out, run_time, source_label, first_records, counted=counted, versioned=versioned
+    )
     landing = f"{out}/landing"
-    cleaned = run_clean(ingested.table, out, run_time, landing, zoned, blank_as_null)
+    cleaned = run_clean(
+        ingested.table, out, run_time, landing, zoned, blank_as_null, versioned=versioned
+    )
     base_rows = cleaned.metrics["final_rows"]
-    bounds = {"broadcast_bytes": broadcast_bytes, "rows_per_task": rows_per_task}
-    enriched = run_enrich(cleaned.table, dims, out, run_time, base_rows, unique_keys, **bounds)
+    options = {"broadcast_bytes": broadcast_bytes, "rows_per_task": rows_per_task, "versioned": versioned}
+    enriched = run_enrich(cleaned.table, dims, out, run_time, base_rows, unique_keys, **options)
     return ingested, cleaned, enriched

@@ -19,6 +19,7 @@ from cauce.schemas import (
     POPULATION,
     REGION,
 )
+from cauce.sinks import current
 from cauce.sources.html import html_table
 from cauce.sources.records import array_text
 from cauce.sources.splits import delimited_records, json_elements, xml_elements
@@ -26,11 +27,11 @@ from cauce.sources.typed import sql_name, text_fields, typed
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LANDING).parquet(path)
+    return spark.read.schema(LANDING).parquet(current(spark, path))
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CLEAN).parquet(path)
+    return spark.read.schema(CLEAN).parquet(current(spark, path))
 
 
 def _split_delimited(spark: SparkSession, path: str, schema: StructType, sep: str) -> DataFrame:

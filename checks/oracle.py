@@ -610,6 +610,7 @@ def oracle() -> dict[str, str]:
     for name, same in {
         "src_page_files": "src_rest_pages",
         "src_rest_keys": "src_rest_pages",
+        "sink_versions": "sink_landing_overwrite",
         "src_json_array_split": "src_json_array",
         "src_xml_split": "src_xml",
         "limit_deep_page": "limit_offset_page",

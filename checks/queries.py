@@ -22,8 +22,8 @@ from cauce.operators.reconcile import reconcile
 from cauce.operators.shape import metrics_frame, to_metrics
 from cauce.plans import run_all, run_clean, run_enrich, run_ingest
 from cauce.schemas import FILL_VALUES, KEY, RAW
-from cauce.shared import shared_dir
-from cauce.sinks import write_report, write_sample, write_table
+from cauce.shared import shared_dir, written
+from cauce.sinks import commit_table, write_report, write_sample, write_table
 from cauce.sources import (
     html_table,
     land,
@@ -274,6 +274,21 @@ def sink_landing_overwrite(spark, sf_dir):
     return read_landing(spark, path)
 
 
+@query
+def sink_versions(spark, sf_dir):
+    """The current version of a table after two refreshes and one that failed."""
+    path = shared_dir(spark)
+    commit_table(land(facts(spark, sf_dir).withColumn("departamento", F.lit("old"))), path)
+    commit_table(land(facts(spark, sf_dir)), path)
+    lost = F.raise_error(F.lit("ended half-way")).cast("string")
+    try:
+        commit_table(land(facts(spark, sf_dir).withColumn("departamento", lost)), path)
+    except Exception as error:  # noqa: BLE001
+        if "ended half-way" not in str(error):
+            raise
+    return read_landing(spark, path)
+
+
 @query
 def surrogate_id(spark, sf_dir):
     return fixtures.numbered_records(spark, sf_dir)
@@ -296,13 +311,14 @@ def sample_raw(spark, sf_dir):
 
 @query
 def sample_clean(spark, sf_dir):
-    return ordering.sample_as_text(cleaning.clean(facts(spark, sf_dir)))
+    return ordering.sample_as_text(written(cleaning.clean(facts(spark, sf_dir)), shared_dir(spark)))
 
 
 @query
 def sample_enriched(spark, sf_dir):
     clean = cleaning.clean(facts(spark, sf_dir))
-    return ordering.sample_as_text(enrichment.enrich(clean, dimensions(spark, sf_dir)))
+    enriched = enrichment.enrich(clean, dimensions(spark, sf_dir))
+    return ordering.sample_as_text(written(enriched, shared_dir(spark)))
 
 
 @query

@@ -11,7 +11,8 @@ from cauce.operators.shape import metrics_frame
 from cauce.plans import run_all, run_clean, run_enrich, run_ingest
 from cauce.schemas import CLEAN, RAW
 from cauce.shared import shared_dir, written
-from cauce.sinks import observed, write_report, write_sample, write_table
+from cauce.sources import read_clean
+from cauce.sinks import commit_table, current, observed, write_report, write_sample, write_table
 from helpers import dims, landing, metrics, rows, run_time
 
 DATE = "2010-01-01T00:00:00.000"
@@ -154,6 +155,35 @@ def test_overwrite_replaces_the_table(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_a_run_that_ends_half_way_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert current(spark, path) == path
+    commit_table(spark.range(5), path)
+    seen = current(spark, path)
+    broken = spark.range(9).withColumn("id", F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long")))
+    with pytest.raises(Exception, match="lost"):
+        commit_table(broken, path)
+    assert current(spark, path) == seen and spark.read.parquet(seen).count() == 5
+    reader = spark.read.parquet(seen)
+    commit_table(spark.range(3), path)
+    assert spark.read.parquet(current(spark, path)).count() == 3
+    assert reader.count() == 5  # the version before stays for its readers
+    commit_table(spark.range(4), path)
+    assert spark.read.parquet(current(spark, path)).count() == 4
+    assert sorted(f.name[:2] for f in (tmp_path / "t").iterdir() if not f.name.startswith(".")) == ["_c", "v-", "v-"]
+
+
+def test_stages_with_versions(spark, tmp_path):
+    out = str(tmp_path)
+    for n in (5, 3):
+        records = raw(spark).filter(F.col("id") <= n)
+        results = run_all(records, dims(spark), out, run_time(), "src", counted=n, versioned=True)
+        assert results[0].table.count() == n == results[0].metrics["server_rows"]
+        assert rows(read_clean(spark, f"{out}/clean")) == rows(results[1].table)
+    with pytest.raises(ValueError, match="counted 9 records, 5 were read"):
+        run_ingest(raw(spark), str(tmp_path / "x"), run_time(), "src", counted=9)
+
+
 def test_observed_counts_rows_before_later_filters(spark, tmp_path):
     df, observation = observed(spark.range(10), {"n": F.count(F.lit(1)), "s": F.sum("id")})
     write_table(df.filter("id > 7"), str(tmp_path / "t"))

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from cauce.operators import ordering
@@ -80,3 +81,31 @@ def test_reconcile(spark):
     less = reconcile(spark.range(5), spark.range(3).toDF("x")).first()
     assert tuple(less) == (5, 3, 2, STATUS_DIFFERS)
     assert "CartesianProduct" not in plan(reconcile(spark.range(5), spark.range(3)))
+
+
+@pytest.mark.parametrize("ids", ["dense", "gaps", "clusters", "equal", "wide"])
+def test_samples_of_many_partitions(spark, monkeypatch, ids):
+    monkeypatch.setattr(ordering, "FEW_PARTITIONS", 1)
+    monkeypatch.setattr(ordering, "RANGES", 8)
+    i = F.col("id")
+    made = {
+        "dense": i,
+        "gaps": i * 104729 - 5 * 10**6,
+        "clusters": F.when(i < 900, i).otherwise(i + 10**15),
+        "equal": F.lit(7).cast("long"),
+        "wide": F.when(i == 0, -(2**63)).when(i == 1, 2**63 - 1).otherwise(i * 3),
+    }[ids]
+    df = spark.range(0, 1000, 1, 6).select(made.cast("long").alias("id"))
+    values = sorted(r.id for r in df.collect())
+    for n in (1, 10, 500, 999, 1000, 5000):
+        assert [r.id for r in ordering.sample(df, n).collect()] == values[:n]
+    assert ordering.sample(df.limit(0), 5).count() == 0 == ordering.sample(df, 0).count()
+    with_null = df.unionByName(spark.createDataFrame([(None,)], "id long"))
+    assert [r.id for r in ordering.sample(with_null, 3).collect()] == [None, *values[:2]]
+
+
+def test_sample_of_clustered_ids_reads_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "FEW_PARTITIONS", 1)
+    df = spark.range(0, 200_000, 1, 6).select((F.col("id") + F.when(F.col("id") > 100, 10**14).otherwise(0)).alias("id"))
+    bound = ordering._bound(df, "id", 1000)
+    assert 1000 <= df.filter(F.col("id") <= bound).count() <= 3000
