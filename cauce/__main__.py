@@ -62,6 +62,9 @@ def parse(arguments=None) -> argparse.Namespace:
             command.add_argument(
                 "--rows-per-task", type=int, default=ROWS_PER_TASK, help="facts of a key that one task joins"
             )
+            command.add_argument(
+                "--key-bytes", type=int, default=0, help="most bytes of keys to broadcast, so that unmatched facts stay"
+            )
             command.add_argument(
                 "--unique-keys", action="store_true", help="fail on repeated dimension keys"
             )
@@ -98,7 +101,12 @@ def main(arguments=None) -> None:
     if args.stage in ("enrich", "all"):
         paths = {name: getattr(args, name) for name in DIMENSIONS}
         dims = read_dimensions(spark, **paths, split=args.split, spans=args.spans)
-        bounds = {"broadcast_bytes": args.broadcast_bytes, "rows_per_task": args.rows_per_task, "versioned": args.versioned}
+        bounds = {
+            "broadcast_bytes": args.broadcast_bytes,
+            "rows_per_task": args.rows_per_task,
+            "versioned": args.versioned,
+            "key_bytes": args.key_bytes,
+        }
     if args.stage == "ingest":
         raw, first = _records(spark, args)
         run_ingest(raw, args.out, run_time, args.url or args.path, first, counted=_counted(args), versioned=args.versioned)

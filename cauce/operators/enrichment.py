@@ -104,42 +104,84 @@ def with_key(df: DataFrame, key: str = KEY) -> DataFrame:
     return df.withColumn(key, to_key(F.col(key)))
 
 
-def _shuffled_left_join(
-    facts: DataFrame, dims: Sequence[Dimension], key: str, rows_per_task: int
-) -> DataFrame:
-    """Left joins by shuffle, with hot keys split.
+#: The column that tells the parts of a split key apart.
+PART = "_part"
+_PARTS, _HOT_KEY = "_parts", "_hot_key"
 
-    A key with more than ``rows_per_task`` facts (NULL and unmatched keys count
-    too) is split into parts: its facts spread over them by a hash of the whole
-    row and of its partition, so that equal facts spread too; a retried task
-    repeats both. Its dimension rows are repeated once per part. Other keys have one part. All joins use the same two columns, so
-    the facts shuffle and sort once for all dimensions.
+
+def split_keys(facts: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """The keys with more than ``rows_per_task`` facts, NULL too, and into how many parts each goes.
+
+    Write it before use, so that both sides of a join see one and the same split. It has
+    at most (facts / rows_per_task) rows, which bounds its broadcast.
     """
-    part, parts, hot_key = "_part", "_parts", "_hot_key"
-    # Written, so that both sides of the joins see one and the same split. It has at
-    # most (facts / rows_per_task) rows, which bounds its broadcast.
-    hot = written(
-        facts.groupBy(F.col(key).alias(hot_key))
+    return (
+        facts.groupBy(F.col(key).alias(_HOT_KEY))
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > rows_per_task)
-        .select(hot_key, F.ceil(F.col("_n") / rows_per_task).cast("int").alias(parts)),
-        shared_dir(facts.sparkSession),
+        .select(_HOT_KEY, F.ceil(F.col("_n") / rows_per_task).cast("int").alias(_PARTS))
     )
 
-    def with_parts(df: DataFrame) -> DataFrame:
-        same_key = df[key].eqNullSafe(hot[hot_key])
-        return df.join(F.broadcast(hot), same_key, "left").drop(hot_key)
 
-    columns = [F.col("`" + c.replace("`", "``") + "`") for c in facts.columns]
-    row_hash = F.xxhash64(*columns, F.spark_partition_id())
-    place = F.coalesce(F.pmod(row_hash, F.col(parts)), F.lit(0)).cast("int")
-    split = with_parts(facts).withColumn(part, place).drop(parts)
-    every_part = F.explode(F.sequence(F.lit(0), F.coalesce(parts, F.lit(1)) - 1)).alias(part)
+@dataclass(frozen=True)
+class Split:
+    """How facts and dimensions are dealt over the parts of hot keys; other keys have one part."""
+
+    hot: DataFrame
+    key: str
+
+    def _with_parts(self, df: DataFrame) -> DataFrame:
+        same_key = df[self.key].eqNullSafe(self.hot[_HOT_KEY])
+        return df.join(F.broadcast(self.hot), same_key, "left").drop(_HOT_KEY)
+
+    def spread(self, facts: DataFrame) -> DataFrame:
+        """Facts with their part: by a hash of the row and of its partition, so that equal
+        facts spread too; a retried task repeats both."""
+        columns = [F.col("`" + c.replace("`", "``") + "`") for c in facts.columns]
+        row_hash = F.xxhash64(*columns, F.spark_partition_id())
+        place = F.coalesce(F.pmod(row_hash, F.col(_PARTS)), F.lit(0)).cast("int")
+        return self._with_parts(facts).withColumn(PART, place).drop(_PARTS)
+
+    def repeat(self, dim: DataFrame) -> DataFrame:
+        """Dimension rows once for each part of their key."""
+        every_part = F.explode(F.sequence(F.lit(0), F.coalesce(_PARTS, F.lit(1)) - 1)).alias(PART)
+        return self._with_parts(dim).select(*dim.columns, every_part)
+
+
+def _shuffled_left_join(
+    facts: DataFrame, dims: Sequence[Dimension], key: str, rows_per_task: int
+) -> DataFrame:
+    """Left joins by shuffle, with hot keys split.
+
+    A key with more than ``rows_per_task`` facts (NULL and unmatched keys count
+    too) is split into parts, and its dimension rows are repeated once per part.
+    All joins use the same two columns, so the facts shuffle and sort once for all
+    dimensions.
+    """
+    hot = written(split_keys(facts, key, rows_per_task), shared_dir(facts.sparkSession))
+    split = Split(hot, key)
+    joined = split.spread(facts)
     for dim in dims:
-        repeated = with_parts(dim.table).select(*dim.table.columns, every_part)
         # The hint keeps estimates from broadcasting what was measured as too big.
-        split = split.join(repeated.hint("merge"), [key, part], "left")
-    return split.drop(part)
+        joined = joined.join(split.repeat(dim.table).hint("merge"), [key, PART], "left")
+    return joined.drop(PART)
+
+
+def _reduced_left_join(
+    facts: DataFrame, dims: Sequence[Dimension], key: str, rows_per_task: int
+) -> DataFrame:
+    """Left joins that shuffle only facts whose key some dimension has; the others get NULLs.
+
+    The dimensions' keys are broadcast, so check their size first. Facts are read twice.
+    """
+    found = reduce(DataFrame.union, [d.table.select(key) for d in dims])
+    keys = F.broadcast(found.filter(F.col(key).isNotNull()).distinct())
+    matched = _shuffled_left_join(facts.join(keys, key, "left_semi"), dims, key, rows_per_task)
+    absent = [
+        F.lit(None).cast(f.dataType).alias(f.name) for d in dims for f in d.table.schema if f.name != key
+    ]
+    unmatched = facts.join(keys, key, "left_anti").select("*", *absent)
+    return matched.unionByName(unmatched)
 
 
 def _grouped(dim: Dimension, key: str) -> Dimension:
@@ -154,6 +196,7 @@ def join_dimensions(
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
     prunable: bool = False,
+    key_bytes: int = 0,
 ) -> DataFrame:
     """Left join of ``facts`` with every dimension; the key comes first.
 
@@ -164,6 +207,10 @@ def join_dimensions(
     With ``prunable`` a dimension whose keys were measured as unique is also
     grouped by its key, which changes no row but lets Catalyst drop its join from
     queries that use none of its columns.
+
+    With ``key_bytes`` the distinct keys of the bigger dimensions are broadcast where
+    their measured size is at most that, and only facts with such a key are shuffled.
+    It pays where many facts match nothing and ``facts`` is cheap to read twice.
     """
     sizes = measure(dims, key) if sizes is None else sizes
     if prunable:
@@ -173,7 +220,12 @@ def join_dimensions(
     base = [c for c in facts.columns if c != key]
     added = [c for d in dims for c in d.added(key)]
 
-    joined = _shuffled_left_join(facts, large, key, rows_per_task) if large else facts
+    joined = facts
+    if large:
+        # Eight bytes for the key, and as much for its place in the hash table.
+        small_keys = 16 * sum(sizes[d.name].keys for d in large) <= key_bytes
+        join = _reduced_left_join if small_keys else _shuffled_left_join
+        joined = join(facts, large, key, rows_per_task)
     joined = reduce(lambda df, d: df.join(F.broadcast(d.table), key, "left"), small, joined)
     return joined.select(key, *base, *added)
 
@@ -192,17 +244,21 @@ def enrich(
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
     prunable: bool = False,
+    key_bytes: int = 0,
 ) -> DataFrame:
     """The clean table with all dimension columns and the rate per 100,000.
 
     With ``unique_keys`` a repeated dimension key is an error. ``prunable`` suits a
-    view that is queried for some of its columns (see ``join_dimensions``).
+    view that is queried for some of its columns, ``key_bytes`` facts of which many match
+    nothing (see ``join_dimensions``).
     """
     sizes = measure(dims) if sizes is None else sizes
     if unique_keys:
         require_unique_keys(sizes)
     keyed = with_key(clean)
-    joined = join_dimensions(keyed, dims, KEY, sizes, broadcast_bytes, rows_per_task, prunable)
+    joined = join_dimensions(
+        keyed, dims, KEY, sizes, broadcast_bytes, rows_per_task, prunable, key_bytes
+    )
     return with_rate(joined)
 
 

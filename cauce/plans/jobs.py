@@ -127,6 +127,7 @@ def run_enrich(
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
     versioned: bool = False,
+    key_bytes: int = 0,
 ) -> StageResult:
     """Enrich the written table ``clean`` into ``<out>/enriched``.
 
@@ -134,7 +135,9 @@ def run_enrich(
     """
     spark = clean.sparkSession
     sizes = measure(dims, KEY)
-    table = enrich(clean, dims, sizes, unique_keys, broadcast_bytes, rows_per_task)
+    table = enrich(
+        clean, dims, sizes, unique_keys, broadcast_bytes, rows_per_task, key_bytes=key_bytes
+    )
     joined, matches = observed(table, match_measures(dims))
     path = f"{out}/enriched"
     _write(joined, path, versioned)
@@ -168,6 +171,7 @@ def run_all(
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
     versioned: bool = False,
+    key_bytes: int = 0,
 ) -> tuple[StageResult, StageResult, StageResult]:
     """Ingest, clean and enrich, each from the table that the stage before wrote."""
     ingested = run_ingest(
@@ -178,6 +182,11 @@ def run_all(
         ingested.table, out, run_time, landing, zoned, blank_as_null, versioned=versioned
     )
     base_rows = cleaned.metrics["final_rows"]
-    options = {"broadcast_bytes": broadcast_bytes, "rows_per_task": rows_per_task, "versioned": versioned}
+    options = {
+        "broadcast_bytes": broadcast_bytes,
+        "rows_per_task": rows_per_task,
+        "versioned": versioned,
+        "key_bytes": key_bytes,
+    }
     enriched = run_enrich(cleaned.table, dims, out, run_time, base_rows, unique_keys, **options)
     return ingested, cleaned, enriched

@@ -615,6 +615,8 @@ def oracle() -> dict[str, str]:
         "src_xml_split": "src_xml",
         "limit_deep_page": "limit_offset_page",
         "join_left_shuffled": "join_left_chain5",
+        "join_left_reduced": "join_left_chain5",
+        "join_left_stored": "join_left_chain5",
     }.items():
         sql[name] = sql[same]
     return {name: statement.strip() for name, statement in sql.items()}

@@ -17,7 +17,7 @@ from cauce.functions import (
     to_key,
     to_name,
 )
-from cauce.operators import cleaning, dedup, enrichment, ordering, reports
+from cauce.operators import cleaning, dedup, enrichment, ordering, reports, stored
 from cauce.operators.reconcile import reconcile
 from cauce.operators.shape import metrics_frame, to_metrics
 from cauce.plans import run_all, run_clean, run_enrich, run_ingest
@@ -417,6 +417,29 @@ def join_left_shuffled(spark, sf_dir):
     )
 
 
+@query
+def join_left_reduced(spark, sf_dir):
+    """The same as if no dimension could be broadcast but its keys could: unmatched facts stay."""
+    keyed = enrichment.with_key(facts(spark, sf_dir))
+    return enrichment.join_dimensions(
+        keyed, dimensions(spark, sf_dir), broadcast_bytes=0, rows_per_task=100, key_bytes=1 << 20
+    )
+
+
+@query
+def join_left_stored(spark, sf_dir):
+    """The same from facts and dimensions written in buckets of the key, most keys hot."""
+    keyed = enrichment.with_key(facts(spark, sf_dir))
+    root = shared_dir(spark)
+    name = root.rpartition("/")[2].replace("-", "_")
+    kept = stored.store_facts(keyed, f"{name}_facts", f"{root}/facts", buckets=8, rows_per_task=100)
+    dims = [
+        stored.store_dimension(d, kept, f"{name}_{i}", f"{root}/dimension-{i}")
+        for i, d in enumerate(dimensions(spark, sf_dir))
+    ]
+    return stored.join_stored(kept, dims)
+
+
 @query
 def join_left_pruned(spark, sf_dir):
     """One column of the five joins: only its dimension is joined."""

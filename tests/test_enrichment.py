@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from cauce.operators import enrichment
+from cauce.operators import enrichment, stored
 from cauce.operators.enrichment import Dimension, DimensionSize
 from cauce.schemas import CLEAN
 from helpers import dims, metrics, plan, rows
@@ -92,6 +92,68 @@ def test_hot_key_is_spread(spark):
     assert len(per_task) > 1 and max(per_task) < 600
 
 
+def third_hot(spark, n=300):
+    """One key holds a third of all facts, NULL another third; key 4 matches nothing."""
+    i = F.col("id")
+    key = F.when(i % 3 == 0, 1).when(i % 3 == 1, F.lit(None)).otherwise(i % 5)
+    return spark.range(n).select(key.cast("int").alias("cod_depto"), "id")
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 7, 1000])
+def test_reduced_joins_shuffle_matched_facts_only(spark, tmp_path, rows_per_task):
+    third_hot(spark).write.parquet(str(tmp_path / "facts"))
+    facts, both = spark.read.parquet(str(tmp_path / "facts")), dims(spark)
+    options = {"broadcast_bytes": 0, "rows_per_task": rows_per_task}
+    reduced = enrichment.join_dimensions(facts, both, key_bytes=1000, **options)
+    expected = enrichment.join_dimensions(facts, both)
+    assert reduced.columns == expected.columns and rows(reduced) == rows(expected)
+    before, after = plan(reduced).split("LeftAnti")[0], plan(reduced).split("LeftAnti")[1]
+    assert before.count("SortMergeJoin") == 2 and "LeftSemi" in before
+    # Below the anti join there is the scan of the facts, and the keys that are broadcast.
+    facts_side = after.split("BroadcastExchange")[0]
+    assert "Scan parquet" in facts_side and "Exchange hashpartitioning" not in facts_side
+    whole = enrichment.join_dimensions(facts, both, key_bytes=10, **options)
+    assert "LeftAnti" not in plan(whole)  # the keys are more than that
+
+
+def test_reduced_joins_of_nothing(spark):
+    both = dims(spark)
+    none = [Dimension(d.name, d.table.limit(0), d.marker) for d in both]
+    options = {"broadcast_bytes": -1, "key_bytes": 1000}
+    facts = third_hot(spark, 30)
+    assert rows(enrichment.join_dimensions(facts, none, **options)) == rows(enrichment.join_dimensions(facts, none))
+    assert enrichment.join_dimensions(facts.limit(0), both, **options).count() == 0
+
+
+@pytest.mark.parametrize("rows_per_task", [20, 1000])
+def test_stored_tables_join_without_a_shuffle(spark, tmp_path, rows_per_task):
+    facts, both = third_hot(spark), dims(spark)
+    expected = enrichment.join_dimensions(facts, both)
+    names = [f"kept_{rows_per_task}_{d.name}" for d in both]
+    path = str(tmp_path / "facts")
+    kept = stored.store_facts(facts, f"kept_{rows_per_task}", path, 4, rows_per_task=rows_per_task)
+    large = [stored.store_dimension(d, kept, n, str(tmp_path / n)) for d, n in zip(both, names)]
+    joined = stored.join_stored(kept, large)
+    assert plan(joined).count("SortMergeJoin") == 2 and "Exchange" not in plan(joined)
+    assert joined.columns == expected.columns and rows(joined) == rows(expected)
+    per_bucket = [r[1] for r in kept.table.groupBy(F.input_file_name()).count().collect()]
+    assert rows_per_task > 20 or max(per_bucket) < 160
+    for name in [f"kept_{rows_per_task}", *names]:  # as a new session finds them
+        spark.sql(f"DROP TABLE {name}")
+    again = stored.open_facts(spark, f"kept_{rows_per_task}", path, 4)
+    opened = [
+        stored.open_dimension(d.name, d.marker, again, n, str(tmp_path / n)) for d, n in zip(both, names)
+    ]
+    reopened = stored.join_stored(again, opened)
+    assert "Exchange" not in plan(reopened) and rows(reopened) == rows(expected)
+
+
+def test_stored_empty_tables(spark, tmp_path):
+    kept = stored.store_facts(third_hot(spark, 0), "kept_none", str(tmp_path / "facts"), 2)
+    large = [stored.store_dimension(d, kept, f"none_{d.name}", str(tmp_path / d.name)) for d in dims(spark)]
+    assert stored.join_stored(kept, large).count() == 0
+
+
 def test_large_dimension_with_small_one(spark):
     """Only the dimension above the bound is shuffled; the column order stays."""
     facts = spark.range(20).select((F.col("id") % 4).cast("int").alias("cod_depto"), "id")
