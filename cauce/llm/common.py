@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -100,6 +100,51 @@ def bucketed(df: DataFrame, row: str) -> DataFrame:
     return in_buckets(numbered, row)
 
 
+def bounded_sample(rows: DataFrame, label: str, max_rows: int, equal: bool = False) -> DataFrame:
+    """At most ``max_rows`` of ``rows``, drawn for each value of ``label`` by itself.
+
+    All rows are taken if they fit. Else a value has a share of ``max_rows`` by its count, or with
+    ``equal`` the same as every other value. Rows are drawn by a hash of all their
+    columns, so that copies of a text under different ids are drawn one by one, and
+    partitions play no part. Rows that are equal in every column are drawn together, and
+    left out where they would fill a twentieth of their value's share.
+
+    ``rows`` is computed three times; the values of ``label`` are few. The driver gets two
+    numbers for each value, and the hashes of about twice the sample meet by value.
+    """
+    counts = {r[0]: r.n for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    total = sum(counts.values())
+    if total <= max_rows:
+        return rows
+    quota = {v: max_rows // len(counts) if equal else max_rows * n // total for v, n in counts.items()}
+    name, size = free_name(rows, "_drawn"), 1 << 62
+    hashed = F.shiftrightunsigned(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), 2)
+    drawn = rows.withColumn(name, hashed)
+
+    def by_value(numbers: dict):
+        found = F.lit(0).cast("long")
+        for value, number in numbers.items():
+            found = F.when(F.col(f"`{label}`").eqNullSafe(F.lit(value)), F.lit(number).cast("long")).otherwise(found)
+        return found
+
+    wide = {v: min(size, int((2 * quota[v] + 1000) / n * size)) for v, n in counts.items()}
+    most = by_value(quota)
+    few = drawn.filter(F.col(name) < by_value(wide)).groupBy(label, name).agg(F.count("*").alias("n"))
+    few = few.withColumn("often", (F.col("n") > 1) & (F.col("n") > most / 20))
+    once = F.sum(F.when(F.col("often"), 0).otherwise(F.col("n")))
+    upto = few.withColumn("upto", once.over(Window.partitionBy(label).orderBy(name)))
+    found = upto.groupBy(label).agg(
+        F.min(F.when(F.col("upto") > most, F.col(name))).alias("limit"),
+        F.collect_list(F.when(F.col("often"), F.col(name))).alias("often"),  # at most 20 a share of rows
+    ).collect()
+    limits = wide | {r[0]: r.limit for r in found if r.limit is not None}
+    often = sorted({x for r in found for x in r.often})
+    taken = drawn.filter(F.col(name) < by_value(limits))
+    if often:
+        taken = taken.filter(~F.col(name).isin(often))
+    return taken.drop(name)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -9,6 +9,7 @@ the forward and backward sums fits the probabilities.
 import functools
 import itertools
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cauce.llm import pieces as P
-from cauce.llm.common import staged
+from cauce.llm.common import bounded_sample, staged
 
 LETTERS = re.compile(r"[^\W\d_]+")
-#: A longer run of letters is scored in parts of so many characters.
-LONGEST = 24
+#: Longer words are summed one by one in logarithms, shorter ones of a length together;
+#: these sums are far from the least double.
+LONGEST = 25
 #: Probability of a character that the vocabulary lacks.
 UNKNOWN = 1e-7
 SMOOTHING = 0.1
@@ -34,13 +36,12 @@ def vocabulary(path: str) -> tuple[dict[str, int], int]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i))]
     known = {model.id_to_piece(i): i for i in ids}
-    return known, min(max(map(len, known)), LONGEST + 1)
+    return known, max(map(len, known))
 
 
 def runs(token: bytes) -> list[str]:
     """Runs of letters in lower case, marked as word starts as the vocabulary marks them."""
-    found = LETTERS.findall(token.decode(errors="replace").lower())
-    return ["▁" + x[i : i + LONGEST] for x in found for i in range(0, len(x), LONGEST)]
+    return ["▁" + x for x in LETTERS.findall(token.decode(errors="replace").lower())]
 
 
 def lattice(words: list[str], path: str) -> list[tuple[int, int, np.ndarray]]:
@@ -64,12 +65,46 @@ def _probability(table: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def by_length(words: list[str]) -> dict[int, list[int]]:
+    """The places of the words of up to ``LONGEST`` characters, by their length."""
     groups: dict[int, list[int]] = {}
     for i, word in enumerate(words):
-        groups.setdefault(len(word), []).append(i)
+        if len(word) <= LONGEST:
+            groups.setdefault(len(word), []).append(i)
     return groups
 
 
+def chain(word: str, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and ids of all pieces in a word, by end; -2 is an unknown character."""
+    known, longest = vocabulary(path)
+    starts, ends, ids = array("q"), array("q"), array("q")
+    for end in range(1, len(word) + 1):
+        for start in range(max(0, end - longest), end):
+            piece = known.get(word[start:end], -2 if end - start == 1 else -1)
+            if piece != -1:
+                starts.append(start)
+                ends.append(end)
+                ids.append(piece)
+    return tuple(np.frombuffer(x, np.int64) for x in (starts, ends, ids))
+
+
+def log_sums(n: int, starts, ends, ids, logs: np.ndarray) -> np.ndarray:
+    """The logarithm of the sum over all ways from 0 to each place, per column of ``logs``.
+
+    ``logs`` has the logarithm of every piece, and of an unknown character as last row but one.
+    """
+    sums = np.zeros((n + 1, logs.shape[1]))
+    bounds = np.searchsorted(ends, np.arange(n + 2)).tolist()
+    for end in range(1, n + 1):
+        at = slice(bounds[end], bounds[end + 1])
+        sums[end] = np.logaddexp.reduce(sums[starts[at]] + logs[ids[at]], axis=0)
+    return sums
+
+
+def _logs(table: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(np.vstack([table, np.full((2, table.shape[1]), UNKNOWN)]))
+
+
 def forward(words: list[str], table: np.ndarray, path: str) -> np.ndarray:
     """Log probability of each word in each language; table is piece x language."""
     scores = np.zeros((len(words), table.shape[1]))
@@ -79,6 +114,10 @@ def forward(words: list[str], table: np.ndarray, path: str) -> np.ndarray:
         for start, end, ids in lattice([words[i] for i in rows], path):
             sums[end] += sums[start] * _probability(table, ids)
         scores[rows] = np.log(sums[n])
+    long = [i for i, word in enumerate(words) if len(word) > LONGEST]
+    logs = _logs(table) if long else None
+    for i in long:
+        scores[i] = log_sums(len(words[i]), *chain(words[i], path), logs)[-1]
     return scores
 
 
@@ -103,6 +142,17 @@ def expected(words, langs, counts, table, path) -> np.ndarray:
             share = count * ahead[start] * weight * back[end] / ahead[n]
             real = ids >= 0
             np.add.at(total, (ids[real], lang[real]), share[real])
+    long = [i for i, word in enumerate(words) if len(word) > LONGEST]
+    logs = _logs(table) if long else None
+    for i in long:
+        n, (starts, ends, ids) = len(words[i]), chain(words[i], path)
+        own = logs[:, [langs[i]]]
+        ahead = log_sums(n, starts, ends, ids, own)[:, 0]
+        turned = np.argsort(-starts, kind="stable")  # the same from the word's end on
+        back = log_sums(n, (n - ends)[turned], (n - starts)[turned], ids[turned], own)[::-1, 0]
+        share = counts[i] * np.exp(ahead[starts] + own[ids, 0] + back[ends] - ahead[n])
+        real = ids >= 0
+        np.add.at(total[:, langs[i]], ids[real], share[real])
     return total
 
 
@@ -116,15 +166,12 @@ class Model:
 def fit(labelled: DataFrame, path: str, max_rows: int = 20_000, rounds: int = 3) -> Model:
     """Fit on (text, lang) rows; those with a NULL lang are ignored.
 
-    ``max_rows`` bounds the sample in expectation: of more rows, each is taken by
-    a hash of its text. The model has vocabulary x languages numbers; every round
+    At most ``max_rows`` rows are learned from, in equal shares for the languages, so
+    that rare ones stay (``bounded_sample``). The model has vocabulary x languages numbers; every round
     is one Spark job over the distinct words of the sample.
     """
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = rows.count()
-    if n > max_rows:
-        share = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(max_rows / n * (1 << 30))
-        rows = rows.filter(share)
+    rows = bounded_sample(rows, "lang", max_rows, equal=True)
 
     def count(batches):
         for block in P.blocks(batches, "text"):

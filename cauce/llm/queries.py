@@ -40,8 +40,8 @@ def op2_exact_dedup(spark, sf_dir):
 
 
 def language_model(docs):
-    """Learnt from the documents that are not held out."""
-    train = docs.filter(~language.held_out()).select("text", "lang")
+    """Learnt from text and lang of the documents that are not held out; their ids only draw the sample."""
+    train = docs.filter(~language.held_out()).select("doc_id", "text", "lang")
     return language.fit(train, public_vocabulary("piece_bpe_32k.model"))
 
 

@@ -9,7 +9,9 @@ import pytest
 
 P = pytest.importorskip("public_tokenizers")
 
-from cauce.llm import language, queries, secrets, severity  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from cauce.llm import common, language, queries, secrets, severity  # noqa: E402
 from cauce.llm.common import documents  # noqa: E402
 
 PIECES = P.path("piece_bpe_32k.model")
@@ -50,6 +52,53 @@ def test_expected_counts_are_those_of_all_segmentations():
     assert np.allclose(found, 3 * sums / weights)
 
 
+def test_long_words_are_summed_whole():
+    """In logarithms as by plain sums, and over every border of a text without spaces."""
+    known, _ = language.vocabulary(PIECES)
+    table = np.random.RandomState(3).rand(max(known.values()) + 1, 2) / 50
+    word = "▁" + "donaudampfschifffahrtßgesellschaft日本" * 2
+    plain = language.forward(["▁there"], table, PIECES)
+    starts, ends, ids = language.chain("▁there", PIECES)
+    assert np.allclose(language.log_sums(6, starts, ends, ids, language._logs(table))[-1], plain[0])
+    sums = np.zeros((len(word) + 1, 2))  # this word's sum still fits a double
+    sums[0] = 1
+    for start, end, ids in language.lattice([word], PIECES):
+        sums[end] += sums[start] * language._probability(table, ids)[0]
+    assert len(word) > language.LONGEST and (sums[-1] > 1e-290).all()
+    scores = language.forward(["▁a", word, "▁" + "x" * 30_000], table, PIECES)
+    assert np.allclose(scores[1], np.log(sums[-1])) and np.isfinite(scores).all()
+    words, langs, counts = ["▁there", word], [0, 1], [3, 2]
+    found = language.expected(words, langs, counts, table, PIECES)
+    step = 1e-6  # the expected count of a piece is the slope of the log sum by the piece's logarithm
+    for piece in [known[p] for p in ("schaft", "a", "ge", "ff") if p in known]:
+        more = table.copy()
+        more[piece] *= 1 + step
+        moved = language.forward(words, more, PIECES) - language.forward(words, table, PIECES)
+        assert abs(found[piece, 1] - 2 * moved[1, 1] / np.log1p(step)) < 1e-4
+    assert found[known["schaft"], 1] > 0
+
+
+def test_bounded_samples(spark):
+    n = F.col("id")
+    label = F.when(n % 100 == 0, "rare").when(n % 100 == 1, None).otherwise("usual")
+    rows = spark.range(20_000).select("id", label.alias("label"), F.lit("one text").alias("text"))
+    for equal, rare in ((True, (150, 200)), (False, (5, 6))):
+        taken = common.bounded_sample(rows, "label", 600, equal)
+        found = {r.label: r["count"] for r in taken.groupBy("label").count().collect()}
+        assert rare[0] <= found["rare"] <= rare[1] and sum(found.values()) <= 600
+        assert found["usual"] > (180 if equal else 550) and taken.columns == rows.columns
+        other = common.bounded_sample(rows.repartition(7), "label", 600, equal)
+        assert sorted(taken.collect(), key=str) == sorted(other.collect(), key=str)
+    assert common.bounded_sample(rows, "label", 20_000).count() == 20_000
+    assert common.bounded_sample(rows.limit(0), "label", 5).count() == 0
+    # A repeated row that holds a third of all neither fills the sample nor empties it.
+    many = rows.union(spark.range(10_000).select(F.lit(-1).cast("long"), F.lit("usual"), F.lit("a row")))
+    for seed in range(4):
+        salted = many.withColumn("seed", F.lit(seed))
+        taken = common.bounded_sample(salted, "label", 600)
+        assert 500 < taken.count() <= 600 and taken.filter("id < 0").count() == 0
+
+
 def test_held_out_languages(spark):
     found = queries.op3_language(spark, DATA)
     truth = documents(spark, DATA).select("doc_id", "lang")
@@ -99,6 +148,14 @@ def secret_texts():
     return texts
 
 
+def test_a_digit_anywhere_in_a_run_makes_a_candidate(spark):
+    letters = "abcdefghij" * 30
+    texts = [f"see {letters}7Q end", f"see {letters} end", "a." * 200_000, f"x.{letters}:{letters}9"]
+    _, found = scanned(spark, texts)
+    rows = {r.doc_id: (r.start, r.length) for r in found.collect()}
+    assert rows == {0: (4, 302), 3: (0, 604)}
+
+
 def test_secrets_and_their_places(spark):
     texts = secret_texts()
     _, found = scanned(spark, texts)
