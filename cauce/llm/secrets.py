@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cauce.llm.common import bucketed, free_name, staged
+from cauce.llm.common import bounded_sample, bucketed, free_name, staged
 
 MARK = "[SECRET]"
 # Names of credentials, and the prefixes of known tokens.
@@ -53,7 +53,7 @@ CANDIDATE = (
     rf"{BLOCK}"
     rf"|(?i:{NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?(?:(?!{HEADER})[^\s\"',;]){{4,}}+"
     rf"|{AWS}|{PROVIDERS}"
-    rf"|(?:(?<![\w+/=-])|\G)(?=[\w+/=.@:-]{{0,64}}\d)(?:(?!{HEADER}|{AWS}|{PROVIDERS})[\w+/=.@:-]){{12,}}+"
+    rf"|(?:(?<![\w+/=.@:-])|\G)(?=[A-Za-z_+/=.@:-]*+\d)(?:(?!{HEADER}|{AWS}|{PROVIDERS})[\w+/=.@:-]){{12,}}+"
 )
 #: Kinds that the format of a value tells.
 FORMATS = ("private_key", "access_key", "provider_token")
@@ -163,13 +163,10 @@ def rule_label(found: DataFrame) -> Column:
 
 
 def fit(labelled: DataFrame, max_rows: int = 20_000, trees: int = 40, depth: int = 8):
-    """A forest on (features, label), of at most ``max_rows`` in expectation, or None without both labels."""
-    counts = {r.label: r.n for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if len(counts) < 2:
+    """A forest on (features, label), of at most ``max_rows`` (``bounded_sample``), or None without both labels."""
+    if labelled.select("label").distinct().count() < 2:
         return None
-    share = min(1.0, max_rows / sum(counts.values()))
-    rows = labelled.filter(F.pmod(F.xxhash64("value"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = rows.select(array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label"))
+    rows = bounded_sample(labelled, "label", max_rows).select(array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label"))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=8, featureSubsetStrategy="sqrt")
     return forest.fit(rows)
 
