@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cauce.llm import pieces as P
-from cauce.llm.common import arrow_schema, record_batch
+from cauce.llm.common import arrow_schema, bounded_sample, record_batch
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -79,15 +79,11 @@ def fit(labelled: DataFrame, max_rows: int = 10_000, least_rows: int = 3, grades
 
     Labels are 0 or 1. The grades of toxic rows are made from them: words that
     occur mostly in toxic rows are counted, and thirds of the counts by word of
-    text give grades 1 to ``grades`` - 1; the others have grade 0. ``max_rows``
-    bounds the sample, in expectation: of more rows, each is taken by a hash of
-    its text. Words of fewer than ``least_rows`` rows are left out.
+    text give grades 1 to ``grades`` - 1; the others have grade 0. At most ``max_rows``
+    rows are learned from, with the labels in their shares (``bounded_sample``).
+    Words of fewer than ``least_rows`` rows are left out.
     """
-    labelled = labelled.filter(F.col("toxic").isNotNull())
-    n = labelled.count()
-    if n > max_rows:
-        taken = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(max_rows / n * (1 << 30))
-        labelled = labelled.filter(taken)
+    labelled = bounded_sample(labelled.filter(F.col("toxic").isNotNull()), "toxic", max_rows)
 
     def sparse(batches):
         for block in P.blocks(batches, "text"):
