@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -100,6 +100,10 @@ def bucketed(df: DataFrame, row: str) -> DataFrame:
     return in_buckets(numbered, row)
 
 
+#: Parts of the hashes that are counted to find where a sample ends.
+PARTS = 1024
+
+
 def bounded_sample(rows: DataFrame, label: str, max_rows: int, equal: bool = False) -> DataFrame:
     """At most ``max_rows`` of ``rows``, drawn for each value of ``label`` by itself.
 
@@ -109,8 +113,8 @@ def bounded_sample(rows: DataFrame, label: str, max_rows: int, equal: bool = Fal
     partitions play no part. Rows that are equal in every column are drawn together, and
     left out where they would fill a twentieth of their value's share.
 
-    ``rows`` is computed three times; the values of ``label`` are few. The driver gets two
-    numbers for each value, and the hashes of about twice the sample meet by value.
+    ``rows`` is computed three times; the values of ``label`` are few. The driver gets a
+    histogram of the hashes of about twice the sample, ``PARTS`` counts for each value.
     """
     counts = {r[0]: r.n for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
@@ -128,16 +132,18 @@ def bounded_sample(rows: DataFrame, label: str, max_rows: int, equal: bool = Fal
         return found
 
     wide = {v: min(size, int((2 * quota[v] + 1000) / n * size)) for v, n in counts.items()}
-    most = by_value(quota)
     few = drawn.filter(F.col(name) < by_value(wide)).groupBy(label, name).agg(F.count("*").alias("n"))
-    few = few.withColumn("often", (F.col("n") > 1) & (F.col("n") > most / 20))
-    once = F.sum(F.when(F.col("often"), 0).otherwise(F.col("n")))
-    upto = few.withColumn("upto", once.over(Window.partitionBy(label).orderBy(name)))
-    found = upto.groupBy(label).agg(
-        F.min(F.when(F.col("upto") > most, F.col(name))).alias("limit"),
-        F.collect_list(F.when(F.col("often"), F.col(name))).alias("often"),  # at most 20 a share of rows
+    often = (F.col("n") > 1) & (F.col("n") > by_value(quota) / 20)
+    width = by_value({v: limit // PARTS + 1 for v, limit in wide.items()})
+    found = few.groupBy(label, (F.col(name) - F.pmod(F.col(name), width)).alias("start")).agg(
+        F.sum(F.when(often, 0).otherwise(F.col("n"))).alias("n"),
+        F.collect_list(F.when(often, F.col(name))).alias("often"),  # at most 20 for a share of rows
     ).collect()
-    limits = wide | {r[0]: r.limit for r in found if r.limit is not None}
+    limits, upto = dict(wide), dict.fromkeys(quota, 0)
+    for r in sorted(found, key=lambda r: r.start):
+        upto[r[0]] += r.n
+        if upto[r[0]] > quota[r[0]]:
+            limits[r[0]] = min(limits[r[0]], r.start)
     often = sorted({x for r in found for x in r.often})
     taken = drawn.filter(F.col(name) < by_value(limits))
     if often:
