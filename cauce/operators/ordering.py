@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from cauce.functions import timestamp_text
+from cauce.operators.paging import index_keys, page
 from cauce.schemas import EVENT_TIME, ID, SAMPLE_ROWS
 from cauce.shared import shared_dir, written
 from cauce.sources.typed import sql_name
@@ -80,16 +81,10 @@ def page_slice(
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` of a total order.
 
-    Only the columns of the order are numbered and written; the rows of the page
-    are then found by their values, of which there are ``limit``.
+    Only the columns of the order are shuffled, for an index that serves this page alone.
+    For many pages of a table make it once (``paging.index_keys``, ``paging.page``).
     """
-    position = "_position"
-    keys = df.select(*order)
-    numbered = with_surrogate_id(keys, [F.col(c).asc() for c in order], position, keys.columns)
-    page = page_by_id(numbered, offset, limit, position)
-    page = page.select(*[F.col(c).alias(f"_page_{i}") for i, c in enumerate(order)])
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_page_{i}")) for i, c in enumerate(order)])
-    return df.join(F.broadcast(page), same, "left_semi").orderBy(*order)
+    return page(df, index_keys(df, order), offset, limit)
 
 
 def append_pages(pages: Sequence[DataFrame]) -> DataFrame:
@@ -101,14 +96,14 @@ def with_surrogate_id(
     df: DataFrame,
     order: Sequence[Column],
     id_column: str = ID,
-    kept: Sequence[str] | None = None,
 ) -> DataFrame:
     """Ids 1..N without gaps in the given order, which should be total.
 
     Range partitions sort in parallel; a row's id is its place in its partition
     plus the rows of the partitions before. Place and partition are written out
     first, because a second evaluation may draw other range bounds. The running
-    sum runs over one row per partition.
+    sum runs over one row per partition. For an ascending order ``paging.number_rows``
+    gives the same ids without writing whole rows.
     """
     place, part = "_place", "_part"
     in_order = df.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -131,4 +126,4 @@ def with_surrogate_id(
     # One row per partition of the sort, so the broadcast is bounded by their number.
     numbered = placed.join(F.broadcast(starts), part)
     position = (F.col("_start") + F.col(place) + 1).alias(id_column)
-    return numbered.select(position, *(kept or [c for c in df.columns if c != id_column]))
+    return numbered.select(position, *[c for c in df.columns if c != id_column])

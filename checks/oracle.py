@@ -519,6 +519,13 @@ def oracle() -> dict[str, str]:
             select="SELECT position AS id, id AS source_id, * EXCLUDE (position, id) FROM records"
             " WHERE position > 1500 AND position <= 2000",
         ),
+        "limit_indexed_pages": with_(
+            FACTS,
+            RECORDS,
+            select="SELECT records.* EXCLUDE (position), CAST(i AS INTEGER) AS page"
+            " FROM records, range(10) AS tenth(i), (SELECT count(*) AS n FROM facts)"
+            " WHERE position > n * i // 10 AND position <= n * i // 10 + 100",
+        ),
         "union_pages": with_(
             FACTS,
             select="SELECT * FROM facts UNION ALL"
@@ -614,6 +621,7 @@ def oracle() -> dict[str, str]:
         "src_json_array_split": "src_json_array",
         "src_xml_split": "src_xml",
         "limit_deep_page": "limit_offset_page",
+        "surrogate_id_indexed": "surrogate_id",
         "join_left_shuffled": "join_left_chain5",
         "join_left_reduced": "join_left_chain5",
         "join_left_stored": "join_left_chain5",

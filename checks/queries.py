@@ -17,7 +17,7 @@ from cauce.functions import (
     to_key,
     to_name,
 )
-from cauce.operators import cleaning, dedup, enrichment, ordering, reports, stored
+from cauce.operators import cleaning, dedup, enrichment, ordering, paging, reports, stored
 from cauce.operators.reconcile import reconcile
 from cauce.operators.shape import metrics_frame, to_metrics
 from cauce.plans import run_all, run_clean, run_enrich, run_ingest
@@ -294,6 +294,13 @@ def surrogate_id(spark, sf_dir):
     return fixtures.numbered_records(spark, sf_dir)
 
 
+@query
+def surrogate_id_indexed(spark, sf_dir):
+    """The same ids by an index of the keys: no whole row is written."""
+    source = facts(spark, sf_dir).withColumnRenamed("id", "source_id")
+    return paging.number_rows(source, paging.index_keys(source, ("fecha_hecho", "source_id")))
+
+
 @query
 def sample_raw(spark, sf_dir):
     """First records as exported, read back from the file; all fields of a record."""
@@ -571,6 +578,16 @@ def limit_page_by_id(spark, sf_dir):
     return ordering.page_by_id(fixtures.numbered_records(spark, sf_dir), offset=1500, limit=500)
 
 
+@query
+def limit_indexed_pages(spark, sf_dir):
+    """A page of 100 rows at each tenth of the event order, all by one index, which is opened anew."""
+    df, order, path = facts(spark, sf_dir), ("fecha_hecho", "id"), shared_dir(spark)
+    paging.index_keys(df, order, path, block_rows=1000)
+    index, rows = paging.open_index(spark, path, order), df.count()
+    pages = [paging.page(df, index, rows * i // 10, 100).withColumn("page", F.lit(i)) for i in range(10)]
+    return ordering.append_pages(pages)
+
+
 @query
 def union_pages(spark, sf_dir):
     """Facts appended to themselves without a column, duplicates kept."""
