@@ -1,8 +1,8 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
 All in DataFrame functions and Spark's own forest. A candidate is described by
-its length, changes between kinds of characters, how much of it dictionary words
-cover, signs of paths and addresses, and the words beside it.
+its length, changes between kinds of characters, how much of it words that many
+documents hold cover, signs of paths and addresses, and the words beside it.
 """
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -23,19 +23,8 @@ PROVIDERS = (
     r"|sk-(?=[\w.-]{0,64}?(?:\d|\w{16})))[\w.-]{15,}[\w-]"
 )
 PLACEHOLDER = r"(?i)example|changeme|placeholder|dummy|sample|your|xxxx|\*\*\*|^<|1234567|^test"
-# Common words that made-up names and file names consist of.
-DICTIONARY = (
-    "about access account admin after album article author backup block build cache canal class"
-    " client code color column common config count country create data date default demo design"
-    " dev document down email entry error event example field file final first folder font form"
-    " from game group guide header health history home host image index info input item java"
-    " letter level light line link list local login main manual media message model module name"
-    " node note number object option order page paper part password path photo plan point post"
-    " print product project public query read record report rest result review sample script"
-    " search secret section server service session setting shop site size source stage start"
-    " state status string style system table target test text theme time title token tool top"
-    " type update upload user value version video view web week with word work year"
-).split()
+#: Lengths of dictionary words.
+SHORTEST, LONGEST = 4, 12
 HEADER = r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
 #: A private key: its header, and all through its END line. Where that is
 #: missing, header fields and lines of 16 or more base64 characters, with at
@@ -87,8 +76,35 @@ def _share(value: Column, kind: str) -> Column:
     return 1 - F.length(F.regexp_replace(value, kind, "")) / F.length(value)
 
 
-def described(found: DataFrame) -> DataFrame:
-    """Adds kind, value (without the name before it) and features."""
+def dictionary(rows: DataFrame, most: int = 3000, least: int = 3) -> DataFrame:
+    """The ``most`` words of four to twelve letters that occur in the most rows, ``least`` or more.
+
+    All rows and whole texts are counted; a word counts once for each row. Ties go by the word.
+    """
+    standing = rf"(?<![\p{{L}}\d_])\p{{L}}{{{SHORTEST},{LONGEST}}}+(?![\p{{L}}\d_])"
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(standing), F.lit(0)))
+    counts = rows.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most).select("word")
+
+
+def covered(found: DataFrame, words: DataFrame) -> DataFrame:
+    """(row, nth, covered): how many characters of the value lie in a word of ``words``, which are few.
+
+    Every part of a run of letters that is as long as a word is looked up, so words may overlap.
+    """
+    runs = F.regexp_extract_all(F.lower("value"), F.lit(rf"\p{{L}}{{{SHORTEST},}}"), F.lit(0))
+    runs = found.select("row", "nth", F.posexplode(runs).alias("place", "run"))
+    begins = runs.withColumn("at", F.explode(F.sequence(F.lit(1), F.length("run") - (SHORTEST - 1))))
+    sizes = F.sequence(F.lit(SHORTEST), F.least(F.lit(LONGEST), F.length("run") - F.col("at") + 1))
+    parts = begins.withColumn("size", F.explode(sizes))
+    parts = parts.withColumn("word", F.substring("run", F.col("at"), F.col("size"))).drop("run")
+    at, to = F.col("at"), F.col("at") + F.col("size") - 1
+    hits = parts.join(F.broadcast(words), "word").select("row", "nth", "place", F.explode(F.sequence(at, to)).alias("at"))
+    return hits.distinct().groupBy("row", "nth").agg(F.count("*").alias("covered"))
+
+
+def valued(found: DataFrame) -> DataFrame:
+    """Adds named, kind and value (without the name before it)."""
     named = F.col("found").rlike(rf"^(?i:{NAMES})[\"']?\s*[=:]")
     value = F.when(named, F.regexp_extract("found", r"[=:]\s*[\"']?(.*)$", 1)).otherwise(F.col("found"))
     kind = (
@@ -98,10 +114,14 @@ def described(found: DataFrame) -> DataFrame:
         .when(named, "named_value")
         .otherwise("token")
     )
-    v = F.col("value")
+    return found.withColumn("named", named).withColumn("value", value).filter(F.length("value") > 0).withColumn("kind", kind)
+
+
+def described(found: DataFrame) -> DataFrame:
+    """Adds features; ``covered`` is a column of ``found``."""
+    v, named = F.col("value"), F.col("named")
     shape = F.regexp_replace(v, "[a-z]+", "a")
     shape = F.regexp_replace(F.regexp_replace(shape, "[A-Z]+", "A"), "[0-9]+", "0")
-    words = "(?i)" + "|".join(DICTIONARY)
     before = F.lower("before")
     features = [
         F.length(v),
@@ -111,7 +131,7 @@ def described(found: DataFrame) -> DataFrame:
         _share(v, "[0-9]"),
         _share(v, "[0-9a-fA-F]"),
         _share(v, "[0-9A-Za-z]"),
-        _share(v, words),
+        F.col("covered") / F.length(v),
         _share(v, "(?i)[aeiou]"),
         F.size(F.array_distinct(F.split(v, ""))) / F.length(v),
         v.contains("/").cast("int"),
@@ -129,7 +149,7 @@ def described(found: DataFrame) -> DataFrame:
         F.length(F.regexp_extract("after", r"^\s*(\S*)", 1)),
     ]
     array = F.array(*[F.coalesce(f.cast("double"), F.lit(0.0)) for f in features])
-    return found.withColumn("value", value).filter(F.length("value") > 0).withColumn("kind", kind).withColumn("features", array)
+    return found.withColumn("features", array).drop("named", "covered")
 
 
 def rule_label(found: DataFrame) -> Column:
@@ -171,24 +191,38 @@ def fit(labelled: DataFrame, max_rows: int = 20_000, trees: int = 40, depth: int
     return forest.fit(rows)
 
 
-def scan(rows: DataFrame, row: str, label=rule_label, least: float = 0.5) -> DataFrame:
+def labels_of(found: DataFrame, label, findings: DataFrame | None) -> DataFrame:
+    """``found`` with ``label``: that of the labelled findings, else what ``label`` says, which may be NULL."""
+    if findings is None:
+        return found.withColumn("label", label(found))
+    # A value that was labelled both ways is a secret.
+    known = findings.groupBy("value_sha256").agg(F.max("label").cast("int").alias("known"))
+    joined = found.withColumn("value_sha256", F.sha2("value", 256)).join(known, "value_sha256", "left")
+    return joined.withColumn("label", F.coalesce("known", label(found))).drop("value_sha256", "known")
+
+
+def scan(rows: DataFrame, row: str, label=rule_label, least: float = 0.5, findings: DataFrame | None = None) -> DataFrame:
     """Per candidate: row, doc_id, nth, start, length, kind, value_sha256, score and is_secret.
 
     ``row`` tells the rows of ``rows`` apart. The forest learns from candidates
     to which ``label`` gives 0 or 1; where only one of them occurs, the score is
     1 for values of a credential's format or name, else 0. A value of a known
-    format with label 1 scores 1, whatever the forest says. A NULL or empty text
+    format with label 1 scores 1, whatever the forest says. ``findings`` (value_sha256,
+    label 0 or 1) are findings that people have labelled, of any kind: their labels go
+    before ``label``, and the forest learns from them too; others may be NULL. A NULL or empty text
     has no candidates; a text of any length is searched whole. A repeated row is
     scanned as often as it occurs. Other columns are not read.
     """
-    found = staged(described(candidates(rows, row)), "candidates")
-    labelled = found.withColumn("label", label(found)).filter("label is not null")
-    forest = fit(labelled)
+    found = staged(valued(candidates(rows, row)), "candidates")
+    parts = covered(found, staged(dictionary(rows), "dictionary"))
+    found = described(found.join(parts, ["row", "nth"], "left"))
+    found = staged(labels_of(found, label, findings), "described")
+    forest = fit(found.filter("label is not null"))
     if forest is None:
         score = F.when(F.col("kind") == "token", 0.0).otherwise(1.0)
         scored = found.withColumn("score", score)
     else:
-        sure = F.coalesce(F.col("kind").isin(*FORMATS) & (label(found) == 1), F.lit(False))
+        sure = F.coalesce(F.col("kind").isin(*FORMATS) & (F.col("label") == 1), F.lit(False))
         found = found.withColumn("sure", sure)
         scored = forest.transform(found.withColumn("vector", array_to_vector("features")).drop("features").withColumnRenamed("vector", "features"))
         score = F.when(F.col("sure"), 1.0).otherwise(F.round(vector_to_array("probability")[1], 6))

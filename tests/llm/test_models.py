@@ -1,5 +1,6 @@
 """Language, secrets and severity: held-out accuracy, brute force and odd inputs."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -165,6 +166,43 @@ def test_secrets_and_their_places(spark):
     assert len(rows) > len(expected)
 
 
+def test_dictionary_and_coverage(spark):
+    texts = ["Report on the garden", "report_x garden's report", "the Gärten report4 report", "GARDEN, reporting", None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert [r.word for r in secrets.dictionary(docs, least=2).collect()] == ["garden", "report"]
+    assert [r.word for r in secrets.dictionary(docs, most=1, least=1).collect()] == ["garden"]
+    assert secrets.dictionary(docs.limit(0)).count() == 0
+    words = ["garden", "gard", "dense", "port", "report"]
+    values = ["gardense/7/REPORT", "xgardx", "gar_den", "portport1", "", "12"] + ["garden" * 3] * 2
+    found = spark.createDataFrame([(i, 0, v) for i, v in enumerate(values)], "row long, nth int, value string")
+    counts = {r.row: r.covered for r in secrets.covered(found, spark.createDataFrame([(w,) for w in words], "word string")).collect()}
+
+    def brute(value):
+        low, hit = value.lower(), set()
+        for w in words:
+            hit |= {i + j for i in range(len(low)) if low.startswith(w, i) for j in range(len(w))}
+        return len(hit)
+
+    assert {i: counts.get(i, 0) for i in range(len(values))} == {i: brute(v) for i, v in enumerate(values)}
+
+
+def test_labelled_findings_go_before_the_rule(spark):
+    """A person says of one named value that it is none, and of one digest that it is a secret."""
+    texts = secret_texts()
+    docs, found = scanned(spark, texts)
+    hit = found.filter("kind = 'named_value' and is_secret").first()
+    said = spark.createDataFrame([(hit.value_sha256, 0), ("0" * 64, 1), (None, 1)], "value_sha256 string, label int")
+    rows, row = secrets.numbered(docs)
+    base = secrets.described(secrets.valued(secrets.candidates(rows, row)).withColumn("covered", F.lit(0)))
+    labels = {r.value: r.label for r in secrets.labels_of(base, secrets.rule_label, said).collect()}
+    ruled = {r.value: r.label for r in base.withColumn("label", secrets.rule_label(base)).collect()}
+    changed = {v for v in labels if labels[v] != ruled[v]}
+    assert {hashlib.sha256(v.encode()).hexdigest() for v in changed} == {hit.value_sha256}
+    twice = said.union(spark.createDataFrame([(hit.value_sha256, 1)], said.schema))
+    assert {r.value: r.label for r in secrets.labels_of(base, secrets.rule_label, twice).collect()} == ruled
+    assert secrets.scan(rows, row, findings=said).count() == found.count()
+
+
 def test_redaction_keeps_all_else(spark):
     texts = secret_texts()
     docs, _ = scanned(spark, texts)
