@@ -92,8 +92,8 @@ def op8_secret_scan(spark, sf_dir):
 
 def op10_toxicity(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    model = severity.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = severity.fit(severity.labelled_texts(docs, labels))
     return severity.grade(docs, model)
 
 

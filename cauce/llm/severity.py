@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cauce.llm import pieces as P
-from cauce.llm.common import arrow_schema, bounded_sample, record_batch
+from cauce.llm.common import arrow_schema, bounded_sample, record_batch, staged
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -121,6 +121,19 @@ def fit(labelled: DataFrame, max_rows: int = 10_000, least_rows: int = 3, grades
     return Model(words[used], weights[used], theta)
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """(text, toxic) of at most ``max_rows`` pairs of a document and a label with one doc_id, for ``fit``.
+
+    Drawn by doc_id and label, before any text is read; rows of a repeated doc_id are drawn
+    together (``bounded_sample``). NULL labels and ids of one table alone are left out.
+    """
+    given = labels.select("doc_id", "toxic").filter(F.col("toxic").isNotNull())
+    pairs = staged(docs.select("doc_id").join(given, "doc_id"), "labelled")
+    drawn = staged(bounded_sample(pairs, "toxic", max_rows).distinct(), "drawn")
+    # At most max_rows ids and labels, so texts stay where they are.
+    return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "toxic")
+
+
 def _features(column: pa.Array, of_token) -> tuple[list[np.ndarray], np.ndarray]:
     """The hashes of each row's distinct tokens."""
     bounds, held, first = P.words(*P.text_bytes(column))

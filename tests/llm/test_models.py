@@ -329,6 +329,22 @@ def test_toxic_documents(spark):
     assert sum(caught) > 0.8 * len(caught) and sum(clean) < 0.005 * len(clean)
 
 
+def test_labelled_texts_are_bounded(spark):
+    n = F.col("id")
+    docs = spark.range(3000).select(n.alias("doc_id"), F.concat(F.lit("text "), n).alias("text"), n.alias("toxic"))
+    labels = spark.range(100, 3100).select(n.alias("doc_id"), F.when(n % 7 != 0, (n % 2).cast("int")).alias("toxic"))
+    everything = severity.labelled_texts(docs, labels).collect()
+    assert sorted((r.text, r.toxic) for r in everything) == sorted((f"text {i}", i % 2) for i in range(100, 3000) if i % 7)
+    some = severity.labelled_texts(docs, labels, 500)
+    assert some.columns == ["text", "toxic"] and 450 < some.count() <= 500
+    assert set(some.collect()) <= set(everything)
+    # One id that a third of the documents share, and labels given twice.
+    many = docs.union(spark.range(1500).select(F.lit(101).cast("long"), F.lit("same"), F.lit(0).cast("long")))
+    drawn = severity.labelled_texts(many, labels.union(labels), 500)
+    assert 100 < drawn.count() <= 500 and not drawn.filter("text = 'same'").count()
+    assert severity.labelled_texts(docs, labels.limit(0)).count() == 0
+
+
 def test_severity_of_odd_inputs(spark):
     schema = "doc_id long, text string, toxic int, grade int, severity double"
     rows = [(i, t, int("bad" in t), 0, 0.0) for i, t in enumerate(["good text here", "bad text here"] * 20)]
