@@ -15,12 +15,14 @@ class StoredServer:
     """Answers like ``HttpPages`` from ``<path>/offset=<first record>/``, each a JSON array.
 
     All pages but the last one hold ``page_size`` records. The key of a record is its
-    position from 1, in the field ``:id``.
+    position from 1, in the field ``:id``. The folders are listed once: each bound of a
+    read by key asks for the count.
     """
 
     def __init__(self, path, page_size):
         self.path = path
         self.page_size = page_size
+        self.counted = None
 
     def _open(self):
         scheme, colon, rest = self.path.partition(":")
@@ -44,10 +46,12 @@ class StoredServer:
         return self._page(start)[offset - start :][:limit]
 
     def count(self):
-        files, root = self._open()
-        folders = files.get_file_info(pyarrow.fs.FileSelector(root, allow_not_found=True))
-        offsets = [int(i.base_name.removeprefix("offset=")) for i in folders if i.base_name.startswith("offset=")]
-        return max(offsets) + len(self._page(max(offsets))) if offsets else 0
+        if self.counted is None:
+            files, root = self._open()
+            folders = files.get_file_info(pyarrow.fs.FileSelector(root, allow_not_found=True))
+            offsets = [int(i.base_name.removeprefix("offset=")) for i in folders if i.base_name.startswith("offset=")]
+            self.counted = max(offsets) + len(self._page(max(offsets))) if offsets else 0
+        return self.counted
 
     def fetch(self, offset, limit):
         return json.dumps(self._records(offset, limit))

@@ -830,6 +830,15 @@ def test_stored_server_answers_from_the_middle(tmp_path):
         assert StoredServer(uri, 4).count() == 6
 
 
+def test_bounds_by_key_list_the_stored_pages_once(tmp_path):
+    source = StoredServer(write_pages(tmp_path / "pages", [{"a": i} for i in range(41)], 4), 4)
+    opened, opens = [], source._open
+    source._open = lambda: opened.append(1) or opens()
+    parts = KeyReader(source, ":id", 4, 1, None).partitions()
+    assert [(p.after, p.upto) for p in parts] == [(a or None, a + 4 if a < 40 else None) for a in range(0, 44, 4)]
+    assert len(opened) == 2  # the list of folders and the last page
+
+
 def test_named_references_of_the_standard(spark):
     from cauce.sources.html import decode_references
 
