@@ -12,8 +12,10 @@ a table of counts of fixed size shows as common come last in the order, so that
 no counted group is a large share of the data.
 
 Pairs of one posting list are not all emitted. Neighbours in it, by size, are
-compared first; what they link is one component, and only pairs of different
-components are left for the second pass.
+compared first; what they link is one component. Then members of lists that hold
+several components are sorted by their marks, in a different order in each list, so
+that similar sets come close to each other, and those near by are compared. Only pairs
+of components that are still different are left for the last pass.
 """
 
 from collections.abc import Iterator
@@ -36,7 +38,9 @@ COMMON = 4
 #: Fewest bits of a set's marks for the suffix filter; each shingle flips one of them.
 MARK_BITS = 1024
 #: 64-bit words of marks that go along with the members of posting lists.
-FIRST_MARKS = 4
+FIRST_MARKS = 8
+#: Members before one that it is compared with, in the order of a list by marks.
+NEAR_BY = 8
 #: Odd multipliers for the words of a shingle.
 _ODD = np.random.RandomState(9).randint(0, 1 << 62, 4096).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -329,6 +333,50 @@ def _owned(members: DataFrame, roots: DataFrame) -> DataFrame:
     return owned.join(staged(mixed.select("shingle"), "mixed"), "shingle", "left_semi")
 
 
+def _near_by(members: DataFrame, names: list[str], num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of different components whose members come close in a list's order by marks.
+
+    The order turns the bits of one of the marks, by shingle: sets that differ
+    in few bits often agree in the first ones. Every member has at most
+    ``NEAR_BY`` pairs in a list; pairs over the ends of a task's range are left out.
+    """
+    fields = ["shingle", "cls", "root", "n", "pos", *names]
+
+    def close(batches):
+        before = None
+        for batch in batches:
+            rows = [batch[c].to_numpy() for c in fields]
+            rows = rows if before is None else [np.concatenate(x) for x in zip(before, rows)]
+            fresh = 0 if before is None else len(before[0])
+            shingle, cls, root, n, pos = rows[:5]
+            marks = np.stack(rows[5:])
+            n, pos = n.astype(np.int64), pos.astype(np.int64)
+            found = []
+            for step in range(1, NEAR_BY + 1):
+                i = np.arange(max(fresh, step), len(cls))
+                j = i - step
+                keep = (shingle[i] == shingle[j]) & (root[i] != root[j])
+                i, j = i[keep], j[keep]
+                least = np.minimum(n[i] - pos[i], n[j] - pos[j]) + np.minimum(pos[i], pos[j])
+                keep = den * np.minimum(n[i], n[j]) >= num * np.maximum(n[i], n[j])
+                keep &= (num + den) * least >= num * (n[i] + n[j])
+                i, j = i[keep], j[keep]
+                bits = np.bitwise_count(marks[:, i] ^ marks[:, j]).sum(axis=0, dtype=np.int64)
+                keep = (num + den) * bits <= (den - num) * (n[i] + n[j])
+                found.append(np.stack([cls[i[keep]], cls[j[keep]]]))
+            before = [c[-NEAR_BY:] for c in rows]
+            pairs = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
+            yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+    drawn = F.xxhash64("shingle")
+    word = F.get(F.array(*names), F.pmod(drawn, F.lit(len(names))).cast("int"))
+    turned = members.withColumns({"word": word, "by": F.pmod(F.shiftright(drawn, 8), F.lit(64)).cast("int")})
+    turned = turned.withColumn("order", F.expr("shiftleft(word, by) | shiftrightunsigned(word, 64 - by)"))
+    spread = turned.select("order", *fields).repartitionByRange("shingle", "order", "cls")
+    ordered = spread.sortWithinPartitions("shingle", "order", "cls").select(*fields)
+    return staged(ordered.mapInArrow(close, "a long, b long").distinct(), "near-by")
+
+
 def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """Per row of (row, doc_id, text): n_shingles, component_id and kept.
 
@@ -360,6 +408,12 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     names = [f"mark_{i}" for i in range(FIRST_MARKS)]
     marks = classes.select("cls", *[col("first_marks")[i].alias(name) for i, name in enumerate(names)])
     owned = staged(owned.join(marks, "cls"), "owned")
+    close = staged(_near_by(owned, names, num, den).join(tried, ["a", "b"], "left_anti"), "close")
+    links = links.union(_verified(close, classes, docs, size, num, den))
+    tried = tried.union(close)
+    roots = staged(components(links), "roots")
+    owned = staged(_owned(owned.drop("root"), roots), "owned")
+
     a, b = owned.alias("a"), owned.alias("b")
     cross = a.join(
         b,

@@ -117,6 +117,30 @@ def test_similar_documents(spark, size, num):
     assert [rows[i].kept for i in range(len(texts))] == [r == i for i, r in enumerate(root)]
 
 
+def test_few_pairs_of_a_large_group_are_left_for_the_last_pass(spark, monkeypatch):
+    """Near copies whose neighbours by size are seldom similar: no pass takes pairs by the square of the group."""
+    rng = random.Random(4)
+    base, texts = prose(rng, 300, 10**6).split(), []
+    for i in range(200):
+        words = list(base)
+        for at in rng.sample(range(300), 3 if i % 8 else 2):
+            words[at] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    sizes = {}
+
+    def counted(df, label, staged=jaccard.staged):
+        found = staged(df, label)
+        sizes[label] = sizes.get(label, 0) + found.count()
+        return found
+
+    monkeypatch.setattr(jaccard, "staged", counted)
+    found = jaccard.similar_documents(jaccard.numbered(table(spark, texts)), 3, 90, 100)
+    root = similar(texts, 3, 90, 100)[1]
+    assert {r.doc_id: r.component_id for r in found.collect()} == dict(enumerate(root))
+    assert sizes["cross"] < 4 * len(texts)
+    assert sizes.get("close", 0) <= jaccard.NEAR_BY * sizes["postings"]
+
+
 def test_drop_similar(spark):
     docs = table(spark, ["a b c", "A b  c", "d", None, ""], [5, 5, None, 1, 1])
     kept = jaccard.drop_similar(docs)
