@@ -15,7 +15,7 @@ def run_time():
 def rows(df):
     """All rows as a sorted list of tuples, NULLs first."""
     found = [tuple(r) for r in df.collect()]
-    return sorted(found, key=lambda r: tuple((v is not None, str(type(v)), v or 0) for v in r))
+    return sorted(found, key=lambda r: tuple((v is not None, str(type(v)), 0 if v is None else v) for v in r))
 
 
 def landing(spark, data):
