@@ -236,6 +236,35 @@ def test_unique_text_of_several_blocks_stays_whole(spark):
     assert row.kept_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_contexts_that_recur_in_a_text_are_held_once(spark, monkeypatch):
+    """Text that repeats in itself must not send a row for each recurrence to one task."""
+    monkeypatch.setattr(suffixes, "WINDOW", 700)
+    rng = random.Random(12)
+    again = "word pair " * 300
+    texts = [again, again + prose(rng, 90, 10**6), prose(rng, 90, 10**6) + again[3:], "x" * 2000, prose(rng, 200, 10**6)]
+    docs = table(spark, texts).withColumnRenamed("doc_id", "id").selectExpr("id AS row", "text")
+    contexts = suffixes._contexts(docs, 400)
+    assert contexts.count() == contexts.select("row", "gram", "context").distinct().count()
+    starts = contexts.selectExpr("row", "width", "explode(firsts) AS first")
+    starts = starts.selectExpr("row", "explode(sequence(first, first + width)) AS start").collect()
+    assert sorted(map(tuple, starts)) == [(i, j) for i, t in enumerate(texts) for j in range(len(t) - 399)]
+    rows = {r.doc_id: r for r in suffixes.remove_repeats(table(spark, texts)).collect()}
+    for i, expected in enumerate(removed(texts, 400)):
+        r = rows[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == expected, i
+
+
+def test_ranges_that_differ_stay_in_many_tasks(spark):
+    """Few bytes, much work: Spark must not put their partitions together."""
+    rng = random.Random(13)
+    sides = [(bytes([i % 40]), rng.randbytes(31), rng.randbytes(31)) for i in range(160)]
+    data = [(i, 0, bytearray(m), bytearray(left), bytearray(right)) for i, (m, left, right) in enumerate(sides)]
+    ranges = spark.createDataFrame(data, "row long, start int, middle binary, left binary, right binary")
+    found = suffixes._differing(ranges)
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert found.count() == 0
+
+
 def test_remove_repeats_of_repeated_rows_and_nothing(spark):
     text = prose(random.Random(9), 120, 10**6)
     rows = suffixes.remove_repeats(table(spark, [text, text], [1, 1])).collect()
