@@ -1,6 +1,8 @@
 """Exact, near and partial duplicates against brute force."""
 
+import collections
 import hashlib
+import pathlib
 import random
 import re
 
@@ -317,6 +319,52 @@ def test_near_vectors(spark, monkeypatch, cell_rows, block):
         assert r.component_id == root[i] and r.kept == (root[i] == i)
 
 
+def stored_bytes(spark):
+    root = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    return sum(f.stat().st_size for f in root.rglob("*") if f.is_file())
+
+
+def test_near_vectors_are_not_copied_for_the_cells_they_meet(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "CHUNK", 600, raising=False)
+    rng = np.random.RandomState(8)
+    found = rng.normal(size=(2000, 32))
+    found[1500:] = found[:500] + 0.1 * rng.normal(size=(500, 32))
+    found[1900:] = found[0] + 0.2 * rng.normal(size=(100, 32))
+    found = np.float32(found).astype(float)
+    df = spark.createDataFrame([(i, v.tolist(), 1 + i % 50 // 49, 1, 2) for i, v in enumerate(found)], VECTORS)
+    before = stored_bytes(spark)
+    rows = {r.vec_id: r for r in vectors.near_vectors(df, cell_rows=20).collect()}
+    assert stored_bytes(spark) - before < 3 * found.size * 4
+    units = found / np.linalg.norm(found, axis=1)[:, None]
+    label = np.arange(2000) % 50 // 49
+    linked = np.triu((units @ units.T >= 0.93) & (label[:, None] == label), 1)
+    links = np.argwhere(linked).tolist()
+    assert len(links) > 3000
+    root = roots(2000, links)
+    assert [rows[i].n_links for i in range(2000)] == (linked.sum(axis=0) + linked.sum(axis=1)).tolist()
+    assert [rows[i].component_id for i in range(2000)] == [root[i] for i in range(2000)]
+
+
+def test_near_vectors_of_many_lengths_and_labels_in_double_precision(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "CHUNK", 40, raising=False)
+    kind = "vec_id string, embedding array<double>, label string"
+    rng = np.random.RandomState(9)
+    side = float(np.sqrt(1 - 0.93**2))
+    edge = [[3.0, 0.0], [0.93, side * (1 - 1e-9)], [0.93, side * (1 + 1e-9)]]
+    data = [(f"edge{i}", v, "e") for i, v in enumerate(edge)]
+    data += [("huge", [1e200, 1e200], "e"), ("tiny", [1e-200, 0.0], "e"), (None, [-0.0, 1.0], "e"), ("same", [0.0, 1.0], "e")]
+    data += [(f"v{i}", rng.normal(size=1 + i % 3).tolist(), "abc"[i % 7 % 3]) for i in range(200)]
+    rows = vectors.near_vectors(spark.createDataFrame(data, kind), cell_rows=10).collect()
+    expected = collections.Counter()
+    for i, (a, x, m) in enumerate(data):
+        others = [y for j, (_, y, n) in enumerate(data) if i != j and m == n and len(x) == len(y)]
+        x = np.array(x) / np.abs(x).max()
+        others = [np.array(y) / np.abs(y).max() for y in others]
+        expected[a, sum(x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= 0.93 for y in others)] += 1
+    assert expected["edge0", 2] == expected["edge1", 3] == expected["edge2", 1] == expected["huge", 0] == expected["same", 1] == 1
+    assert collections.Counter((r.vec_id, r.n_links) for r in rows) == expected
+
+
 def test_near_vectors_of_repeated_rows_and_nothing(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 1, 0, 0)] * 3 + [(None, [1.0, 0.1], 1, 0, 0)], VECTORS)
     rows = vectors.near_vectors(df).collect()
